@@ -16,12 +16,13 @@ DAILY, MONTHLY = "diario", "mensal"
 BLANK = r"(?U)^[\s\x1c-\x1f]*$"
 
 
-def null_tokens(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    """Blank text and null tokens become NULL."""
+def null_tokens(name: str, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
+    """The text column ``name`` with blank text and null tokens as NULL."""
+    c = f"`{name}`"
+    listed = ", ".join("'" + t.replace("'", "\\'") + "'" for t in tokens)
     # the regular expression only runs on text that is empty or starts with a possible blank
-    first = F.ascii(c)
-    blank = ((first <= 32) | (first >= 128)) & c.rlike(BLANK)
-    return F.when(~(blank | c.isin(*tokens)), c)
+    blank = f"(ascii({c}) <= 32 OR ascii({c}) >= 128) AND {c} RLIKE r'{BLANK}'"
+    return F.expr(f"CASE WHEN NOT ({c} IN ({listed}) OR ({blank})) THEN {c} END")
 
 
 def no_nan(c: Column) -> Column:

@@ -19,7 +19,7 @@ def present(df: DataFrame, names) -> list[str]:
 def clean_null_tokens(df: DataFrame, tokens: tuple[str, ...] = C.NULL_TOKENS) -> DataFrame:
     """Null tokens and blanks become NULL in every text column."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({n: C.null_tokens(F.col(n), tokens) for n in text})
+    return df.withColumns({n: C.null_tokens(n, tokens) for n in text})
 
 
 def coerce_instant(df: DataFrame, *names: str) -> DataFrame:

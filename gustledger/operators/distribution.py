@@ -3,7 +3,7 @@
 Spark's exact percentile keeps every distinct value of a group in one task. Here a sketch
 only proposes narrow value bands around the wanted ranks; the rows of every band are counted
 exactly, and only the bands that hold a wanted rank are ordered. If a proposal were off, the
-band would be wider and the result the same.
+band would be wider and the result the same. Intermediate tables are stored, each made once.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from gustledger.functions import columns as C
 from gustledger.operators import joins
 from gustledger.operators.cleaning import present
+from gustledger.session import stage
 
 ACCURACY = 10_000
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
 def distribution(
@@ -30,86 +32,99 @@ def distribution(
 
     Metrics that are NULL everywhere give no row.
     """
-    by = by or []
-    probs = probs or {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    group = [*by, "coluna"]
-    metrics = present(df, metrics)
-    cells = df.select(*by, *[C.no_nan(F.col(m).cast("double")).alias(m) for m in metrics])
-    cells = cells.unpivot(by, metrics, "coluna", "v").dropna(subset=["v"])
+    by, probs, metrics = by or [], probs or QUARTILES, present(df, metrics)
+    group, key = [*by, "coluna"], [*by, "coluna", "_band"]
+    numbers = df.select(*by, *[C.no_nan(F.col(m).cast("double")).alias(m) for m in metrics])
 
-    margin = 4 / ACCURACY
-    edges = [min(max(p + s, 0.0), 1.0) for p in probs.values() for s in (-margin, margin)]
-    summary = cells.groupBy(*group).agg(
-        F.percentile_approx("v", edges, ACCURACY).alias("_edges"),
-        F.count("*").alias("_total"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        C.mean(F.col("v")).alias("media"),
-    )
-    band = sum((F.col("v") > F.col("_edges")[i]).cast("int") for i in range(len(edges)))
-    values = cells.groupBy(*group, "v").agg(F.count("*").alias("_copies"))
-    values = _attach(values, summary.select(*group, "_edges"), group, "inner", by).select(
-        *group, "v", "_copies", band.alias("_band")
-    )
-
-    ordered = W.partitionBy(*group).orderBy("_band")
-    bands = values.groupBy(*group, "_band").agg(F.sum("_copies").alias("_in_band"))
-    bands = bands.withColumns(
-        {
-            "_start": F.sum("_in_band").over(ordered.rowsBetween(W.unboundedPreceding, 0)) - F.col("_in_band"),
-            "_total": F.sum("_in_band").over(W.partitionBy(*group)),
-        }
-    )
-    ranks = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("p"),
-                F.lit(end).alias("end"),
-                rank(F.lit(p) * (F.col("_total") - 1)).cast("long").alias("rank"),
-            )
-            for name, p in probs.items()
-            for end, rank in (("low", F.floor), ("high", F.ceil))
-        ]
-    )
-    wanted = (
-        bands.withColumn("_w", F.explode(ranks))
-        .filter((F.col("_w.rank") >= F.col("_start")) & (F.col("_w.rank") < F.col("_start") + F.col("_in_band")))
-        .select(*group, "_band", "_w.p", "_w.end", (F.col("_w.rank") - F.col("_start")).alias("_offset"))
+    values = stage(_banded_values(numbers, by, metrics, _margins(probs)), "metric_values")
+    bands = values.groupBy(*key).agg(
+        F.sum("_copies").alias("_in_band"),
+        F.min("v").alias("_low"),
+        F.max("v").alias("_high"),
+        F.sum(C.exact(F.col("v")) * F.col("_copies").cast("decimal(20,0)")).alias("_sum"),
     )
+    bands = stage(bands, "metric_bands")
+    wanted = stage(_wanted_ranks(bands, group, probs), "metric_ranks")
 
-    key = [*group, "_band"]
     in_order = W.partitionBy(*key).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    wanted = wanted.groupBy(*key).agg(F.collect_list(F.struct("p", "end", "_offset")).alias("_ranks"))
     hits = (
-        _attach(values, wanted, key, "inner", by)
+        joins.lookup_join(values, wanted, key, null_safe=True)
         .withColumn("_cum", F.sum("_copies").over(in_order))
         .select(*group, "v", "_cum", F.explode("_ranks").alias("_rank"))
-        .select(*group, "v", "_cum", "_rank.*")
-        .filter(F.col("_cum") > F.col("_offset"))
+        .filter(F.col("_cum") > F.col("_rank.offset"))
         .groupBy(*group)
-        .agg(*[
-            F.min(F.when((F.col("p") == name) & (F.col("end") == end), F.col("v"))).alias(f"_{name}_{end}")
-            for name in probs
-            for end in ("low", "high")
-        ])
+        .agg(
+            *[
+                F.min(F.when((F.col("_rank.p") == name) & (F.col("_rank.end") == end), F.col("v"))).alias(f"_{name}_{end}")
+                for name in probs
+                for end in ("low", "high")
+            ]
+        )
+    )
+    totals = bands.groupBy(*group).agg(
+        F.sum("_in_band").alias("_total"),
+        F.min("_low").alias("min"),
+        F.max("_high").alias("max"),
+        (F.sum("_sum").cast("double") / F.sum("_in_band")).alias("media"),
     )
 
     def interpolated(name: str, p: float):
         position = F.lit(p) * (F.col("_total") - 1)
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        return C.round_half_up(low + (high - low) * (position - F.floor(position)), digits).alias(name)
+        return low + (high - low) * (position - F.floor(position))
 
-    return joins.key_join(summary, hits, group, "inner", null_safe=True).select(
+    return joins.key_join(totals, hits, group, "inner", null_safe=True).select(
         *group,
         C.round_half_up(F.col("min"), digits).alias("min"),
-        *[interpolated(name, p) for name, p in probs.items()],
+        *[C.round_half_up(interpolated(name, p), digits).alias(name) for name, p in probs.items()],
         C.round_half_up(F.col("max"), digits).alias("max"),
         C.round_half_up(F.col("media"), digits).alias("media"),
     )
 
 
-def _attach(df: DataFrame, per_group: DataFrame, keys: list[str], how: str, by: list[str]) -> DataFrame:
-    """Add a few values per group: without ``by`` there are only as many groups as metrics."""
-    if not by:
-        return joins.key_join(df, F.broadcast(per_group), keys, how, null_safe=True)
-    return joins.salted_join(df, per_group, keys, how, null_safe=True)
+def _margins(probs: dict[str, float]) -> list[float]:
+    """Ranks a little below and above every wanted one; the margin covers the sketch's error."""
+    margin = 4 / ACCURACY
+    return [min(max(p + s, 0.0), 1.0) for p in probs.values() for s in (-margin, margin)]
+
+
+def _banded_values(numbers: DataFrame, by: list[str], metrics: list[str], ranks: list[float]) -> DataFrame:
+    """(group, metric, value, copies, band): equal values are counted before they are shuffled."""
+    group = [*by, "coluna"]
+    edges = numbers.groupBy(*by).agg(*[F.percentile_approx(m, ranks, ACCURACY).alias(m) for m in metrics])
+    per_metric = F.array(*[F.struct(F.lit(m).alias("coluna"), F.col(m).alias("_edges")) for m in metrics])
+    edges = edges.select(*by, F.explode(per_metric).alias("_m")).select(*by, "_m.*").dropna(subset=["_edges"])
+    values = (
+        numbers.unpivot(by, metrics, "coluna", "v")
+        .dropna(subset=["v"])
+        .groupBy(*group, "v")
+        .agg(F.count("*").alias("_copies"))
+    )
+    band = sum((F.col("v") > F.col("_edges")[i]).cast("int") for i in range(len(ranks)))
+    return joins.lookup_join(values, stage(edges, "metric_edges"), group, null_safe=True).select(
+        *group, "v", "_copies", band.alias("_band")
+    )
+
+
+def _wanted_ranks(bands: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+    """Bands that hold a rank next to a wanted one, with the offsets of these ranks in the band.
+
+    A group has one row per band here, at most one more than there are edges.
+    """
+    of_group = W.partitionBy(*group)
+    before = of_group.orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
+    placed = bands.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_in_band").over(before), F.lit(0)),
+            "_total": F.sum("_in_band").over(of_group),
+        }
+    )
+
+    def rank(name: str, p: float, end: str):
+        position = F.lit(p) * (F.col("_total") - 1)
+        at = (F.floor(position) if end == "low" else F.ceil(position)).cast("long")
+        return F.struct(F.lit(name).alias("p"), F.lit(end).alias("end"), (at - F.col("_start")).alias("offset"))
+
+    ranks = F.array(*[rank(name, p, end) for name, p in probs.items() for end in ("low", "high")])
+    inside = F.filter(ranks, lambda r: (r["offset"] >= 0) & (r["offset"] < F.col("_in_band")))
+    return placed.select(*group, "_band", inside.alias("_ranks")).filter(F.size("_ranks") > 0)

@@ -3,7 +3,8 @@
 No row meets all other rows of its key in one task. Keys are counted first, on the key
 columns alone; rows whose key occurs once pass without a shuffle of their own. The repeated
 keys are decided by aggregates that combine on the map side, so a key with any number of
-rows arrives as a few partial rows. ``df`` is read several times: pass a stored table.
+rows arrives as a few partial rows. The counts and decisions are stored, each made once;
+``df`` is read by several passes, so pass a stored table.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustledger.operators import joins
+from gustledger.session import stage
 
 DOCUMENTED, REFERENCE = "documented", "reference"
 
@@ -45,7 +47,7 @@ def split_duplicates(
     a key whose every row has a copy keeps its lowest row. ``repeated`` is the stored result
     of ``repeated_keys``, if the caller has it.
     """
-    repeated = repeated_keys(df, key) if repeated is None else repeated
+    repeated = stage(repeated_keys(df, key), "repeated") if repeated is None else repeated
     single = joins.key_difference(df, repeated, key)
     multi = joins.key_intersection(df, repeated, key)
     if policy == DOCUMENTED:
@@ -66,6 +68,7 @@ def _documented(multi: DataFrame, key: list[str], ignore: tuple[str, ...]):
         F.max(row).alias("_high"),
         *[F.min(c).alias(c) for c in ignore],
     )
+    per_key = stage(per_key, "repeated_rows")
     same = F.col("_low").eqNullSafe(F.col("_high"))
     kept = per_key.filter(same).select(
         *[F.col(c) if c in key or c in ignore else F.col("_low")[c].alias(c) for c in multi.columns]
@@ -80,7 +83,7 @@ def _documented(multi: DataFrame, key: list[str], ignore: tuple[str, ...]):
 
 def _reference(multi: DataFrame, key: list[str]):
     rest = [c for c in multi.columns if c not in key]
-    copies = multi.groupBy(*multi.columns).agg(F.count("*").alias("_copies"))
+    copies = stage(multi.groupBy(*multi.columns).agg(F.count("*").alias("_copies")), "repeated_rows")
     per_key = copies.groupBy(*key).agg(
         F.min("_copies").alias("_fewest"),
         F.sum("_copies").alias("_n"),

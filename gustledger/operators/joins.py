@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustledger.functions import columns as C
+from gustledger.session import stage
 
 # A lookup side up to this many rows is broadcast, a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
@@ -113,9 +114,13 @@ def embedded_key_join(
 
 
 def semi_filter(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
-    """Rows of ``df`` whose upper-cased key occurs, upper-cased, in ``wanted``."""
+    """Rows of ``df`` whose upper-cased key occurs, upper-cased, in ``wanted``.
+
+    ``wanted`` may be large: its distinct keys are stored once, then counted and joined.
+    """
     name = "_semi_key"
     keys = wanted.select(F.upper(wanted_key).alias(name)).filter(F.col(name).isNotNull()).distinct()
+    keys = stage(keys, "semi_keys")
     return lookup_join(df.withColumn(name, F.upper(key)), keys, [name], "left_semi").drop(name)
 
 
@@ -142,10 +147,10 @@ def missing_keys(registry: DataFrame, facts: DataFrame, registry_key: str, fact_
 
 
 def key_difference(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Drop every row whose key occurs in ``keys``; NULL keys equal NULL keys."""
+    """Drop every row whose key occurs in ``keys`` (a stored table); NULL keys equal NULL keys."""
     return lookup_join(df, keys.select(*on), on, "left_anti", null_safe=True)
 
 
 def key_intersection(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Keep every row whose key occurs in ``keys``; NULL keys equal NULL keys."""
+    """Keep every row whose key occurs in ``keys`` (a stored table); NULL keys equal NULL keys."""
     return lookup_join(df, keys.select(*on), on, "left_semi", null_safe=True)

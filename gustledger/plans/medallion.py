@@ -25,20 +25,19 @@ def silver_layer(
 ) -> dict[str, DataFrame]:
     """Build and write Silver, quarantine, anomalies and the report under ``out``.
 
-    The joined rows and the repeated keys are stored once in the shared folder: each sink then
-    reads what it needs from files, and a lost executor repeats one stage only.
+    The joined rows are stored once in the shared folder: each sink then reads what it needs
+    from files, and a lost executor repeats one stage only.
     """
     registry = files.read_registry(spark, registry_path, D.REGISTRY_SCHEMA)
     detail = files.read_union(spark, detail_paths, D.DETAIL_TYPES, sep=sep)
     groups = files.read_union(spark, group_paths, D.GROUP_TYPES, file_column=None, sep=sep)
     joined = stage(silver.build(detail, groups, registry, pattern), "joined")
-    repeated = stage(duplicates.repeated_keys(joined, D.SILVER_KEY), "repeated")
-    treated = silver.treat(joined, policy, repeated)
+    treated = silver.treat(joined, policy)
 
     month = F.date_format("din_instante", "yyyy_MM").alias("mes_ref")
-    clean = sinks.write_table(treated.silver.select("*", month), f"{out}/silver", "mes_ref").drop("mes_ref")
-    quarantine = sinks.write_table(treated.quarantine, f"{out}/quarantine")
-    sinks.write_json_lines(treated.anomalies, f"{out}/anomalies")
+    clean = sinks.write_table(treated.silver().select("*", month), f"{out}/silver", "mes_ref").drop("mes_ref")
+    quarantine = sinks.write_table(treated.quarantine(), f"{out}/quarantine")
+    sinks.write_json_lines(treated.anomalies(), f"{out}/anomalies")
 
     assets = stage(report.asset_completeness(clean, registry), "completeness")
     per_project = completeness.project_completeness(assets, "projeto_cv")
@@ -51,7 +50,7 @@ def silver_layer(
     )
     as_of = F.current_timestamp() if as_of is None else as_of
     summary = report.quality_report(
-        joined, clean, quarantine, treated.duplicate_counts, registry, as_of, f"{out}/quarantine"
+        joined, clean, quarantine, treated.duplicate_counts(), registry, as_of, f"{out}/quarantine"
     )
     summary.write.mode("overwrite").text(f"{out}/report")
     return {"silver": clean, "quarantine": quarantine, "joined": joined, "registry": registry}

@@ -92,20 +92,32 @@ def build(detail: DataFrame, groups: DataFrame, registry: DataFrame, pattern: st
 
 @dataclass(frozen=True)
 class Treated:
-    silver: DataFrame
-    quarantine: DataFrame
-    anomalies: DataFrame
-    duplicate_counts: DataFrame  # one row
+    """Joined rows after the duplicate split; Silver, rejects and anomalies derive from it."""
 
+    duplicates: duplicates.DuplicateSplit
 
-def treat(joined: DataFrame, policy: str = duplicates.DOCUMENTED, repeated: DataFrame | None = None) -> Treated:
+    def _contract(self) -> tuple[DataFrame, DataFrame]:
+        return contract.split(self.duplicates.clean, D.CONTRACT, D.REASON, D.STAGE, D.CONTRACT_STAGE)
+
+    def silver(self) -> DataFrame:
+        return self._contract()[0]
+
+    def quarantine(self) -> DataFrame:
+        texts = {D.REASON: F.lit(D.CONFLICT_REASON), D.STAGE: F.lit(D.CONFLICT_STAGE)}
+        return self.duplicates.quarantined.withColumns(texts).unionByName(self._contract()[1])
+
+    def anomalies(self) -> DataFrame:
+        return anomalies(self.duplicates.clean)
+
+    def duplicate_counts(self) -> DataFrame:
+        return self.duplicates.counts
+
+
+def treat(joined: DataFrame, policy: str = duplicates.DOCUMENTED) -> Treated:
     """Split joined rows into Silver and quarantine. ``joined`` should be a stored table."""
     rows = joined.drop(*AUDIT)
     ignore = tuple(cleaning.present(rows, ["filename"])) if policy == duplicates.DOCUMENTED else ()
-    dup = duplicates.split_duplicates(rows, D.SILVER_KEY, ignore, policy, repeated)
-    silver, rejected = contract.split(dup.clean, D.CONTRACT, D.REASON, D.STAGE, D.CONTRACT_STAGE)
-    conflicts = dup.quarantined.withColumns({D.REASON: F.lit(D.CONFLICT_REASON), D.STAGE: F.lit(D.CONFLICT_STAGE)})
-    return Treated(silver, conflicts.unionByName(rejected), anomalies(dup.clean), dup.counts)
+    return Treated(duplicates.split_duplicates(rows, D.SILVER_KEY, ignore, policy))
 
 
 def anomalies(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from gustledger.operators import (
 )
 from gustledger.plans import analytics
 from gustledger.queries.registry import exact, query, rounded, table
+from gustledger.session import stage
 from gustledger.sources import files, sinks
 
 TABLES = [
@@ -274,7 +275,7 @@ def ci_left_join(spark, d):
 )
 def key_difference(spark, d):
     events = table(spark, d, "events").select("event_id", "event_type", "user_id", F.to_date("ts").alias("day"))
-    bad = events.filter(F.col("event_type") == "error").select("user_id", "day").distinct()
+    bad = stage(events.filter(F.col("event_type") == "error").select("user_id", "day").distinct(), "bad_keys")
     return joins.key_difference(events, bad, ["user_id", "day"]).select("event_id", "event_type")
 
 

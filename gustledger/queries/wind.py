@@ -93,12 +93,11 @@ def _joined(spark, d):
 
 def _treated(spark, d, policy=duplicates.DOCUMENTED):
     joined = _joined(spark, d)
-    repeated = stage(duplicates.repeated_keys(joined, ["nome_spe_cv", "din_instante"]), "repeated")
-    return joined, silver.treat(joined, policy, repeated)
+    return joined, silver.treat(joined, policy)
 
 
 def _silver(spark, d):
-    return stage(_treated(spark, d)[1].silver, "silver")
+    return stage(_treated(spark, d)[1].silver(), "silver")
 
 
 # --- SQL of the same flow -------------------------------------------------------------------
@@ -242,12 +241,12 @@ def silver_joined(spark, d):
 
 @query("silver_clean", _pick(_SPLIT, "SELECT * FROM silver"))
 def silver_clean(spark, d):
-    return _treated(spark, d)[1].silver
+    return _treated(spark, d)[1].silver()
 
 
 @query("silver_quarantine", _pick(_SPLIT, "SELECT * FROM quarantine"))
 def silver_quarantine(spark, d):
-    return _treated(spark, d)[1].quarantine
+    return _treated(spark, d)[1].quarantine()
 
 
 @query(
@@ -268,7 +267,7 @@ def silver_quarantine(spark, d):
     ),
 )
 def anomaly_list(spark, d):
-    return _treated(spark, d)[1].anomalies
+    return _treated(spark, d)[1].anomalies()
 
 
 # --- report ---------------------------------------------------------------------------------
@@ -295,7 +294,7 @@ def anomaly_list(spark, d):
 )
 def volumetry(spark, d):
     joined, treated = _treated(spark, d)
-    return report.volumetry(joined, treated.silver, treated.quarantine, treated.duplicate_counts)
+    return report.volumetry(joined, treated.silver(), treated.quarantine(), treated.duplicate_counts())
 
 
 @query(
@@ -308,7 +307,7 @@ def volumetry(spark, d):
     ),
 )
 def integrity(spark, d):
-    return report.integrity(_treated(spark, d)[1].silver, registry(spark, d))
+    return report.integrity(_treated(spark, d)[1].silver(), registry(spark, d))
 
 
 @query(
@@ -322,7 +321,7 @@ def integrity(spark, d):
     ),
 )
 def wind_states(spark, d):
-    return report.wind_states(_treated(spark, d)[1].silver)
+    return report.wind_states(_treated(spark, d)[1].silver())
 
 
 @query(
@@ -344,16 +343,16 @@ def wind_states(spark, d):
 )
 def business_rules(spark, d):
     joined, treated = _treated(spark, d)
-    return report.business_rules(joined, treated.silver)
+    return report.business_rules(joined, treated.silver())
 
 
 @query("quality_report")
 def quality_report(spark, d):
     joined, treated = _treated(spark, d)
-    clean, quarantine = stage(treated.silver, "silver"), stage(treated.quarantine, "quarantine")
+    clean, quarantine = stage(treated.silver(), "silver"), stage(treated.quarantine(), "quarantine")
     as_of = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
     return report.quality_report(
-        joined, clean, quarantine, treated.duplicate_counts, registry(spark, d), as_of, "quarantine"
+        joined, clean, quarantine, treated.duplicate_counts(), registry(spark, d), as_of, "quarantine"
     )
 
 
@@ -415,12 +414,12 @@ def dim_time(spark, d):
     ),
 )
 def fact_asset(spark, d):
-    return star.fato_geracao_spe(_treated(spark, d)[1].silver)
+    return star.fato_geracao_spe(_treated(spark, d)[1].silver())
 
 
 @query("fact_group", _pick(_GOLD, "SELECT * FROM fato_conjunto"))
 def fact_group(spark, d):
-    return star.fato_geracao_conjunto(_treated(spark, d)[1].silver)
+    return star.fato_geracao_conjunto(_treated(spark, d)[1].silver())
 
 
 @query(

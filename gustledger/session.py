@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "gustle
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,8 +43,8 @@ def staging_root(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    This cuts the lineage, so a lost executor does not replay the joins above, and later
-    passes read only the columns they need.
+    For results that are read more than once: the work above is done once, a lost executor
+    does not replay it, and each later pass reads only the columns it needs.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
