@@ -20,30 +20,37 @@ class Rule:
     in_range: tuple[float, float] | None = None
     isin: tuple | None = None
 
-    def failures(self) -> list[tuple[str, Column]]:
-        """(check name, condition that is true on a failing row) in reporting order."""
-        c = F.col(self.column)
+    def failures(self) -> list[tuple[str, str]]:
+        """(check name, SQL condition that is true on a failing row) in reporting order."""
+        c = f"`{self.column}`"
         found = []
         if not self.nullable:
-            found.append(("not_nullable", c.isNull()))
+            found.append(("not_nullable", f"{c} IS NULL"))
         if self.ge is not None:
-            found.append((f"greater_than_or_equal_to({self.ge})", c < self.ge))
+            found.append((f"greater_than_or_equal_to({self.ge})", f"{c} < {self.ge}"))
         if self.in_range is not None:
             low, high = self.in_range
-            found.append((f"in_range({low}, {high})", ~c.between(low, high)))
+            found.append((f"in_range({low}, {high})", f"{c} NOT BETWEEN {low} AND {high}"))
         if self.isin is not None:
-            found.append((f"isin({list(self.isin)})", ~c.isin(*self.isin)))
+            listed = ", ".join(_literal(v) for v in self.isin)
+            found.append((f"isin({list(self.isin)})", f"{c} NOT IN ({listed})"))
         return found
 
 
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def with_reasons(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add an array of (column, check) structs, one per failed check, in rule order."""
-    failed = [
-        F.when(cond, F.struct(F.lit(rule.column).alias("column"), F.lit(check).alias("check")))
+    failed = ", ".join(
+        f"CASE WHEN {cond} THEN named_struct('column', {_literal(rule.column)}, 'check', {_literal(check)}) END"
         for rule in rules
         for check, cond in rule.failures()
-    ]
-    return df.withColumn(REASONS, F.filter(F.array(*failed), lambda r: r.isNotNull()))
+    )
+    return df.withColumn(REASONS, F.expr(f"filter(array({failed}), r -> r IS NOT NULL)"))
 
 
 def passes() -> Column:

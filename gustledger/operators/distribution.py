@@ -3,7 +3,8 @@
 Spark's exact percentile keeps every distinct value of a group in one task. Here a sketch
 only proposes narrow value bands around the wanted ranks; the rows of every band are counted
 exactly, and only the bands that hold a wanted rank are ordered. If a proposal were off, the
-band would be wider and the result the same. Intermediate tables are stored, each made once.
+band would be wider and the result the same. The counted values are stored, as several passes
+read them.
 """
 
 from __future__ import annotations
@@ -43,12 +44,11 @@ def distribution(
         F.max("v").alias("_high"),
         F.sum(C.exact(F.col("v")) * F.col("_copies").cast("decimal(20,0)")).alias("_sum"),
     )
-    bands = stage(bands, "metric_bands")
-    wanted = stage(_wanted_ranks(bands, group, probs), "metric_ranks")
+    wanted = _wanted_ranks(bands, group, probs)
 
     in_order = W.partitionBy(*key).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     hits = (
-        joins.lookup_join(values, wanted, key, null_safe=True)
+        _lookup(values, wanted, key, by)
         .withColumn("_cum", F.sum("_copies").over(in_order))
         .select(*group, "v", "_cum", F.explode("_ranks").alias("_rank"))
         .filter(F.col("_cum") > F.col("_rank.offset"))
@@ -101,9 +101,14 @@ def _banded_values(numbers: DataFrame, by: list[str], metrics: list[str], ranks:
         .agg(F.count("*").alias("_copies"))
     )
     band = sum((F.col("v") > F.col("_edges")[i]).cast("int") for i in range(len(ranks)))
-    return joins.lookup_join(values, stage(edges, "metric_edges"), group, null_safe=True).select(
-        *group, "v", "_copies", band.alias("_band")
-    )
+    return _lookup(values, edges, group, by).select(*group, "v", "_copies", band.alias("_band"))
+
+
+def _lookup(values: DataFrame, few: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Join a few rows per group; without ``by`` there are only as many groups as metrics."""
+    if not by:
+        return joins.key_join(values, F.broadcast(few), keys, "inner", null_safe=True)
+    return joins.lookup_join(values, stage(few, "metric_lookup"), keys, null_safe=True)
 
 
 def _wanted_ranks(bands: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
