@@ -46,8 +46,23 @@ def sample_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
 
+def table_profile(df: DataFrame, order: list[str], rows: int = 5) -> dict[str, DataFrame]:
+    """Row count, columns, first rows and rows per file of a frame read straight from files."""
+    return {
+        "count": df.agg(F.count("*").alias("total_linhas")),
+        "schema": describe(df),
+        "sample": sample_rows(df, order, rows),
+        "files": count_by_file(df),
+    }
+
+
+def null_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """(coluna, nulos) of the columns that a join relies on, before the join drops them."""
+    return long_metrics(df, {n: F.count_if(F.col(n).isNull()) for n in names}, "coluna", "nulos")
+
+
 def trace(layers: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """(layer, n, example) of the rows that satisfy each layer's predicate."""
+    """(layer, n) of the rows that satisfy each layer's predicate."""
     return union_all(
         [df.filter(cond).agg(F.count("*").alias("n")).select(F.lit(layer).alias("layer"), "n")
          for layer, (df, cond) in layers.items()]

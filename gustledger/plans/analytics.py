@@ -10,6 +10,21 @@ from gustledger.operators import joins
 from gustledger.plans import domain as D
 
 
+def in_period(facts: DataFrame, start, end) -> DataFrame:
+    """Rows between two optional instants; month folders outside are not read."""
+    bounds = C.between(F.col("din_instante"), start, end)
+    if D.MONTH in facts.columns:
+        month = F.col(D.MONTH)
+        bounds += [month >= F.lit(_month(start))] if start is not None else []
+        bounds += [month <= F.lit(_month(end))] if end is not None else []
+    return facts.filter(C.all_of(bounds))
+
+
+def _month(instant) -> str:
+    """Label ``YYYY_MM`` of a date, a datetime or their ISO text."""
+    return str(instant)[:7].replace("-", "_")
+
+
 def projects(dim_spe: DataFrame, dim_conjunto: DataFrame) -> DataFrame:
     """Projects with group, subsystem, state and number of assets."""
     counted = dim_spe.groupBy("projeto_cv", "id_ons_conjunto").agg(F.count("spe").alias("_assets"))
@@ -43,7 +58,7 @@ def generation(
     broadcast, already filter the scan. An unknown grain raises ValueError.
     """
     period = C.period(F.col("din_instante"), grain)
-    facts = fato_geracao_spe.filter(C.all_of(C.between(F.col("din_instante"), start, end)))
+    facts = in_period(fato_geracao_spe, start, end)
     assets = dim_spe.filter(F.col("projeto_cv") == project).select("spe")
     if joins.fits_broadcast(assets):
         facts = facts.join(F.broadcast(assets.distinct()), "spe", "left_semi")
@@ -86,11 +101,9 @@ def restrictions(
     their group and code pair first, so the joins see few rows. A group that belongs to two
     projects counts in both.
     """
-    where = [F.col("cod_razaorestricao").isNotNull()]
-    where += C.between(F.col("din_instante"), start, end)
     codes = ["cod_razaorestricao", "cod_origemrestricao"]
     final, initial = C.exact(F.col("val_geracaoreferenciafinal")), C.exact(F.col("val_geracaoreferencia"))
-    facts = fato_geracao_conjunto.filter(C.all_of(where))
+    facts = in_period(fato_geracao_conjunto, start, end).filter(F.col("cod_razaorestricao").isNotNull())
     links = dim_spe.select("id_ons_conjunto", "projeto_cv").distinct()
     if project is not None:
         members = dim_spe.filter(F.col("projeto_cv") == project).select("id_ons_conjunto")

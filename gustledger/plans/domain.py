@@ -73,6 +73,9 @@ CONTRACT = [
 
 SILVER_KEY = ["nome_spe_cv", "din_instante"]
 
+# Folder column of Silver and of the facts, ``YYYY_MM``.
+MONTH = "mes_ref"
+
 METRICS = [
     "val_ventoverificado",
     "val_geracaoestimada",

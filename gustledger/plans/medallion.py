@@ -34,8 +34,7 @@ def silver_layer(
     joined = stage(silver.build(detail, groups, registry, pattern), "joined")
     treated = silver.treat(joined, policy)
 
-    month = F.date_format("din_instante", "yyyy_MM").alias("mes_ref")
-    clean = sinks.write_table(treated.silver().select("*", month), f"{out}/silver", "mes_ref").drop("mes_ref")
+    clean = sinks.write_table(by_month(treated.silver()), f"{out}/silver", D.MONTH).drop(D.MONTH)
     quarantine = sinks.write_table(treated.quarantine(), f"{out}/quarantine")
     sinks.write_json_lines(treated.anomalies(), f"{out}/anomalies")
 
@@ -56,13 +55,24 @@ def silver_layer(
     return {"silver": clean, "quarantine": quarantine, "joined": joined, "registry": registry}
 
 
+def by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(D.MONTH, F.date_format("din_instante", "yyyy_MM"))
+
+
 def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Write the six Gold tables under ``out`` and check their keys; a broken key fails the run."""
+    """Write the six Gold tables under ``out`` and check their keys; a broken key fails the run.
+
+    The facts lie in one folder per month, the tables are also views for SQL.
+    """
     gold = {}
     for name, table in star.build(clean, registry).items():
-        gold[name] = sinks.write_table(table, f"{out}/{name}")
+        if name.startswith("fato"):
+            gold[name] = sinks.write_table(by_month(table), f"{out}/{name}", D.MONTH)
+        else:
+            gold[name] = sinks.write_table(table, f"{out}/{name}")
         if D.GOLD_KEYS[name]:
             keys.assert_key(gold[name], D.GOLD_KEYS[name], name)
+    sinks.register_views(gold)
     return gold
 
 

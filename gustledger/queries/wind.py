@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gustledger.operators import completeness, duplicates
+from gustledger.operators import completeness, duplicates, profile
 from gustledger.plans import analytics, report, silver, star
 from gustledger.queries.registry import exact, query, rounded, table
 from gustledger.session import stage
@@ -232,6 +232,20 @@ def _pick(ctes: str, last: str) -> str:
     return f"{ctes}\n    {last}" if last.lstrip().startswith("SELECT") else f"{ctes},\n    {last}"
 
 
+@query(
+    "null_join_keys",
+    _pick(
+        _BRONZE,
+        """
+    SELECT 'nom_usina' AS coluna, COUNT(*) FILTER (nom_usina IS NULL) AS nulos FROM conj
+    UNION ALL SELECT 'cod_razaorestricao', COUNT(*) FILTER (cod_razaorestricao IS NULL) FROM conj
+    UNION ALL SELECT 'cod_origemrestricao', COUNT(*) FILTER (cod_origemrestricao IS NULL) FROM conj""",
+    ),
+)
+def null_join_keys(spark, d):
+    return profile.null_counts(groups(spark, d), ["nom_usina", "cod_razaorestricao", "cod_origemrestricao"])
+
+
 # --- Silver ---------------------------------------------------------------------------------
 
 @query("silver_joined", _pick(_JOINED, "SELECT * FROM joined"))

@@ -23,6 +23,18 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make the tables known to ``spark.sql`` under their names, replacing earlier ones."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
+def save_named(df: DataFrame, name: str) -> DataFrame:
+    """Replace the catalog table ``name`` and return it."""
+    df.write.mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def json_records(df: DataFrame, column: str = "json") -> DataFrame:
     """One JSON text per row: NULL fields are kept, NaN becomes null, instants are ISO."""
     cells = []

@@ -213,6 +213,22 @@ def test_generation(flow):
         analytics.generation(tables["fato_geracao_spe"], tables["dim_spe"], "P2", "semanal")
 
 
+def test_months_outside_are_not_read(flow):
+    tables, _ = flow
+    fact = analytics.in_period(tables["fato_geracao_spe"], dt.date(2024, 2, 1), "2024-02-29 23:30:00")
+    assert len(fact.inputFiles()) and fact.count() == 3 * len(FEB) - 96
+    scan = next(x for x in fact._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x)
+    filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "mes_ref" in filters and "2024_02" in filters
+
+
+def test_gold_views_answer_sql(spark, flow):
+    got = spark.sql("""
+        SELECT d.projeto_cv, COUNT(DISTINCT f.spe) AS n FROM fato_geracao_spe f JOIN dim_spe d ON f.spe = d.spe
+        GROUP BY d.projeto_cv ORDER BY 1""").collect()
+    assert [tuple(r) for r in got] == [("P1", 2), ("P2", 1)]
+
+
 def test_restrictions(flow):
     tables, _ = flow
     args = [tables[n] for n in ("fato_geracao_conjunto", "dim_conjunto", "dim_spe", "dim_restricao")]
