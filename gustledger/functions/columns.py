@@ -95,16 +95,6 @@ def round_half_up(v: Column, digits: int) -> Column:
     return F.round(v.cast("decimal(38,10)"), digits).cast("double")
 
 
-def energy(power: Column, interval_hours: float) -> Column:
-    """Sum of power times the interval length, rounded to 2 digits."""
-    return round_half_up(F.sum(exact(power) * F.lit(interval_hours).cast("decimal(9,6)")), 2)
-
-
-def mean(v: Column) -> Column:
-    """Mean of the non-null values as a double, from an exact sum."""
-    return F.sum(exact(v)).cast("double") / F.count(v)
-
-
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """Rounded percentage; 0 over an empty whole counts as 0."""
     return round_half_up(100.0 * part.cast("double") / F.greatest(whole, F.lit(1)), digits)

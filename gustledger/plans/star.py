@@ -12,11 +12,15 @@ from gustledger.sources.files import constants
 
 
 def dim_conjunto(silver: DataFrame) -> DataFrame:
-    """One row per group; the lowest known value of each attribute, so a rerun gives the same."""
+    """One row per group; the lowest known value of each attribute, so a rerun gives the same.
+
+    The distinct hash-aggregates the large side. The repartition keeps the optimizer from
+    merging it into the aggregate on text below, which sorts its input.
+    """
     known = silver.filter(F.col("id_ons_conjunto").isNotNull())
     attributes = known.select(
         "id_ons_conjunto", group_name().alias("nom_conjunto"), "id_subsistema", "nom_subsistema", "id_estado"
-    ).distinct()
+    ).distinct().repartition("id_ons_conjunto")
     return attributes.groupBy("id_ons_conjunto").agg(
         *[F.min(c).alias(c) for c in attributes.columns if c != "id_ons_conjunto"]
     )
@@ -70,28 +74,25 @@ def fato_geracao_conjunto(silver: DataFrame) -> DataFrame:
     """Asset rows reduced to one row per group and instant.
 
     An instant is missing if all its asset rows were rejected. The assets of a group repeat
-    the same group values, so a distinct (hash aggregation, combined on the map side) removes
-    most rows before the aggregate that has to handle text.
+    the same group texts, so the numbers are first reduced per grain and texts by hash
+    aggregation, combined on the map side; the aggregate on text sorts what is left.
     """
     grain = ["id_ons_conjunto", "din_instante"]
-    highest = {
+    text = ["cod_razaorestricao", "cod_origemrestricao", "dsc_restricao"]
+    names = {
         "val_geracao_conjunto": "val_geracao",
         "val_geracaolimitada_conjunto": "val_geracaolimitada",
         "val_disponibilidade_conjunto": "val_disponibilidade",
         "val_geracaoreferencia_conjunto": "val_geracaoreferencia",
         "val_geracaoreferenciafinal_conjunto": "val_geracaoreferenciafinal",
+        "flg_alerta_limitada": "flg_alerta_limitada",
     }
-    text = ["cod_razaorestricao", "cod_origemrestricao", "dsc_restricao"]
-    return (
-        silver.filter(F.col("id_ons_conjunto").isNotNull())
-        .select(*grain, *highest, *text, "flg_alerta_limitada")
-        .distinct()
-        .groupBy(*grain)
-        .agg(
-            *[F.max(c).alias(name) for c, name in highest.items()],
-            *[F.min(c).alias(c) for c in text],
-            F.max("flg_alerta_limitada").alias("flg_alerta_limitada"),
-        )
+    known = silver.filter(F.col("id_ons_conjunto").isNotNull())
+    per_text = known.groupBy(*grain, *text).agg(*[F.max(c).alias(n) for c, n in names.items()])
+    return per_text.groupBy(*grain).agg(
+        *[F.max(n).alias(n) for n in names.values() if n != "flg_alerta_limitada"],
+        *[F.min(c).alias(c) for c in text],
+        F.max("flg_alerta_limitada").alias("flg_alerta_limitada"),
     )
 
 
