@@ -20,19 +20,22 @@ SALTS = 64
 _HASH, _HOT, _SALT = "_key_hash", "_hot", "_salt"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count the lookup side; its broadcast is allowed up to ``max_rows``."""
-    return df.count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Count the lookup side; its broadcast is allowed up to ``max_rows`` (``BROADCAST_ROWS``)."""
+    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys that hold at least ``share`` of the rows.
+def hot_keys(
+    df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int | None = None
+) -> DataFrame:
+    """Hashes of the keys that hold at least ``share`` of the rows and ``min_rows`` of them.
 
     The sketch is merged from one small summary per task, without a shuffle of the rows,
     and gives at most ``1 / share`` items whatever the data, so the result can be broadcast.
     It only decides which keys are salted: the join is exact for any choice.
     """
     k = int(1 / share)
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     return (
         df.select(F.xxhash64(*keys).alias(_HASH))
         .agg(F.expr(f"approx_top_k({_HASH}, {k}, {10 * k})").alias("top"), F.count("*").alias("n"))
@@ -53,7 +56,7 @@ def salted_join(
     how: str = "inner",
     null_safe: bool = False,
     share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join by shuffle whose hot left keys are spread over ``salts`` partitions.
@@ -93,7 +96,7 @@ def lookup_join(
     on: list[str],
     how: str = "inner",
     null_safe: bool = False,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Join a large side with a lookup side: broadcast if its counted size allows, else salted."""
     if fits_broadcast(right, max_rows):

@@ -9,6 +9,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
 import __spark_entry__ as entry  # noqa: E402
+from gustledger.operators import joins  # noqa: E402
 from tools import check_oracles  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -31,6 +32,24 @@ def test_equals_sql(spark, duck, name):
     assert result.startswith("ok"), result
 
 
+BEYOND = ["regex_key_join", "semi_filter", "ci_left_join", "key_difference", "flag_limit", "generation_daily",
+          "restrictions_project", "dup_clean_doc", "dup_quarantine_doc", "dup_clean_ref", "distribution",
+          "silver_quarantine"]
+
+
+@pytest.mark.parametrize("name", BEYOND)
+def test_same_result_beyond_the_broadcast_limit(spark, duck, name, monkeypatch):
+    """No lookup side fits a broadcast and every frequent key is hot."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = check_oracles.compare(entry.queries()[name](spark, FOLDER), duck, SQL[name])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert result.startswith("ok"), result
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
