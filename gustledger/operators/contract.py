@@ -53,8 +53,10 @@ def with_reasons(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn(REASONS, F.expr(f"filter(array({failed}), r -> r IS NOT NULL)"))
 
 
-def passes() -> Column:
-    return F.size(REASONS) == 0
+def broken(rules: list[Rule]) -> Column:
+    """True on a row that fails any check; cheap, so that reasons are built for failing rows only."""
+    conditions = " OR ".join(f"({cond})" for rule in rules for _, cond in rule.failures())
+    return F.expr(f"coalesce({conditions}, false)")
 
 
 def reason_text() -> Column:
@@ -64,6 +66,6 @@ def reason_text() -> Column:
 
 def split(df: DataFrame, rules: list[Rule], reason: str, stage: str, stage_name: str):
     """(valid rows, rejected rows with their reason and stage)."""
-    checked = with_reasons(df, rules)
-    rejected = checked.filter(~passes()).withColumn(reason, reason_text()).withColumn(stage, F.lit(stage_name))
-    return checked.filter(passes()).drop(REASONS), rejected.drop(REASONS)
+    failing = with_reasons(df.filter(broken(rules)), rules)
+    rejected = failing.withColumns({reason: reason_text(), stage: F.lit(stage_name)}).drop(REASONS)
+    return df.filter(~broken(rules)), rejected

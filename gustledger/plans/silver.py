@@ -124,7 +124,7 @@ def anomalies(rows: DataFrame) -> DataFrame:
     """One row per contract reject or soft anomaly, with its reasons as text."""
     wind, generation = F.col("val_ventoverificado").isNull(), F.col("val_geracao_conjunto").isNull()
     alert = F.col("flg_alerta_limitada") == 1
-    broken = F.transform(
+    texts = F.transform(
         contract.REASONS,
         lambda r: F.concat(F.lit("Coluna ["), r["column"], F.lit("] violou ["), r["check"], F.lit("]")),
     )
@@ -134,16 +134,16 @@ def anomalies(rows: DataFrame) -> DataFrame:
         F.when(generation, F.lit(D.GENERATION_NULLED)),
         F.when(alert, F.lit(D.LIMIT_ABOVE)),
     )
-    return (
-        contract.with_reasons(rows, D.CONTRACT)
-        .filter(~contract.passes() | wind | generation | F.coalesce(alert, F.lit(False)))
-        .select(
-            F.col("nome_spe_cv").alias("nome"),
-            F.col("id_estado").alias("estado"),
-            F.col("nom_subsistema").alias("subsistema"),
-            F.date_format("din_instante", "dd/MM/yyyy HH:mm").alias("din_instante"),
-            F.when(~contract.passes(), F.concat(F.lit("QUARENTENA: "), F.concat_ws(" | ", broken)))
-            .otherwise(F.concat(F.lit("SOFT DROP/FLAG: "), soft))
-            .alias("justificativa"),
-        )
+    rejected = contract.broken(D.CONTRACT)
+    found = rows.withColumn("_rejected", rejected).filter(
+        F.col("_rejected") | wind | generation | F.coalesce(alert, F.lit(False))
+    )
+    return contract.with_reasons(found, D.CONTRACT).select(
+        F.col("nome_spe_cv").alias("nome"),
+        F.col("id_estado").alias("estado"),
+        F.col("nom_subsistema").alias("subsistema"),
+        F.date_format("din_instante", "dd/MM/yyyy HH:mm").alias("din_instante"),
+        F.when(F.col("_rejected"), F.concat(F.lit("QUARENTENA: "), F.concat_ws(" | ", texts)))
+        .otherwise(F.concat(F.lit("SOFT DROP/FLAG: "), soft))
+        .alias("justificativa"),
     )
