@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "gustle
 
 
 _local_root: list[str] = []
+_staged: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -48,5 +49,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables that this process staged; call it once their readers are done."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
