@@ -20,6 +20,7 @@ import gustledger
 from gustledger.session import stage, staging_root
 
 SPACE = b" \t\n\x0b\x0c\r"
+BATCH_ROWS, TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 TEXT_CHUNK = 4 << 20  # characters that a Python step handles at a time
 
 
@@ -36,8 +37,13 @@ def _archive() -> str:
 
 
 def ship(df: DataFrame) -> DataFrame:
-    """Gives the executors this package, once a session, so that Python functions find it there."""
-    context = df.sparkSession.sparkContext
+    """Gives the executors this package, once a session, so that Python functions find it there.
+
+    Whole texts are long, so no more than TEXTS_AT_ONCE of them go to Python in one batch.
+    """
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    if int(conf.get(BATCH_ROWS, "10000")) > TEXTS_AT_ONCE:
+        conf.set(BATCH_ROWS, str(TEXTS_AT_ONCE))
     if not getattr(context, "_gustledger_shipped", False):
         context.addPyFile(_archive())
         context._gustledger_shipped = True

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustledger.llm import bpe, langid, linededup, mixing, tokencounts
+from gustledger.llm import bpe, kneser, langid, linededup, maxent, mixing, neardup, ngramjoin, tokencounts, vafile
 from gustledger.llm.common import fresh_path
 from gustledger.queries.registry import Query, table
 
@@ -30,6 +30,11 @@ def op1_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip(table(spark, d, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op2_maxent_scores")
+def op2_maxent_scores(spark: SparkSession, d: str) -> DataFrame:
+    return maxent.score(table(spark, d, "documents"))
+
+
 @query("op3_mix_sources", r"""
     WITH sized AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
@@ -64,6 +69,19 @@ def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op4_exact_top_k", r"""
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+    ranked AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op4_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
+    return vafile.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op5_line_dedup", r"""
     WITH lines AS (
         SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line
@@ -97,3 +115,18 @@ def op7_token_counts(spark: SparkSession, d: str) -> DataFrame:
         table(spark, d, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), fresh_path(spark, "token-cache")
     )
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query("op8_ngram_jaccard")
+def op8_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return ngramjoin.jaccard_components(table(spark, d, "documents"))
+
+
+@query("op9_embedding_neardup")
+def op9_embedding_neardup(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_links(table(spark, d, "embeddings"))
+
+
+@query("op10_kneser_quality")
+def op10_kneser_quality(spark: SparkSession, d: str) -> DataFrame:
+    return kneser.quality(table(spark, d, "documents"), table(spark, d, "labels"))
