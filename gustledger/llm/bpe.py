@@ -28,7 +28,7 @@ from gustledger.llm.common import offsets, ragged, ship, text_of
 NO_PAIR = np.int32(2**31 - 1)
 LONG = 256        # bytes; longer pieces are merged one by one
 CELLS = 1 << 21   # of a matrix
-KEPT = 600_000    # distinct cuts that a task remembers before it starts anew
+KEPT = 300_000    # distinct cuts that a task remembers before it starts anew
 INSIDE_RUN = re.compile(r"\s (?:\s|\Z)")  # only here would a cut before a space change the split
 
 
