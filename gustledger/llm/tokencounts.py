@@ -116,10 +116,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc
     counted = _counted(whole, model, "model" if tokenizer.endswith(".model") else "json")
     counted.select("digest", F.lit(version).alias("version"), "n").write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).filter(F.col("version") == version).groupBy(F.col("digest").alias("content_digest")).agg(F.min("n").alias("content_tokens"))
-    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "n_tokens")])
-    joined = rest.withColumn("content_key", digest).join(counts, F.col("content_key") == F.col("content_digest"), "left")
-    return joined.select(
-        *[rest[f"`{c}`"] for c in rest.columns],
-        F.octet_length(text_of(text)).cast("long").alias("n_bytes"),
-        F.col("content_tokens").alias("n_tokens"),
-    )
+    kept = [c for c in docs.columns if c not in ("n_bytes", "n_tokens")]
+    # Sizes and digests are taken before the join, so the texts only travel where the caller asks for them.
+    sized = docs.select(*[F.col(f"`{c}`") for c in kept], F.octet_length(text_of(text)).cast("long").alias("n_bytes"), digest.alias("content_key"))
+    joined = sized.join(counts, F.col("content_key") == F.col("content_digest"), "left")
+    return joined.select(*[sized[f"`{c}`"] for c in kept], sized["n_bytes"], F.col("content_tokens").alias("n_tokens"))
