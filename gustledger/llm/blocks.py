@@ -116,4 +116,5 @@ def per_block(blocks: DataFrame, valued: DataFrame, fn: Callable[[pa.Table, dict
         return pa.concat_tables([fn(unpack(p.as_py()), arrays) for p in payloads.column("payload")])
 
     payloads = blocks.filter("payload IS NOT NULL").select("block", "payload")
-    return ship(payloads).groupBy("block").cogroup(valued.groupBy("block")).applyInArrow(run, schema)
+    valued = valued.select(F.col("block").alias("of_block"), "at", *names)  # both sides may come from the same table
+    return ship(payloads).groupBy("block").cogroup(valued.groupBy("of_block")).applyInArrow(run, schema)
