@@ -10,43 +10,49 @@ from pyspark.sql import functions as F
 from gustledger.functions import columns as C
 from gustledger.session import stage
 
-# A lookup side up to this many rows is broadcast, a larger one is joined by shuffle.
+# A lookup side up to this many rows and stored bytes is broadcast, a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
-# A key is hot if it holds this share of the rows and at least this many of them.
-HOT_SHARE = 0.001
+BROADCAST_BYTES = 32 << 20
+# Rows of one key that a task may have; a key with more is split over several tasks.
 HOT_ROWS = 1_000_000
-SALTS = 64
+KINDS = ("inner", "left", "left_semi", "left_anti")
 
-_HASH, _HOT, _SALT = "_key_hash", "_hot", "_salt"
+_HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Count the lookup side; its broadcast is allowed up to ``max_rows`` (``BROADCAST_ROWS``)."""
-    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
+def fits_broadcast(stored: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a stored table may be broadcast: by its rows, and by the bytes of its needed columns."""
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= BROADCAST_BYTES and stored.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int | None = None
-) -> DataFrame:
-    """Hashes of the keys that hold at least ``share`` of the rows and ``min_rows`` of them.
+def _common_types(left: DataFrame, right: DataFrame, on: list[str]) -> list[str]:
+    """The type in which each key is compared; keys that are equal in it must have equal hashes."""
+    found = []
+    for k in on:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if a != b:
+            both = F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("k")
+            a = left.sparkSession.range(0).select(both).schema["k"].dataType
+        found.append(a.simpleString())
+    return found
 
-    The sketch is merged from one small summary per task, without a shuffle of the rows,
-    and gives at most ``1 / share`` items whatever the data, so the result can be broadcast.
-    It only decides which keys are salted: the join is exact for any choice.
-    """
-    k = int(1 / share)
-    min_rows = HOT_ROWS if min_rows is None else min_rows
-    return (
-        df.select(F.xxhash64(*keys).alias(_HASH))
-        .agg(F.expr(f"approx_top_k({_HASH}, {k}, {10 * k})").alias("top"), F.count("*").alias("n"))
-        .select(F.explode("top").alias("item"), "n")
-        .filter((F.col("item.count") >= F.col("n") * share) & (F.col("item.count") >= min_rows))
-        .select(F.col("item.item").alias(_HASH), F.lit(True).alias(_HOT))
-    )
 
+def _hash(keys: list[str], types: list[str]) -> Column:
+    return F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, types, strict=True)])
 
-def _mark(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    return df.withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(hot), _HASH, "left")
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None, types: list[str] | None = None) -> DataFrame:
+    """Hashes of the keys with more rows than a task should have, and over how many to split each.
+
+    The counts are exact and combined before the shuffle. There are at most rows / ``rows_per_task``
+    such keys, 16 bytes each, a million of them in 10^12 rows, so the result can be broadcast.
+    """
+    most = HOT_ROWS if rows_per_task is None else rows_per_task
+    types = types or [df.schema[k].dataType.simpleString() for k in keys]
+    counts = df.select(_hash(keys, types).alias(_HASH)).groupBy(_HASH).agg(F.count("*").alias("n"))
+    hot = counts.filter(F.col("n") > most).select(_HASH, F.ceil(F.col("n") / most).cast("int").alias(_SALTS))
+    return stage(hot, "hot_keys")
 
 
 def salted_join(
@@ -55,25 +61,25 @@ def salted_join(
     on: list[str],
     how: str = "inner",
     null_safe: bool = False,
-    share: float = HOT_SHARE,
-    min_rows: int | None = None,
-    salts: int = SALTS,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Equi join by shuffle whose hot left keys are spread over ``salts`` partitions.
+    """Equi join by shuffle whose hot left keys are spread over as many tasks as their rows need.
 
     ``how`` is inner, left, left_semi or left_anti. Only rows of hot keys carry a salt, and
-    only their right rows are repeated. The salt comes from the row and its input partition,
-    not from a random number, so a task that runs again gives the same rows.
+    only their right rows are repeated. The set of hot keys is stored, so both sides see the
+    same one. The salt comes from the row and its input partition, not from a random number,
+    so a task that runs again gives the same rows.
     """
-    hot = hot_keys(left, on, share, min_rows)
-    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    salted = (
-        _mark(left, on, hot)
-        .withColumn(_SALT, F.when(F.col(_HOT), salt).otherwise(0))
-        .drop(_HASH, _HOT)
-    )
-    copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = _mark(right, on, hot).withColumn(_SALT, F.explode(copies)).drop(_HASH, _HOT)
+    if how not in KINDS:
+        raise ValueError(f"how must be one of {KINDS}, not {how!r}: right rows repeat here")
+    types = _common_types(left, right, on)
+    hot = F.broadcast(hot_keys(left, on, rows_per_task, types))
+    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.col(_SALTS)).cast("int")
+    salted = left.withColumn(_HASH, _hash(on, types)).join(hot, _HASH, "left")
+    salted = salted.withColumn(_SALT, F.coalesce(salt, F.lit(0))).drop(_HASH, _SALTS)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
+    spread = right.withColumn(_HASH, _hash(on, types)).join(hot, _HASH, "left")
+    spread = spread.withColumn(_SALT, F.explode(copies)).drop(_HASH, _SALTS)
     return key_join(salted, spread, on, how, null_safe, also=[_SALT]).drop(_SALT)
 
 
@@ -97,8 +103,14 @@ def lookup_join(
     how: str = "inner",
     null_safe: bool = False,
     max_rows: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """Join a large side with a lookup side: broadcast if its counted size allows, else salted."""
+    """Join a large side with a lookup side: broadcast if its measured size allows, else salted.
+
+    The lookup side is stored first, so that measuring does not compute it twice; ``stored``
+    says that it is a stored table already.
+    """
+    right = right if stored else stage(right, "lookup")
     if fits_broadcast(right, max_rows):
         return key_join(left, F.broadcast(right), on, how, null_safe)
     return salted_join(left, right, on, how, null_safe)
@@ -109,11 +121,13 @@ def embedded_key_join(
 ) -> DataFrame:
     """Keep the fact rows whose code embeds a registered key, with the registry's columns.
 
-    A registry key that repeats gives one row per occurrence.
+    A registry key that repeats gives one row per occurrence. Codes without a match have the
+    empty key and leave before the join, where they would all meet in one task.
     """
     key = "_embedded_key"
-    lookup = registry.withColumnRenamed(registry_key, key).filter(F.col(key).isNotNull())
-    return lookup_join(facts.withColumn(key, C.embedded_key(F.col(code), pattern)), lookup, [key]).drop(key)
+    lookup = registry.withColumnRenamed(registry_key, key).filter(F.col(key) != "")
+    coded = facts.withColumn(key, C.embedded_key(F.col(code), pattern)).filter(F.col(key) != "")
+    return lookup_join(coded, lookup, [key]).drop(key)
 
 
 def semi_filter(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
@@ -124,7 +138,7 @@ def semi_filter(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Colum
     name = "_semi_key"
     keys = wanted.select(F.upper(wanted_key).alias(name)).filter(F.col(name).isNotNull()).distinct()
     keys = stage(keys, "semi_keys")
-    return lookup_join(df.withColumn(name, F.upper(key)), keys, [name], "left_semi").drop(name)
+    return lookup_join(df.withColumn(name, F.upper(key)), keys, [name], "left_semi", stored=True).drop(name)
 
 
 def case_insensitive_left_join(
@@ -132,10 +146,11 @@ def case_insensitive_left_join(
 ) -> DataFrame:
     """Left join on an upper-cased computed key and the ``extra`` columns both sides share.
 
-    Both sides are large, so the join is salted; rows whose key is NULL stay unmatched.
+    The right side decides how: a small one is broadcast, otherwise hot keys are salted. Rows
+    whose key is NULL stay unmatched.
     """
     name = "_ci_key"
-    return salted_join(
+    return lookup_join(
         left.withColumn(name, F.upper(left_key)),
         right.withColumn(name, F.upper(right_key)).dropna(subset=[name, *extra]),
         [name, *extra],
@@ -151,9 +166,9 @@ def missing_keys(registry: DataFrame, facts: DataFrame, registry_key: str, fact_
 
 def key_difference(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Drop every row whose key occurs in ``keys`` (a stored table); NULL keys equal NULL keys."""
-    return lookup_join(df, keys.select(*on), on, "left_anti", null_safe=True)
+    return lookup_join(df, keys.select(*on), on, "left_anti", null_safe=True, stored=True)
 
 
 def key_intersection(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Keep every row whose key occurs in ``keys`` (a stored table); NULL keys equal NULL keys."""
-    return lookup_join(df, keys.select(*on), on, "left_semi", null_safe=True)
+    return lookup_join(df, keys.select(*on), on, "left_semi", null_safe=True, stored=True)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +32,14 @@ _staged: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    """Shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only.
+
+    Only a master of exactly ``local`` or ``local[...]`` runs everything on this machine.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     if not _local_root:
         _local_root.append(tempfile.mkdtemp(prefix="gustledger-"))
@@ -54,11 +59,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables that this process staged; call it once their readers are done."""
+@contextmanager
+def staging_scope(spark: SparkSession):
+    """Deletes what is staged inside, also when it fails; frames that read it must be written by then."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        drop_staged(spark, _staged[before:])
+
+
+def drop_staged(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete the named staged tables, or all that this process staged, once their readers are done."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     dropped = 0
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    for name in list(_staged if paths is None else paths):
+        _staged.remove(name)
+        path = jvm.org.apache.hadoop.fs.Path(name)
         dropped += bool(path.getFileSystem(conf).delete(path, True))
     return dropped

@@ -19,18 +19,48 @@ def skewed(spark):
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join_equals_plain_join(skewed, rows, how, null_safe):
     left, right = skewed
-    got = joins.salted_join(left, right, ["k"], how, null_safe, share=0.01, min_rows=1, salts=5)
+    got = joins.salted_join(left, right, ["k"], how, null_safe, rows_per_task=60)
     want = joins.key_join(left, right, ["k"], how, null_safe)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
 
 
-def test_hot_keys_are_few_and_include_the_heavy_one(spark, skewed):
+@pytest.mark.parametrize(("a", "b"), [("int", "bigint"), ("bigint", "int"), ("int", "double"), ("double", "int"), ("date", "timestamp"), ("timestamp", "date")])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_of_different_key_types(spark, rows, a, b, how):
+    def typed(n, kind):
+        return n.cast(kind) if kind in ("int", "bigint", "double") else F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int")).cast(kind)
+
+    left = spark.range(900, numPartitions=4).select(typed(F.col("id") % 5, a).alias("k"), "id")
+    right = spark.range(2, 9).select(typed(F.col("id"), b).alias("k"), (F.col("id") * 2).alias("w"))
+    got = joins.salted_join(left, right, ["k"], how, rows_per_task=10)
+    want = joins.key_join(left, right, ["k"], how)
+    assert got.schema == want.schema
+    assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("how", ["right", "full", "outer", "cross"])
+def test_salted_join_refuses_kinds_that_repeat_right_rows(skewed, how):
+    with pytest.raises(ValueError, match="how must be"):
+        joins.salted_join(*skewed, ["k"], how)
+
+
+def test_hot_keys_have_as_many_salts_as_their_rows_need(spark, skewed):
     left, _ = skewed
-    hot = joins.hot_keys(left, ["k"], share=0.1, min_rows=1)
+    hot = {r["_key_hash"]: r["_salts"] for r in joins.hot_keys(left, ["k"], rows_per_task=100).collect()}
     heavy = spark.sql("select xxhash64(7) as h").first()["h"]
-    found = [r["_key_hash"] for r in hot.collect()]
-    assert heavy in found and len(found) <= 10
+    n = left.filter("k = 7").count()
+    assert hot == {heavy: -(-n // 100)}
+
+
+def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
+    from gustledger.session import stage
+
+    df = stage(spark.range(100).select("id", F.repeat(F.col("id").cast("string"), F.lit(500)).alias("wide")), "wide")
+    assert joins.fits_broadcast(df)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 500)
+    assert not joins.fits_broadcast(df)
+    assert not joins.fits_broadcast(df, 1)
 
 
 def test_salt_spreads_a_hot_key(spark):
@@ -40,7 +70,7 @@ def test_salt_spreads_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = joins.salted_join(left, right, ["k"], share=0.1, min_rows=1, salts=16)
+        out = joins.salted_join(left, right, ["k"], rows_per_task=250)
         parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
