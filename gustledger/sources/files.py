@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,14 @@ from gustledger.functions import columns as C
 log = logging.getLogger(__name__)
 
 FILE_COLUMN = "filename"
+# Schema requests at a time; each is a small job of its own.
+READERS = 16
 
 
-def _read(spark: SparkSession, fmt: str, paths: list[str], sep: str) -> DataFrame:
+def _read(spark: SparkSession, fmt: str, paths: list[str], sep: str, root: str = "") -> DataFrame:
     reader = spark.read.option("header", True).option("sep", sep) if fmt == "csv" else spark.read
+    if any("=" in p.removeprefix(root) for p in paths) and root:
+        reader = reader.option("basePath", root)
     return reader.format(fmt).load(paths)
 
 
@@ -35,6 +40,19 @@ def _as_type(name: str, have: T.DataType, want: str):
     return c.try_cast(want)
 
 
+def _root(path: str) -> str:
+    """The part of a path before its first wildcard."""
+    parts = path.rstrip("/").split("/")
+    plain = next((i for i, p in enumerate(parts) if set(p) & set("*?[{")), len(parts))
+    return "/".join(parts[:plain])
+
+
+def _list_files(spark: SparkSession, path: str) -> list[str]:
+    """All files of a file, folder or glob, from a listing that opens none of them."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return sorted(r["path"] for r in listed.collect())
+
+
 def read_union(
     spark: SparkSession,
     paths: list[str] | dict[str, list[str]],
@@ -44,22 +62,27 @@ def read_union(
 ) -> DataFrame:
     """Union files by column name and keep the name of each row's file.
 
-    ``paths`` are parquet paths, or paths per format. A path is one delivery (a file or a
-    folder of one schema). Paths of equal schema share one scan, so the plan grows with the
-    number of schemas, not of files. A column in ``types`` is cast per schema to its declared
-    type and bad cells become NULL; a missing one is NULL. Any other column whose type
-    differs between schemas becomes text.
+    ``paths`` are parquet paths, or paths per format: files, folders or globs, whose files may
+    differ in columns and types. The schemas of all files are asked for side by side, and files
+    of equal schema share one scan, so the plan grows with the number of schemas, not of files.
+    A column in ``types`` is cast per schema to its declared type and bad cells become NULL; a
+    missing one is NULL. Any other column whose type differs between schemas becomes text.
+    Folders named ``key=value`` below a path are columns, as Spark reads them.
     """
     types = types or {}
     by_format = paths if isinstance(paths, dict) else {"parquet": list(paths)}
-    groups: dict[tuple[str, str], list[str]] = {}
-    for fmt, members in by_format.items():
-        for path in members:
-            schema = _read(spark, fmt, [path], sep).schema.json()
-            groups.setdefault((fmt, schema), []).append(path)
+    wanted = [(fmt, path) for fmt, members in by_format.items() for path in members]
+    with ThreadPoolExecutor(READERS) as pool:
+        listed = list(pool.map(lambda w: _list_files(spark, w[1]), wanted))
+        files = [(fmt, _root(path), f) for (fmt, path), found in zip(wanted, listed, strict=True) for f in found]
+        schemas = list(pool.map(lambda f: _read(spark, f[0], [f[2]], sep, f[1]).schema.json(), files))
+    groups: dict[tuple[str, str, str], list[str]] = {}
+    for (fmt, root, file), schema in zip(files, schemas, strict=True):
+        base = root if "=" in file.removeprefix(root) else ""
+        groups.setdefault((fmt, schema, base), []).append(file)
     if not groups:
         raise ValueError("no files to read")
-    scans = [_read(spark, fmt, members, sep) for (fmt, _), members in groups.items()]
+    scans = [_read(spark, fmt, members, sep, base) for (fmt, _, base), members in groups.items()]
 
     seen: dict[str, set[str]] = {}
     for scan in scans:
@@ -99,20 +122,24 @@ def monthly_paths(
     sep: str = ",",
 ) -> dict[str, list[str]]:
     """Per month the first format that exists; a month with none is skipped with a warning."""
-    found: dict[str, list[str]] = {}
-    for month in months:
+
+    def first(month: str) -> tuple[str, str] | None:
         for fmt in formats:
             path = f"{folder.rstrip('/')}/{stem}_{month}.{fmt}"
             try:
-                _read(spark, fmt, [path], sep)
+                spark.read.format("binaryFile").load(path)
             except AnalysisException as e:
                 if e.getCondition() != "PATH_NOT_FOUND":
                     raise
                 continue
-            found.setdefault(fmt, []).append(path)
-            break
-        else:
-            log.warning("no file for %s_%s in formats %s", stem, month, formats)
+            return fmt, path
+        log.warning("no file for %s_%s in formats %s", stem, month, formats)
+        return None
+
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(READERS) as pool:
+        for hit in filter(None, pool.map(first, months)):
+            found.setdefault(hit[0], []).append(hit[1])
     return found
 
 
