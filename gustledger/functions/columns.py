@@ -85,14 +85,38 @@ def embedded_key(c: Column, pattern: str) -> Column:
     return F.regexp_extract(c, pattern, 0)
 
 
+# Measurements below this size are summed as decimals with twelve digits after the point.
+EXACT_BELOW = 1e13
+
+
+def _fits(v: Column) -> Column:
+    return F.abs(v.cast("double")) < EXACT_BELOW
+
+
 def exact(v: Column) -> Column:
-    """Decimal form of a measurement, so that sums do not depend on the order of the rows."""
-    return v.cast("decimal(28,8)")
+    """Decimal form of an ordinary measurement, so that sums do not depend on the order of the rows."""
+    return F.when(_fits(v), v).cast("decimal(26,12)")
+
+
+def extreme(v: Column) -> Column:
+    """What has no place in ``exact``: infinite, NaN and huge values, as doubles."""
+    return F.when(~_fits(v), v.cast("double"))
+
+
+def total(parts: Column, extremes: Column, digits: int, factor: Column | None = None) -> Column:
+    """Rounded double of a sum of ``exact`` parts and the sum of ``extreme`` ones, NULL if there are none.
+
+    Without extremes the sum stays decimal until it is rounded.
+    """
+    factor = F.lit(1).cast("decimal(9,6)") if factor is None else factor
+    mixed = (F.coalesce(parts.cast("double"), F.lit(0.0)) + extremes) * factor.cast("double")
+    return F.when(extremes.isNull(), round_half_up(parts * factor, digits)).otherwise(round_half_up(mixed, digits))
 
 
 def round_half_up(v: Column, digits: int) -> Column:
-    """Round on the decimal value, return a double."""
-    return F.round(v.cast("decimal(38,10)"), digits).cast("double")
+    """Round on the decimal value, return a double; a value too large to have such digits stays as it is."""
+    ordinary = F.abs(v.cast("double")) < 1e26
+    return F.when(ordinary, F.round(F.when(ordinary, v).cast("decimal(38,10)"), digits).cast("double")).otherwise(v.cast("double"))
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

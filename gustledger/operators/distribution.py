@@ -1,15 +1,14 @@
-"""Exact distribution of metrics, without gathering a group in one task.
+"""Exact distribution of metrics, without gathering or ordering a group in one task.
 
-Spark's exact percentile keeps every distinct value of a group in one task. Here a sketch
-only proposes narrow value bands around the wanted ranks; the rows of every band are counted
-exactly, and only the bands that hold a wanted rank are ordered. If a proposal were off, the
-band would be wider and the result the same. The counted values are stored, as several passes
-read them.
+A sketch proposes narrow value bands around the wanted ranks; the rows of every band are counted
+exactly where they are read, so only counts are shuffled. The rows of the bands that hold a wanted
+rank, a few in a thousand, are stored and banded again until a band has no more rows than a task
+may order. If a proposal were off, a band would be wider and the result the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,6 +18,9 @@ from gustledger.operators.cleaning import present
 from gustledger.session import stage
 
 ACCURACY = 10_000
+GRID = 256
+# Rows of one band that a task may order.
+BAND_ROWS = 1_000_000
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
@@ -31,47 +33,50 @@ def distribution(
 ) -> DataFrame:
     """Min, percentiles (linear interpolation), max and mean per metric and group.
 
-    Metrics that are NULL everywhere give no row.
+    Metrics that are NULL everywhere give no row. Infinite and huge values count like others, so
+    an infinite cell shows as an infinite minimum or maximum and mean.
     """
     by, probs, metrics = by or [], probs or QUARTILES, present(df, metrics)
-    group, key = [*by, "coluna"], [*by, "coluna", "_band"]
+    group = [*by, "coluna"]
     numbers = df.select(*by, *[C.no_nan(F.col(m).cast("double")).alias(m) for m in metrics])
-
-    values = stage(_banded_values(numbers, by, metrics, _margins(probs)), "metric_values")
-    bands = values.groupBy(*key).agg(
-        F.sum("_copies").alias("_in_band"),
-        F.min("v").alias("_low"),
-        F.max("v").alias("_high"),
-        F.sum(C.exact(F.col("v")) * F.col("_copies").cast("decimal(20,0)")).alias("_sum"),
+    edges = numbers.groupBy(*by).agg(*[F.percentile_approx(m, _margins(probs), ACCURACY).alias(m) for m in metrics])
+    per_metric = F.array(*[F.struct(F.lit(m).alias("coluna"), F.col(m).alias("_edges")) for m in metrics])
+    edges = edges.select(*by, F.explode(per_metric).alias("_m")).select(*by, "_m.*").dropna(subset=["_edges"])
+    edges = stage(edges, "metric_edges")
+    values = numbers.unpivot(by, metrics, "coluna", "v").dropna(subset=["v"])
+
+    banded = _banded(values, edges, group)
+    bands = stage(
+        banded.groupBy(*group, "_band").agg(
+            F.count("*").alias("_in_band"),
+            F.min("v").alias("_low"),
+            F.max("v").alias("_high"),
+            F.sum(C.exact(F.col("v"))).alias("_sum"),
+            F.sum(C.extreme(F.col("v"))).alias("_sum_x"),
+        ),
+        "metric_bands",
     )
-    wanted = _wanted_ranks(bands, group, probs)
-
-    in_order = W.partitionBy(*key).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    hits = (
-        _lookup(values, wanted, key, by)
-        .withColumn("_cum", F.sum("_copies").over(in_order))
-        .select(*group, "v", "_cum", F.explode("_ranks").alias("_rank"))
-        .filter(F.col("_cum") > F.col("_rank.offset"))
-        .groupBy(*group)
-        .agg(
-            *[
-                F.min(F.when((F.col("_rank.p") == name) & (F.col("_rank.end") == end), F.col("v"))).alias(f"_{name}_{end}")
-                for name in probs
-                for end in ("low", "high")
-            ]
-        )
+    ends = _values_at(banded, _wanted_ranks(bands, group, probs), [*group, "_band"], group)
+    hits = ends.groupBy(*group).agg(
+        *[
+            F.min(F.when((F.col("p") == name) & (F.col("end") == end), F.col("v"))).alias(f"_{name}_{end}")
+            for name in probs
+            for end in ("low", "high")
+        ]
     )
+    sums = F.sum("_sum").cast("double")
     totals = bands.groupBy(*group).agg(
         F.sum("_in_band").alias("_total"),
         F.min("_low").alias("min"),
         F.max("_high").alias("max"),
-        (F.sum("_sum").cast("double") / F.sum("_in_band")).alias("media"),
+        (F.when(F.sum("_sum_x").isNull(), sums).otherwise(F.coalesce(sums, F.lit(0.0)) + F.sum("_sum_x")) / F.sum("_in_band")).alias("media"),
     )
 
-    def interpolated(name: str, p: float):
+    def interpolated(name: str, p: float) -> Column:
         position = F.lit(p) * (F.col("_total") - 1)
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        return low + (high - low) * (position - F.floor(position))
+        # equal ends need no step between them, which would be NaN for infinite ones
+        return F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
 
     return joins.key_join(totals, hits, group, "inner", null_safe=True).select(
         *group,
@@ -88,48 +93,67 @@ def _margins(probs: dict[str, float]) -> list[float]:
     return [min(max(p + s, 0.0), 1.0) for p in probs.values() for s in (-margin, margin)]
 
 
-def _banded_values(numbers: DataFrame, by: list[str], metrics: list[str], ranks: list[float]) -> DataFrame:
-    """(group, metric, value, copies, band): equal values are counted before they are shuffled."""
-    group = [*by, "coluna"]
-    edges = numbers.groupBy(*by).agg(*[F.percentile_approx(m, ranks, ACCURACY).alias(m) for m in metrics])
-    per_metric = F.array(*[F.struct(F.lit(m).alias("coluna"), F.col(m).alias("_edges")) for m in metrics])
-    edges = edges.select(*by, F.explode(per_metric).alias("_m")).select(*by, "_m.*").dropna(subset=["_edges"])
-    values = (
-        numbers.unpivot(by, metrics, "coluna", "v")
-        .dropna(subset=["v"])
-        .groupBy(*group, "v")
-        .agg(F.count("*").alias("_copies"))
-    )
-    band = sum((F.col("v") > F.col("_edges")[i]).cast("int") for i in range(len(ranks)))
-    return _lookup(values, edges, group, by).select(*group, "v", "_copies", band.alias("_band"))
+def _banded(values: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
+    """Adds the number of edges below the value; ``edges`` is a stored table of a few rows a key."""
+    # the edges are in the order of their ranks, so the first one not below the value tells the band
+    place = F.array_position(F.transform("_edges", lambda e: e >= F.col("v")), True)
+    band = F.when(place == 0, F.size("_edges")).otherwise(place - 1).cast("string")
+    joined = joins.lookup_join(values, edges, key, null_safe=True, stored=True)
+    return joined.select(*[c for c in values.columns if c != "_band"], (F.concat("_band", F.lit("/"), band) if "_band" in values.columns else band).alias("_band"))
 
 
-def _lookup(values: DataFrame, few: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """Join a few rows per group; without ``by`` there are only as many groups as metrics."""
-    if not by:
-        return joins.key_join(values, F.broadcast(few), keys, "inner", null_safe=True)
-    return joins.lookup_join(values, stage(few, "metric_lookup"), keys, null_safe=True)
+def _placed(bands: DataFrame, key: list[str]) -> DataFrame:
+    """Adds the rows before each band of its key; a key has a band for each edge and one more."""
+    order = W.partitionBy(*key).orderBy("_low").rowsBetween(W.unboundedPreceding, -1)
+    return bands.withColumn("_start", F.coalesce(F.sum("_in_band").over(order), F.lit(0)))
 
 
 def _wanted_ranks(bands: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
-    """Bands that hold a rank next to a wanted one, with the offsets of these ranks in the band.
-
-    A group has one row per band here, at most one more than there are edges.
-    """
-    of_group = W.partitionBy(*group)
-    before = of_group.orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
-    placed = bands.withColumns(
-        {
-            "_start": F.coalesce(F.sum("_in_band").over(before), F.lit(0)),
-            "_total": F.sum("_in_band").over(of_group),
-        }
-    )
+    """Bands that hold a rank next to a wanted one, with the offsets of these ranks in the band."""
+    placed = _placed(bands, group).withColumn("_total", F.sum("_in_band").over(W.partitionBy(*group)))
 
-    def rank(name: str, p: float, end: str):
+    def rank(name: str, p: float, end: str) -> Column:
         position = F.lit(p) * (F.col("_total") - 1)
         at = (F.floor(position) if end == "low" else F.ceil(position)).cast("long")
         return F.struct(F.lit(name).alias("p"), F.lit(end).alias("end"), (at - F.col("_start")).alias("offset"))
 
     ranks = F.array(*[rank(name, p, end) for name, p in probs.items() for end in ("low", "high")])
-    inside = F.filter(ranks, lambda r: (r["offset"] >= 0) & (r["offset"] < F.col("_in_band")))
-    return placed.select(*group, "_band", inside.alias("_ranks")).filter(F.size("_ranks") > 0)
+    return _holding(placed.withColumn("_ranks", ranks), group)
+
+
+def _holding(placed: DataFrame, key: list[str]) -> DataFrame:
+    inside = F.filter("_ranks", lambda r: (r["offset"] >= 0) & (r["offset"] < F.col("_in_band")))
+    return placed.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).select(*key, "_band", "_in_band", "_low", "_high", "_ranks")
+
+
+def _values_at(banded: DataFrame, wanted: DataFrame, key: list[str], group: list[str]) -> DataFrame:
+    """(group, p, end, v): the values at the wanted offsets of their bands."""
+    wanted = stage(wanted, "wanted_bands")
+    ready = wanted.filter("_low = _high")  # all rows of the band are the value
+    found = [ready.select(*group, F.explode("_ranks").alias("_rank"), F.col("_low").alias("v"))]
+    left = stage(wanted.filter("_low < _high"), "open_bands")
+    rows = stage(joins.lookup_join(banded.select(*key, "v"), left.select(*key), key, "left_semi", null_safe=True, stored=True), "band_rows")
+    while (left.agg(F.max("_in_band")).first()[0] or 0) > BAND_ROWS:
+        # Bands too large to order are banded again by a grid of their own values.
+        edges = rows.groupBy(*key).agg(F.percentile_approx("v", [i / GRID for i in range(1, GRID)], ACCURACY).alias("_edges"))
+        rows = stage(_banded(rows, stage(edges, "band_edges"), key), "band_rows")
+        parts = rows.withColumn("_parent", F.regexp_replace("_band", r"/\d+$", "")).groupBy(*key, "_parent").agg(
+            F.count("*").alias("_in_band"), F.min("v").alias("_low"), F.max("v").alias("_high")
+        )
+        above = left.select(*group, F.col("_band").alias("_parent"), "_ranks")
+        placed = joins.key_join(_placed(parts, [*group, "_parent"]), above, [*group, "_parent"], "inner", null_safe=True)
+        moved = F.transform("_ranks", lambda r: F.struct(r["p"].alias("p"), r["end"].alias("end"), (r["offset"] - F.col("_start")).alias("offset")))
+        wanted = stage(_holding(placed.withColumn("_ranks", moved), group), "wanted_bands")
+        found.append(wanted.filter("_low = _high").select(*group, F.explode("_ranks").alias("_rank"), F.col("_low").alias("v")))
+        left = stage(wanted.filter("_low < _high"), "open_bands")
+        rows = stage(joins.lookup_join(rows, left.select(*key), key, "left_semi", null_safe=True, stored=True), "band_rows")
+    copies = rows.groupBy(*key, "v").agg(F.count("*").alias("_copies"))
+    in_order = W.partitionBy(*key).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    ordered = copies.withColumn("_cum", F.sum("_copies").over(in_order))
+    hits = joins.key_join(ordered, left.select(*key, "_ranks"), key, "inner", null_safe=True)
+    hits = hits.select(*key, "v", "_cum", F.explode("_ranks").alias("_rank")).filter(F.col("_cum") > F.col("_rank.offset"))
+    found.append(hits.groupBy(*key, "_rank").agg(F.min("v").alias("v")).select(*group, "_rank", "v"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select(*group, "_rank.p", "_rank.end", "v")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustledger.functions import columns as C
 from gustledger.operators import joins
 from gustledger.plans import domain as D
+from gustledger.session import stage
 
 
 def in_period(facts: DataFrame, start, end) -> DataFrame:
@@ -54,30 +55,34 @@ def generation(
 
     ``end`` is an instant: a date keeps only the midnight row of that day. The facts are
     summed per asset and period before they meet the dimension, so an asset with very many
-    rows arrives at the join as one row per period; the project's assets, if few enough to
-    broadcast, already filter the scan. An unknown grain raises ValueError.
+    rows arrives at the join as one row per period; the project's assets, stored once, filter
+    the scan before. Infinite and huge cells show in the sums, as infinite or rounded doubles.
+    An unknown grain raises ValueError.
     """
     period = C.period(F.col("din_instante"), grain)
     facts = in_period(fato_geracao_spe, start, end)
-    assets = dim_spe.filter(F.col("projeto_cv") == project).select("spe")
-    if joins.fits_broadcast(assets):
-        facts = facts.join(F.broadcast(assets.distinct()), "spe", "left_semi")
+    assets = stage(dim_spe.filter(F.col("projeto_cv") == project).select("spe"), "assets")
+    facts = joins.lookup_join(facts, assets, ["spe"], "left_semi", stored=True)
     hours = F.lit(interval_hours).cast("decimal(9,6)")
+    sums = {"_verified": "val_geracaoverificada", "_estimated": "val_geracaoestimada", "_wind": "val_ventoverificado"}
     per_asset = facts.groupBy("spe", period.alias("periodo")).agg(
-        F.sum(C.exact(F.col("val_geracaoverificada"))).alias("_verified"),
-        F.sum(C.exact(F.col("val_geracaoestimada"))).alias("_estimated"),
-        F.sum(C.exact(F.col("val_ventoverificado"))).alias("_wind"),
+        *[F.sum(C.exact(F.col(c))).alias(n) for n, c in sums.items()],
+        *[F.sum(C.extreme(F.col(c))).alias(f"{n}_x") for n, c in sums.items()],
         F.count("val_ventoverificado").alias("_winds"),
     )
+
+    def energy(name: str) -> Column:
+        return C.total(F.sum(name), F.sum(f"{name}_x"), 2, hours)
+
+    wind = F.sum("_wind").cast("double")
+    wind = F.when(F.sum("_wind_x").isNull(), wind).otherwise(F.coalesce(wind, F.lit(0.0)) + F.sum("_wind_x"))
     return (
         per_asset.join(assets, "spe")
         .groupBy("periodo")
         .agg(
-            C.round_half_up(F.sum("_verified") * hours, 2).alias("total_mwh_verificado"),
-            C.round_half_up(F.sum("_estimated") * hours, 2).alias("total_mwh_estimado"),
-            C.round_half_up(F.sum("_wind").cast("double") / F.nullif(F.sum("_winds"), F.lit(0)), 2).alias(
-                "vento_medio_ms"
-            ),
+            energy("_verified").alias("total_mwh_verificado"),
+            energy("_estimated").alias("total_mwh_estimado"),
+            C.round_half_up(wind / F.nullif(F.sum("_winds"), F.lit(0)), 2).alias("vento_medio_ms"),
             F.count_distinct("spe").alias("qtd_spes_ativas"),
         )
         .orderBy("periodo")
@@ -99,10 +104,12 @@ def restrictions(
     ``total_mwh_cortado`` sums (reference - limit) without the interval length, as the reports
     in use do; ``energia_cortada_mwh`` is the same sum as energy. The facts are reduced to
     their group and code pair first, so the joins see few rows. A group that belongs to two
-    projects counts in both.
+    projects counts in both; ``shared_groups`` lists such groups.
     """
     codes = ["cod_razaorestricao", "cod_origemrestricao"]
-    final, initial = C.exact(F.col("val_geracaoreferenciafinal")), C.exact(F.col("val_geracaoreferencia"))
+    reference = F.coalesce("val_geracaoreferenciafinal", "val_geracaoreferencia").cast("double")
+    limit = F.col("val_geracaolimitada").cast("double")
+    ordinary = C.extreme(reference).isNull() & C.extreme(limit).isNull()
     facts = in_period(fato_geracao_conjunto, start, end).filter(F.col("cod_razaorestricao").isNotNull())
     links = dim_spe.select("id_ons_conjunto", "projeto_cv").distinct()
     if project is not None:
@@ -110,7 +117,8 @@ def restrictions(
         facts = joins.lookup_join(facts, members.distinct(), ["id_ons_conjunto"], "left_semi")
     per_group = facts.groupBy("id_ons_conjunto", *codes, F.col("dsc_restricao").alias("_text")).agg(
         F.count("*").alias("_rows"),
-        F.sum(F.coalesce(final, initial) - C.exact(F.col("val_geracaolimitada"))).alias("_cut"),
+        F.sum(F.when(ordinary, C.exact(reference) - C.exact(limit))).alias("_cut"),
+        F.sum(F.when(~ordinary, reference - limit)).alias("_cut_x"),
     )
     hours = F.lit(interval_hours).cast("decimal(9,6)")
     return (
@@ -126,8 +134,14 @@ def restrictions(
         .agg(
             F.coalesce(F.min("dsc_restricao_completa"), F.min("_text")).alias("descricao"),
             C.round_half_up(F.sum("_rows") * hours, 1).alias("total_horas_com_restricao"),
-            C.round_half_up(F.sum("_cut"), 2).alias("total_mwh_cortado"),
-            C.round_half_up(F.sum("_cut") * hours, 2).alias("energia_cortada_mwh"),
+            C.total(F.sum("_cut"), F.sum("_cut_x"), 2).alias("total_mwh_cortado"),
+            C.total(F.sum("_cut"), F.sum("_cut_x"), 2, hours).alias("energia_cortada_mwh"),
         )
         .orderBy(F.desc_nulls_last("total_mwh_cortado"))
     )
+
+
+def shared_groups(dim_spe: DataFrame) -> DataFrame:
+    """Groups whose assets belong to several projects, with the number of projects; there should be none."""
+    links = dim_spe.filter(F.col("id_ons_conjunto").isNotNull()).select("id_ons_conjunto", "projeto_cv").distinct()
+    return links.groupBy("id_ons_conjunto").agg(F.count("*").alias("projetos")).filter(F.col("projetos") > 1)

@@ -32,4 +32,4 @@ def rounded(expr: str, digits: int) -> str:
 
 
 def exact(expr: str) -> str:
-    return f"CAST({expr} AS DECIMAL(18,8))"
+    return f"CAST({expr} AS DECIMAL(26,12))"
