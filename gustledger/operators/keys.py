@@ -22,3 +22,11 @@ def assert_key(df: DataFrame, key: list[str], table: str) -> DataFrame:
     if bad:
         raise KeyViolation(f"{table}: key {key} is violated, e.g. {[r.asDict() for r in bad]}")
     return df
+
+
+def assert_not_null(df: DataFrame, key: list[str], table: str) -> DataFrame:
+    """Like ``assert_key`` where the rows were grouped by the key, so that it can't repeat."""
+    bad = df.filter(F.array_contains(F.array(*[F.col(k).isNull() for k in key]), True)).select(*key).take(5)
+    if bad:
+        raise KeyViolation(f"{table}: key {key} is violated, e.g. {[r.asDict() for r in bad]}")
+    return df

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustledger.operators import completeness, duplicates, keys
+from gustledger.operators import cleaning, completeness, duplicates, keys, profile
 from gustledger.plans import domain as D
-from gustledger.plans import report, silver, star
-from gustledger.session import stage
+from gustledger.plans import analytics, report, silver, star
+from gustledger.session import stage, staging_scope
 from gustledger.sources import files, sinks
 
 
@@ -25,13 +25,14 @@ def silver_layer(
 ) -> dict[str, DataFrame]:
     """Build and write Silver, quarantine, anomalies and the report under ``out``.
 
-    The joined rows are stored once in the shared folder: each sink then reads what it needs
-    from files, and a lost executor repeats one stage only.
+    The joined rows are stored once, as a table that the next run replaces: each sink then
+    reads what it needs from files, and a lost executor repeats one stage only. ``checks`` has
+    what a person should look at: keys that a join would lose, and groups that repeat rows.
     """
     registry = files.read_registry(spark, registry_path, D.REGISTRY_SCHEMA)
     detail = files.read_union(spark, detail_paths, D.DETAIL_TYPES, sep=sep)
     groups = files.read_union(spark, group_paths, D.GROUP_TYPES, file_column=None, sep=sep)
-    joined = stage(silver.build(detail, groups, registry, pattern), "joined")
+    joined = sinks.write_table(silver.build(detail, groups, registry, pattern), f"{out}/joined")
     treated = silver.treat(joined, policy)
 
     clean = sinks.write_table(by_month(treated.silver()), f"{out}/silver", D.MONTH).drop(D.MONTH)
@@ -52,6 +53,7 @@ def silver_layer(
         joined, clean, quarantine, treated.duplicate_counts(), registry, as_of, f"{out}/quarantine"
     )
     summary.write.mode("overwrite").text(f"{out}/report")
+    sinks.write_json_lines(source_checks(detail, groups), f"{out}/checks_silver")
     return {"silver": clean, "quarantine": quarantine, "joined": joined, "registry": registry}
 
 
@@ -59,24 +61,61 @@ def by_month(df: DataFrame) -> DataFrame:
     return df.withColumn(D.MONTH, F.date_format("din_instante", "yyyy_MM"))
 
 
+def _counted(check: str, df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("n")).select(F.lit(check).alias("check"), F.lit(None).cast("string").alias("item"), "n")
+
+
+def source_checks(detail: DataFrame, groups: DataFrame) -> DataFrame:
+    """(check, item, n): null join keys of both sources, and instants for which a group reports twice."""
+    frames = [
+        profile.null_counts(df, cleaning.present(df, names)).select(F.lit(f"null_keys_{side}").alias("check"), F.col("coluna").alias("item"), F.col("nulos").alias("n"))
+        for side, df, names in (
+            ("detail", detail, ["ceg", "din_instante", "nom_usina", "nom_conjuntousina"]),
+            ("groups", groups, ["nom_usina", "din_instante"]),
+        )
+    ]
+    return profile.union_all([*frames, _counted("repeated_groups", silver.repeated_groups(groups))])
+
+
+def gold_checks(gold: dict[str, DataFrame]) -> DataFrame:
+    """(check, item, n): rows of each table, coverage of the facts, and groups of several projects."""
+    counts = profile.table_counts(gold).select(F.lit("rows").alias("check"), F.col("table").alias("item"), "n")
+    seen = profile.coverage(gold["fato_geracao_spe"], gold["dim_spe"], "spe", "spe", "id_ons_conjunto")
+    cover = seen.unpivot([], seen.columns, "item", "n").select(F.lit("coverage").alias("check"), "item", "n")
+    return profile.union_all([counts, cover, _counted("shared_groups", analytics.shared_groups(gold["dim_spe"]))])
+
+
+# Tables whose plan groups by their key: only a null key is possible there.
+GROUPED = ("dim_conjunto", "dim_tempo", "fato_geracao_conjunto")
+
+
 def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Write the six Gold tables under ``out`` and check their keys; a broken key fails the run.
+    """Write the six Gold tables under ``out``; a broken key fails the run and leaves the old ones.
 
-    The facts lie in one folder per month, the tables are also views for SQL.
+    All tables are staged and checked before the first one is replaced. The facts lie in one
+    folder per month, the tables are also views for SQL.
     """
-    gold = {}
+    staged = {}
     for name, table in star.build(clean, registry).items():
+        staged[name] = stage(table, name)
+        key = D.GOLD_KEYS[name]
+        if key and name in GROUPED:
+            keys.assert_not_null(staged[name], key, name)
+        elif key:
+            keys.assert_key(staged[name], key, name)
+    gold = {}
+    for name, table in staged.items():
         if name.startswith("fato"):
             gold[name] = sinks.write_table(by_month(table), f"{out}/{name}", D.MONTH)
         else:
             gold[name] = sinks.write_table(table, f"{out}/{name}")
-        if D.GOLD_KEYS[name]:
-            keys.assert_key(gold[name], D.GOLD_KEYS[name], name)
     sinks.register_views(gold)
+    sinks.write_json_lines(gold_checks(gold), f"{out}/checks_gold")
     return gold
 
 
 def run(spark: SparkSession, detail_paths, group_paths, registry_path: str, out: str, **options):
-    """Silver, then Gold. ``options`` are those of ``silver_layer``."""
-    layer = silver_layer(spark, detail_paths, group_paths, registry_path, out, **options)
-    return {**layer, **gold_layer(layer["silver"], layer["registry"], out)}
+    """Silver, then Gold. ``options`` are those of ``silver_layer``; what the run staged is deleted at its end."""
+    with staging_scope(spark):
+        layer = silver_layer(spark, detail_paths, group_paths, registry_path, out, **options)
+        return {**layer, **gold_layer(layer["silver"], layer["registry"], out)}

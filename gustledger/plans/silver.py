@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gustledger.functions import columns as C
 from gustledger.operators import cleaning, contract, duplicates, joins
 from gustledger.plans import domain as D
+from gustledger.session import stage
 
 # Cells that the soft drop nulled; counted by the report and left out of Silver.
 AUDIT = ["aud_vento_fora_faixa", "aud_vento_flag", "aud_geracao_negativa"]
@@ -77,14 +78,25 @@ def join_groups(assets: DataFrame, groups: DataFrame) -> DataFrame:
     return joined.withColumns(zero)
 
 
+def repeated_groups(groups: DataFrame) -> DataFrame:
+    """Instants for which a group reports more than once, in any case of its name; each doubles asset rows."""
+    name = F.upper("nom_usina")
+    known = groups.select(name.alias("nom_usina"), C.to_instant(F.col("din_instante")).alias("din_instante")).dropna()
+    return known.groupBy("nom_usina", "din_instante").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+
+
 def typed(df: DataFrame) -> DataFrame:
     """Instants and measurements in their types, whatever the files held."""
     return cleaning.coerce_numbers(cleaning.coerce_instant(df, "din_instante"))
 
 
 def build(detail: DataFrame, groups: DataFrame, registry: DataFrame, pattern: str = D.PLANT_KEY) -> DataFrame:
-    """Joined Silver rows before the checks, with the audit columns."""
-    assets = registered_assets(typed(detail), registry, pattern)
+    """Joined Silver rows before the checks, with the audit columns.
+
+    The registered assets are stored: the wanted groups, the keys and the join read them, so
+    the raw rows are read and typed once.
+    """
+    assets = stage(registered_assets(typed(detail), registry, pattern), "assets")
     joined = join_groups(assets, wanted_groups(typed(groups), assets))
     counters = ["flg_alerta_limitada", "flg_estimada_por_historico", *AUDIT]
     return cleaning.clean_null_tokens(joined).withColumns({c: F.col(c).cast("int") for c in counters})

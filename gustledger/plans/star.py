@@ -75,7 +75,9 @@ def fato_geracao_conjunto(silver: DataFrame) -> DataFrame:
 
     An instant is missing if all its asset rows were rejected. The assets of a group repeat
     the same group texts, so the numbers are first reduced per grain and texts by hash
-    aggregation, combined on the map side; the aggregate on text sorts what is left.
+    aggregation, combined on the map side; the aggregate on text sorts what is left. Reason,
+    origin and description come from one row, the lowest, so they belong together; a row with
+    a reason goes before one without.
     """
     grain = ["id_ons_conjunto", "din_instante"]
     text = ["cod_razaorestricao", "cod_origemrestricao", "dsc_restricao"]
@@ -89,11 +91,12 @@ def fato_geracao_conjunto(silver: DataFrame) -> DataFrame:
     }
     known = silver.filter(F.col("id_ons_conjunto").isNotNull())
     per_text = known.groupBy(*grain, *text).agg(*[F.max(c).alias(n) for c, n in names.items()])
-    return per_text.groupBy(*grain).agg(
-        *[F.max(n).alias(n) for n in names.values() if n != "flg_alerta_limitada"],
-        *[F.min(c).alias(c) for c in text],
-        F.max("flg_alerta_limitada").alias("flg_alerta_limitada"),
+    lowest = F.struct(*[part for c in text for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
+    numbers = [n for n in names.values() if n != "flg_alerta_limitada"]
+    one = per_text.groupBy(*grain).agg(
+        *[F.max(n).alias(n) for n in numbers], F.min(lowest).alias("_texts"), F.max("flg_alerta_limitada").alias("flg_alerta_limitada")
     )
+    return one.select(*grain, *numbers, *[F.col(f"_texts.{c}").alias(c) for c in text], "flg_alerta_limitada")
 
 
 def build(silver: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
