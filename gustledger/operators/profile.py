@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,33 +63,34 @@ def null_counts(df: DataFrame, names: list[str]) -> DataFrame:
     return long_metrics(df, {n: F.count_if(F.col(n).isNull()) for n in names}, "coluna", "nulos")
 
 
-def trace(layers: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """(layer, n) of the rows that satisfy each layer's predicate."""
+def trace(layers: dict[str, tuple[DataFrame, Column]], key: str | None = None) -> DataFrame:
+    """(layer, n) of the rows that satisfy each layer's predicate; with ``key`` also ``example``, the lowest key among them."""
+    aggs = [F.count("*").alias("n")] + ([F.min(key).alias("example")] if key else [])
     return union_all(
-        [df.filter(cond).agg(F.count("*").alias("n")).select(F.lit(layer).alias("layer"), "n")
-         for layer, (df, cond) in layers.items()]
+        [df.filter(cond).agg(*aggs).select(F.lit(layer).alias("layer"), "*") for layer, (df, cond) in layers.items()]
     )
 
 
 def health(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(table, status, n, detail): UP with its count, DEGRADED if empty, DOWN if it cannot be read."""
-    frames = []
-    for name, path in paths.items():
+    """(table, status, n, detail): UP with its count, DEGRADED if empty or damaged, DOWN if it isn't there.
+
+    Each table is counted by itself, several at a time, so a damaged one does not hide the others.
+    """
+
+    def one(name: str) -> tuple:
         try:
-            n = spark.read.parquet(path).agg(F.count("*").alias("n"))
+            n = spark.read.parquet(paths[name]).count()
         except AnalysisException as e:
-            down = [(name, "DOWN", None, e.getCondition())]
-            frames.append(spark.createDataFrame(down, "table string, status string, n long, detail string"))
-            continue
-        frames.append(
-            n.select(
-                F.lit(name).alias("table"),
-                F.when(F.col("n") > 0, "UP").otherwise("DEGRADED").alias("status"),
-                "n",
-                F.lit(None).cast("string").alias("detail"),
-            )
-        )
-    return union_all(frames)
+            return name, "DOWN", None, e.getCondition()
+        except PySparkException as e:
+            return name, "DEGRADED", None, e.getCondition() or type(e).__name__
+        except Py4JJavaError as e:
+            return name, "DEGRADED", None, e.java_exception.getClass().getSimpleName()
+        return name, "UP" if n else "DEGRADED", n, None
+
+    with ThreadPoolExecutor(8) as pool:
+        rows = list(pool.map(one, paths))
+    return spark.createDataFrame(rows, "table string, status string, n long, detail string")
 
 
 def null_percentages(df: DataFrame, metrics: list[str], name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gustledger.functions import columns as C
@@ -17,7 +19,7 @@ from gustledger.operators import (
 )
 from gustledger.plans import analytics
 from gustledger.queries.registry import exact, query, rounded, table
-from gustledger.session import stage
+from gustledger.session import stage, staging_root
 from gustledger.sources import files, sinks
 
 TABLES = [
@@ -559,15 +561,30 @@ def completeness_problems(spark, d):
     return completeness.problem_assets(_asset_completeness(spark, d), "project", "asset")
 
 
+_AS_OF = ["2024-01-20", "2024-02-15", "2024-06-15"]
+
+
 @query(
     "freshness",
-    """
-    SELECT 'OK' AS status, TRUE AS ok, '01/2024' AS ultimo_mes_esperado,
-           'Último registro: ' || strftime(MAX(ts), '%d/%m/%Y %H:%M') AS mensagem FROM events
-    HAVING DATE_TRUNC('month', MAX(ts)) = TIMESTAMP '2024-01-01'""",
+    " UNION ALL ".join(
+        f"""
+    SELECT '{day}' AS as_of,
+           CASE WHEN last IS NULL OR last < want THEN 'FALHA' WHEN last = want THEN 'OK' ELSE 'ALERTA' END AS status,
+           COALESCE(last = want, FALSE) AS ok, strftime(want, '%m/%Y') AS ultimo_mes_esperado,
+           CASE WHEN last = want THEN 'Último registro: ' || strftime(ts, '%d/%m/%Y %H:%M')
+                WHEN last > want THEN 'Base contém dados do mês atual (' || strftime(ts, '%m/%Y') || ')'
+                ELSE 'Dados desatualizados. Último: ' || strftime(ts, '%d/%m/%Y %H:%M') END AS mensagem
+    FROM (SELECT MAX(ts) AS ts, DATE_TRUNC('month', MAX(ts)) AS last,
+                 DATE_TRUNC('month', DATE '{day}') - INTERVAL 1 MONTH AS want FROM events)"""
+        for day in _AS_OF
+    ),
 )
 def freshness(spark, d):
-    return completeness.freshness(table(spark, d, "events"), "ts", F.lit("2024-02-15").cast("date"))
+    """Seen from three days: the last month is the current one, the one before, and long ago."""
+    events = table(spark, d, "events")
+    return profile.union_all(
+        [completeness.freshness(events, "ts", F.lit(day).cast("date")).select(F.lit(day).alias("as_of"), "*") for day in _AS_OF]
+    )
 
 
 @query(
@@ -689,9 +706,9 @@ def fact_coverage(spark, d):
 @query(
     "trace",
     """
-    SELECT 'raw' AS layer, COUNT(*) AS n FROM documents WHERE text LIKE '%the%'
-    UNION ALL SELECT 'filtered', COUNT(*) FROM documents WHERE lang = 'en' AND text LIKE '%the%'
-    UNION ALL SELECT 'final', COUNT(*) FROM documents JOIN labels USING (doc_id)
+    SELECT 'raw' AS layer, COUNT(*) AS n, MIN(doc_id) AS example FROM documents WHERE text LIKE '%the%'
+    UNION ALL SELECT 'filtered', COUNT(*), MIN(doc_id) FROM documents WHERE lang = 'en' AND text LIKE '%the%'
+    UNION ALL SELECT 'final', COUNT(*), MIN(doc_id) FROM documents JOIN labels USING (doc_id)
               WHERE quality = 1 AND text LIKE '%the%'""",
 )
 def trace(spark, d):
@@ -703,14 +720,16 @@ def trace(spark, d):
             "raw": (documents, word),
             "filtered": (documents, (F.col("lang") == "en") & word),
             "final": (labelled, (F.col("quality") == 1) & word),
-        }
+        },
+        "doc_id",
     )
 
 
 @query(
     "health",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", 'UP' AS status, COUNT(*) AS n, CAST(NULL AS VARCHAR) AS detail FROM {t}"
+        f"SELECT '{t}' AS \"table\", CASE WHEN COUNT(*) > 0 THEN 'UP' ELSE 'DEGRADED' END AS status, COUNT(*) AS n,"
+        f" CAST(NULL AS VARCHAR) AS detail FROM {t}"
         for t in TABLES
     ),
 )
@@ -726,20 +745,34 @@ def table_counts(spark, d):
     return profile.table_counts({t: table(spark, d, t) for t in TABLES})
 
 
+_ORDER_COLUMNS = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+    "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+}
+
+
 @query(
     "table_profile",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, '{t}' AS column_type, COUNT({c}) AS preenchidos FROM orders"
-        for c, t in {
-            "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
-            "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
-        }.items()
-    ),
+    " UNION ALL ".join([
+        "SELECT 'count' AS section, 'total_linhas' AS item, CAST(COUNT(*) AS VARCHAR) AS value FROM orders",
+        *[f"SELECT 'schema', '{c}', '{t}'" for c, t in _ORDER_COLUMNS.items()],
+        "SELECT 'files', 'orders.parquet', CAST(COUNT(*) AS VARCHAR) FROM orders",
+        """SELECT 'sample', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR)
+           FROM (SELECT * FROM orders ORDER BY o_orderkey NULLS LAST, o_custkey NULLS LAST LIMIT 5)""",
+    ]),
 )
 def table_profile(spark, d):
-    orders = table(spark, d, "orders")
-    filled = profile.long_metrics(orders, {c: F.count(c) for c in orders.columns}, "column_name", "preenchidos")
-    return profile.describe(orders).join(filled, "column_name")
+    """The parts of a profile as (section, item, value)."""
+    parts = profile.table_profile(table(spark, d, "orders"), ["o_orderkey", "o_custkey"])
+    cells = {
+        "count": (F.lit("total_linhas"), F.col("total_linhas")),
+        "schema": (F.col("column_name"), F.col("column_type")),
+        "sample": (F.col("o_orderkey"), F.col("o_custkey")),
+        "files": (F.col("filename"), F.col("total_linhas")),
+    }
+    return profile.union_all(
+        [parts[n].select(F.lit(n).alias("section"), k.cast("string").alias("item"), v.cast("string").alias("value")) for n, (k, v) in cells.items()]
+    )
 
 
 @query(
@@ -769,3 +802,91 @@ def json_records(spark, d):
             F.col("o_orderdate").alias("date"),
         )
     )
+
+
+# --- files ----------------------------------------------------------------------------------
+
+def _folder(spark, name: str) -> str:
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "union_drift",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority
+    FROM orders""",
+)
+def union_drift(spark, d):
+    """One folder of three deliveries: prices as numbers, as text, and with a further column."""
+    orders, folder = table(spark, d, "orders"), _folder(spark, "deliveries")
+    plain = orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    of = lambda i: F.col("o_orderkey") % 3 == i
+    plain.filter(of(0)).write.parquet(f"{folder}/a")
+    plain.filter(of(1)).withColumn("o_totalprice", F.col("o_totalprice").cast("string")).write.parquet(f"{folder}/b")
+    orders.filter(of(2)).select(*plain.columns, "o_orderpriority").write.parquet(f"{folder}/c")
+    return files.read_union(spark, [folder], {"o_totalprice": "double"}, file_column=None)
+
+
+@query(
+    "salted_lookup",
+    "SELECT l_orderkey, l_linenumber, l_partkey, p_size FROM lineitem JOIN part ON l_partkey = p_partkey",
+)
+def salted_lookup(spark, d):
+    """Keys of different types, and every key with more than ten rows split."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = table(spark, d, "part").select(F.col("p_partkey").cast("double").alias("l_partkey"), "p_size")
+    return joins.salted_join(lines, parts, ["l_partkey"], rows_per_task=10)
+
+
+@query(
+    "monthly_files",
+    """
+    SELECT strftime(o_orderdate, '%Y_%m') AS mes, COUNT(*) AS pedidos, CAST(MIN(o_orderkey) AS BIGINT) AS primeiro
+    FROM orders WHERE o_orderdate >= (SELECT DATE_TRUNC('month', MAX(o_orderdate)) - INTERVAL 3 MONTH FROM orders)
+                  AND o_orderdate < (SELECT DATE_TRUNC('month', MAX(o_orderdate)) FROM orders)
+    GROUP BY 1""",
+)
+def monthly_files(spark, d):
+    """The last three whole months, delivered as parquet and CSV in turn, found and read by month."""
+    orders, folder = table(spark, d, "orders"), _folder(spark, "months")
+    labelled = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy_MM").alias("mes"))
+    months = files.month_list(orders.agg(F.max("o_orderdate")).first()[0].date(), 3)
+    for i, month in enumerate(months):
+        rows, path = labelled.filter(F.col("mes") == month), f"{folder}/orders_{month}"
+        if i % 2:
+            rows.write.option("header", True).csv(f"{path}.csv")
+        else:
+            rows.write.parquet(f"{path}.parquet")
+    found = files.read_monthly(spark, folder, "orders", months, {"o_orderkey": "bigint"})
+    return found.groupBy("mes").agg(F.count("*").alias("pedidos"), F.min("o_orderkey").alias("primeiro"))
+
+
+@query("registry_file", "SELECT CAST(c_custkey AS VARCHAR) AS spe, c_name AS ceg, c_mktsegment AS projeto FROM customer")
+def registry_file(spark, d):
+    """A registry written as CSV and read with its declared schema."""
+    path = _folder(spark, "registry")
+    rows = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("spe"), F.col("c_name").alias("ceg"), F.col("c_mktsegment").alias("projeto"))
+    rows.write.option("header", True).csv(path)
+    return files.read_registry(spark, path, "spe string, ceg string, projeto string")
+
+
+@query(
+    "table_sink",
+    "SELECT o_orderkey, o_totalprice, o_orderdate, strftime(o_orderdate, '%Y_%m') AS mes FROM orders WHERE o_orderkey % 2 = 1",
+)
+def table_sink(spark, d):
+    """Written by month, then replaced by its odd keys, as read back."""
+    path = _folder(spark, "table")
+    rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", F.date_format("o_orderdate", "yyyy_MM").alias("mes"))
+    sinks.write_table(rows, path, "mes")
+    return sinks.write_table(rows.filter(F.col("o_orderkey") % 2 == 1), path, "mes")
+
+
+@query(
+    "json_sink",
+    """SELECT '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value FROM customer""",
+)
+def json_sink(spark, d):
+    path = _folder(spark, "lines")
+    sinks.write_json_lines(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), path)
+    return spark.read.text(path)

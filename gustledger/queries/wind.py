@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gustledger.operators import completeness, duplicates, profile
 from gustledger.plans import analytics, report, silver, star
+from gustledger.plans import domain as D
 from gustledger.queries.registry import exact, query, rounded, table
 from gustledger.session import stage
 from gustledger.sources import sinks
@@ -205,25 +206,21 @@ _GOLD = _SPLIT + """
                d.id_ons_conjunto
         FROM seed s LEFT JOIN (SELECT DISTINCT nome_spe_cv, nom_usina, nom_modalidadeoperacao, id_ons_spe,
                                       id_ons_conjunto FROM silver) d ON UPPER(s.spe) = UPPER(d.nome_spe_cv)),
-    dim_restricao(reason, origin, txt) AS (VALUES
-        ('REL', 'LOC', 'Indisponibilidade externa elétrica local'),
-        ('REL', 'SIS', 'Indisponibilidade externa elétrica sistêmica'),
-        ('CNF', 'LOC', 'Atendimento a requisitos de confiabilidade local'),
-        ('CNF', 'SIS', 'Atendimento a requisitos de confiabilidade sistêmica'),
-        ('ENE', 'LOC', 'Razão energética local'),
-        ('ENE', 'SIS', 'Razão energética sistêmica'),
-        ('PAR', 'LOC', 'Restrição indicada no parecer de acesso local'),
-        ('PAR', 'SIS', 'Restrição indicada no parecer de acesso sistêmica')),
-    fato_conjunto AS (
+    dim_restricao(reason, origin, txt) AS (VALUES {codes}),
+    fato_textos AS (
         SELECT id_ons_conjunto, din_instante, MAX(val_geracao_conjunto) AS val_geracao,
                MAX(val_geracaolimitada_conjunto) AS val_geracaolimitada,
                MAX(val_disponibilidade_conjunto) AS val_disponibilidade,
                MAX(val_geracaoreferencia_conjunto) AS val_geracaoreferencia,
                MAX(val_geracaoreferenciafinal_conjunto) AS val_geracaoreferenciafinal,
-               MIN(cod_razaorestricao) AS cod_razaorestricao, MIN(cod_origemrestricao) AS cod_origemrestricao,
-               MIN(dsc_restricao) AS dsc_restricao, MAX(flg_alerta_limitada) AS flg_alerta_limitada
-        FROM silver WHERE id_ons_conjunto IS NOT NULL GROUP BY 1, 2)
-    """
+               MIN(struct_pack(a := cod_razaorestricao IS NULL, b := cod_razaorestricao, c := cod_origemrestricao IS NULL,
+                               d := cod_origemrestricao, e := dsc_restricao IS NULL, f := dsc_restricao)) AS texts,
+               MAX(flg_alerta_limitada) AS flg_alerta_limitada
+        FROM silver WHERE id_ons_conjunto IS NOT NULL GROUP BY 1, 2),
+    fato_conjunto AS (
+        SELECT * EXCLUDE (texts), texts.b AS cod_razaorestricao, texts.d AS cod_origemrestricao, texts.f AS dsc_restricao
+        FROM fato_textos)
+    """.replace("{codes}", ", ".join(map(str, D.RESTRICTIONS)))
 
 
 def _pick(ctes: str, last: str) -> str:
@@ -286,11 +283,7 @@ def anomaly_list(spark, d):
 
 # --- report ---------------------------------------------------------------------------------
 
-@query(
-    "volumetry",
-    _pick(
-        _SPLIT,
-        """
+_VOLUMETRY = """
     SELECT (SELECT COUNT(*) FROM joined) AS total_registros_brutos,
            (SELECT COUNT(*) FROM counted WHERE kn = fn) - (SELECT COUNT(*) FROM unique_rows)
                AS duplicatas_identicas_removidas,
@@ -303,37 +296,32 @@ def anomaly_list(spark, d):
                AS vento_anulado_na_origem_bruta,
            COUNT(*) FILTER (val_geracao_conjunto IS NULL) AS geracao_conj_anulada_soft_drop,
            COUNT(*) FILTER (flg_alerta_limitada = 1) AS alertas_limitada_flag
-    FROM silver""",
-    ),
-)
+    FROM silver"""
+
+
+@query("volumetry", _pick(_SPLIT, _VOLUMETRY))
 def volumetry(spark, d):
     joined, treated = _treated(spark, d)
     return report.volumetry(joined, treated.silver(), treated.quarantine(), treated.duplicate_counts())
 
 
-@query(
-    "integrity",
-    _pick(
-        _SPLIT,
-        """
+_INTEGRITY = """
     SELECT (SELECT COUNT(*) FROM seed) AS spes_esperadas, COUNT(DISTINCT nome_spe_cv) AS spes_com_dados,
-           COUNT(*) FILTER (id_ons_conjunto IS NULL) AS registros_sem_conjunto_apos_join FROM silver""",
-    ),
-)
+           COUNT(*) FILTER (id_ons_conjunto IS NULL) AS registros_sem_conjunto_apos_join FROM silver"""
+
+
+@query("integrity", _pick(_SPLIT, _INTEGRITY))
 def integrity(spark, d):
     return report.integrity(_treated(spark, d)[1].silver(), registry(spark, d))
 
 
-@query(
-    "wind_states",
-    _pick(
-        _SPLIT,
-        """
+_STATES = """
     SELECT COUNT(*) FILTER (flg_dadoventoinvalido = 0) AS valido_flag_0,
            COUNT(*) FILTER (flg_dadoventoinvalido = 1) AS invalido_flag_1_estimativa_por_historico,
-           COUNT(*) FILTER (flg_dadoventoinvalido IS NULL) AS sem_dado_flag_null FROM silver""",
-    ),
-)
+           COUNT(*) FILTER (flg_dadoventoinvalido IS NULL) AS sem_dado_flag_null FROM silver"""
+
+
+@query("wind_states", _pick(_SPLIT, _STATES))
 def wind_states(spark, d):
     return report.wind_states(_treated(spark, d)[1].silver())
 
@@ -360,14 +348,34 @@ def business_rules(spark, d):
     return report.business_rules(joined, treated.silver())
 
 
-@query("quality_report")
+_SECTIONS = {"volumetria": _VOLUMETRY, "integridade_referencial": _INTEGRITY, "estados_vento": _STATES}
+
+
+@query(
+    "quality_report",
+    _pick(
+        _SPLIT,
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS section, key, CAST(value AS VARCHAR) AS value
+            FROM (UNPIVOT ({sql}) ON COLUMNS(*) INTO NAME key VALUE value)"""
+            for name, sql in _SECTIONS.items()
+        ),
+    ),
+)
 def quality_report(spark, d):
+    """The counters of the JSON report as (section, key, value)."""
     joined, treated = _treated(spark, d)
     clean, quarantine = stage(treated.silver(), "silver"), stage(treated.quarantine(), "quarantine")
     as_of = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
-    return report.quality_report(
+    text = report.quality_report(
         joined, clean, quarantine, treated.duplicate_counts(), registry(spark, d), as_of, "quarantine"
     )
+    parts = [
+        F.struct(F.lit(s).alias("section"), F.from_json(F.get_json_object("json", f"$.{s}"), "map<string,string>").alias("m"))
+        for s in _SECTIONS
+    ]
+    sections = text.select(F.explode(F.array(*parts)).alias("s"))
+    return sections.select("s.section", F.explode("s.m").alias("key", "value"))
 
 
 # --- Gold -----------------------------------------------------------------------------------
