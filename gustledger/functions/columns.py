@@ -85,21 +85,22 @@ def embedded_key(c: Column, pattern: str) -> Column:
     return F.regexp_extract(c, pattern, 0)
 
 
-# Measurements below this size are summed as decimals with twelve digits after the point.
-EXACT_BELOW = 1e13
+# Zero and measurements of these sizes are summed as decimals with eight digits after the point.
+EXACT_FROM, EXACT_BELOW = 1e-3, 1e13
 
 
 def _fits(v: Column) -> Column:
-    return F.abs(v.cast("double")) < EXACT_BELOW
+    size = F.abs(v.cast("double"))
+    return (size < EXACT_BELOW) & ((size >= EXACT_FROM) | (size == 0))
 
 
 def exact(v: Column) -> Column:
     """Decimal form of an ordinary measurement, so that sums do not depend on the order of the rows."""
-    return F.when(_fits(v), v).cast("decimal(26,12)")
+    return F.when(_fits(v), v).cast("decimal(22,8)")
 
 
 def extreme(v: Column) -> Column:
-    """What has no place in ``exact``: infinite, NaN and huge values, as doubles."""
+    """What has no place in ``exact``: infinite, NaN, huge and tiny values, as doubles."""
     return F.when(~_fits(v), v.cast("double"))
 
 

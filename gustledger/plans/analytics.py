@@ -56,7 +56,7 @@ def generation(
     ``end`` is an instant: a date keeps only the midnight row of that day. The facts are
     summed per asset and period before they meet the dimension, so an asset with very many
     rows arrives at the join as one row per period; the project's assets, stored once, filter
-    the scan before. Infinite and huge cells show in the sums, as infinite or rounded doubles.
+    the scan before. Infinite, huge and tiny cells count in the sums as doubles.
     An unknown grain raises ValueError.
     """
     period = C.period(F.col("din_instante"), grain)
