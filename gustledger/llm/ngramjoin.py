@@ -19,6 +19,7 @@ empty table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,38 +33,47 @@ from gustledger.llm.similarity import linked_components, with_pivots
 KEPT = 500_000   # distinct words that a task remembers before it starts anew
 SUBSETS_UP_TO = 12  # differing shingles up to which partitions have three parts
 LIGHT = 2        # shingles that a signature should have
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+BUCKETS = 128    # of a sketch
 
 
 class Shingles:
     """Hashes of the distinct word n-grams of texts."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.at, self.hashes = words, {}, np.zeros(0, np.uint64)
+        self.factors = mix64(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
 
     def sets(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The sorted hashes of all texts, one text after the other, and how many each has."""
-        known = self.known
-        if len(known) > KEPT:
-            known = self.known = {}
+        if len(self.at) > KEPT:
+            self.at, self.hashes = {}, np.zeros(0, np.uint64)
         split = [t.lower().split() for t in texts]
-        for w in {w for own in split for w in own}.difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        at, known = self.at, len(self.at)
+        number = at.setdefault
+        order = np.array([number(w, len(at)) for own in split for w in own], np.int64)
+        new = [xxhash.xxh3_64_intdigest(w) for w in islice(at, known, None)]
+        self.hashes = np.r_[self.hashes, np.array(new, np.uint64)]
+        flat = self.hashes[order]
         sizes = np.array([len(s) for s in split], np.int64)
-        flat = np.fromiter((known[w] for own in split for w in own), np.uint64, int(sizes.sum()))
-        counts = np.where(sizes == 0, 0, np.maximum(sizes - self.words + 1, 1))
-        starts = np.cumsum(sizes) - sizes
-        at = ragged(starts, counts)
-        rows = np.repeat(np.arange(len(texts)), counts)
-        ends = np.repeat(starts + sizes, counts)
-        mixed = np.zeros(len(at), np.uint64)
-        for j in range(self.words):  # a text of fewer words is one shingle of those it has
-            there = at + j < ends
-            factor = _FACTORS[j % len(_FACTORS)] * np.uint64(2 * (j // len(_FACTORS)) + 1)
-            mixed[there] += mix64(flat[at[there] + j] + np.uint64(j)) * factor
+        ends = np.cumsum(sizes)
+        # All windows of the joined texts, then those that lie within one text.
+        width = self.words
+        windows = np.zeros(max(0, len(flat) - width + 1), np.uint64)
+        for j in range(width):
+            windows += flat[j : j + len(windows)] * self.factors[j]
+        counts = np.where(sizes == 0, 0, np.maximum(sizes - width + 1, 1))
+        mixed = np.zeros(int(counts.sum()), np.uint64)
+        whole = sizes >= width
+        stops = np.cumsum(counts)
+        inside = np.repeat(whole, counts)
+        mixed[inside] = windows[ragged((ends - sizes)[whole], counts[whole])]
+        for i in np.flatnonzero((sizes > 0) & ~whole):  # a text of fewer words is one shingle of those it has
+            own = flat[ends[i] - sizes[i] : ends[i]]
+            mixed[stops[i] - 1] = (own * self.factors[: len(own)]).sum(dtype=np.uint64) + np.uint64(len(own))
         mixed = mix64(mixed)
-        order = np.lexsort((mixed, rows))
-        mixed, rows = mixed[order], rows[order]
+        for a, b in zip((stops - counts).tolist(), stops.tolist(), strict=True):
+            mixed[a:b].sort()
+        rows = np.repeat(np.arange(len(texts)), counts)
         new = np.r_[True, (mixed[1:] != mixed[:-1]) | (rows[1:] != rows[:-1])] if len(rows) else np.zeros(0, bool)
         return mixed[new], np.bincount(rows[new], minlength=len(texts))
 
@@ -152,7 +162,9 @@ def _sets(words: int, rows: str, percent: int = 0):
                 offsets = np.r_[0, np.cumsum(sizes)]
                 if rows == "sets":
                     blobs = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array(blobs, pa.binary())], ["id", "blob"])
+                    sketches = [x.tobytes() for x in _sketches(hashes, sizes)]
+                    columns = [pa.array(digests), pa.array(blobs, pa.binary()), pa.array(sketches, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "blob", "sketch"])
                     continue
                 new = []
                 for i, d in enumerate(digests.tolist()):
@@ -167,6 +179,37 @@ def _sets(words: int, rows: str, percent: int = 0):
     return run
 
 
+def _sketches(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The size of each set, and its shingles by bucket: what two sketches differ by, the sets differ by at least."""
+    at = np.repeat(np.arange(len(sizes)), sizes) * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    return np.concatenate([sizes[:, None], np.bincount(at, minlength=len(sizes) * BUCKETS).reshape(-1, BUCKETS)], 1).astype(np.int32)
+
+
+def _bounds(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.int32).reshape(-1, BUCKETS + 1)
+
+
+def at_least(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """What each pair's distance is at least."""
+    x, y = _bounds(left), _bounds(right)
+    apart = np.abs(x[:, 1:] - y[:, 1:]).sum(1)
+    return 2 * apart / np.maximum(x[:, 0] + y[:, 0] + apart, 1)
+
+
+def may_link(most: float):
+    """Whether pairs of a block may be within a distance, from their sketches."""
+
+    def blockwise(left: list[bytes], right: list[bytes]) -> np.ndarray:
+        x, y = _bounds(left), _bounds(right)
+        out = np.zeros((len(x), len(y)), bool)
+        for i, row in enumerate(x):
+            apart = np.abs(y[:, 1:] - row[1:]).sum(1)
+            out[i] = 2 * apart <= (most + 1e-9) * (y[:, 0] + row[0] + apart)
+        return out
+
+    return blockwise
+
+
 def _measures(percent: int):
     def hits(x: np.ndarray, y: np.ndarray) -> int:
         return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
@@ -225,10 +268,11 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, doc_i
     wanted = members.select("id").distinct()
     owners = sized.filter("doc_id IS NOT NULL").join(wanted, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
     owners = stage(owners, "set-owners")
-    sets = known.join(owners.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(words, "sets"), "id long, blob binary")
+    sets = known.join(owners.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(words, "sets"), "id long, blob binary, sketch binary")
     # An id that several rows share may bring other sets along; equal sets are taken once.
     sets = stage(sets.join(owners.select("id"), "id", "left_semi").withColumn("weight", F.lit(1)), "sets")
-    linked = linked_components(members, sets, 1 - percent / 100, *_measures(percent))
+    t = 1 - percent / 100
+    linked = linked_components(members, sets, t, *_measures(percent), at_least, may_link(t))
     tops = sized.filter("doc_id IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
     tops = stage(tops.join(linked, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "least"), "tops")
     least = stage(tops.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")

@@ -4,7 +4,8 @@ A bucket's members are first held against one of them, its pivot. The measures a
 pair within the radius ``t`` that shares a bucket is either in the ball of three radii around the
 pivot, or both are more than two radii away from it. The balls join up to clusters, which are
 compared in blocks of bounded size inside tasks; what a task returns is bounded by its block, not
-by its pairs. Members away from their pivot are compared bucket by bucket in the same way.
+by its pairs. Members away from their pivot are compared bucket by bucket in the same way, after
+small sketches, which bound distances from below, have ruled out nearly all of them.
 """
 
 from __future__ import annotations
@@ -47,6 +48,20 @@ def verified(pairs: DataFrame, blobs: DataFrame, measure: Pairwise) -> DataFrame
     return both.mapInArrow(run, "a long, b long, linked boolean, distance double")
 
 
+def bounded(pairs: DataFrame, sketches: DataFrame, bound: Callable[[list[bytes], list[bytes]], np.ndarray]) -> DataFrame:
+    """a, b and least: what the distance of every pair is at least, from the sketches (id, sketch)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = bound(batch.column(2).to_pylist(), batch.column(3).to_pylist()) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(least, pa.float64())], ["a", "b", "least"])
+
+    left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
+    right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
+    both = ship(pairs).join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b")
+    return both.mapInArrow(run, "a long, b long, least double")
+
+
 def _forest(links: np.ndarray, n: int) -> list[tuple[int, int]]:
     """Edges that connect what the links (i, j) connect, at most one fewer than the things."""
     root, kept = list(range(n)), []
@@ -65,12 +80,13 @@ def _forest(links: np.ndarray, n: int) -> list[tuple[int, int]]:
     return kept
 
 
-def compared(groups: DataFrame, blobs: DataFrame, measure: Blockwise, count: bool = False) -> DataFrame:
+def compared(groups: DataFrame, blobs: DataFrame, measure: Blockwise, count: bool = False, members: bool = False) -> DataFrame:
     """All pairs of each group (gid, id, part) whose parts differ, in blocks.
 
     Rows (a, b, null) are links that connect whatever the links connect, rows (a, null, n) how much
-    weight a's links within its group have, with ``count``. The largest part of a group is never
-    held against itself, so it costs one pass over it for each block of the others.
+    weight a's links within its group have, with ``count``. With ``members`` the rows are those of
+    ``groups`` that have any link. The largest part of a group is never held against itself, so it
+    costs one pass over it for each block of the others.
     """
     sizes = groups.groupBy("gid", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("gid").agg(F.max_by("part", "n").alias("main"), F.max("n").alias("top"), F.sum("n").alias("n"))
@@ -98,6 +114,11 @@ def compared(groups: DataFrame, blobs: DataFrame, measure: Blockwise, count: boo
         x = np.flatnonzero(block == lo)
         y = x if lo == hi else np.flatnonzero(block == hi)
         a, b, n = [], [], []
+        if members:
+            linked = measure([data[i] for i in x], [data[j] for j in y]) if len(x) and len(y) else np.zeros((len(x), len(y)), bool)
+            linked &= parts[x][:, None] != parts[y][None, :]
+            own = np.unique(np.r_[x[linked.any(1)], y[linked.any(0)]])
+            return pa.table({"gid": pa.array([key[0].as_py()] * len(own), pa.int64()), "id": pa.array(ids[own]), "part": pa.array(parts[own])})
         if len(x) and len(y):
             linked = measure([data[i] for i in x], [data[j] for j in y]) & (parts[x][:, None] != parts[y][None, :])
             edges = _forest(np.stack([x[(w := np.nonzero(linked))[0]], y[w[1]]], 1), len(ids))
@@ -111,7 +132,8 @@ def compared(groups: DataFrame, blobs: DataFrame, measure: Blockwise, count: boo
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
     filled = ship(dealt).join(blobs.select("id", "blob", "weight"), "id")
-    return filled.groupBy("gid", "lo", "hi").applyInArrow(run, "a long, b long, n long")
+    schema = "gid long, id long, part long" if members else "a long, b long, n long"
+    return filled.groupBy("gid", "lo", "hi").applyInArrow(run, schema)
 
 
 def with_pivots(members: DataFrame) -> DataFrame:
@@ -133,18 +155,32 @@ def mixed_groups(rows: DataFrame) -> DataFrame:
     return rows.join(kept.select("gid"), "gid", "left_semi")
 
 
-def linked_components(members: DataFrame, blobs: DataFrame, t: float, pairwise: Pairwise, blockwise: Blockwise) -> DataFrame:
-    """id and component of all that have a link; ``members`` (key, id, pivot) are staged rows of with_pivots()."""
+def linked_components(
+    members: DataFrame, blobs: DataFrame, t: float, pairwise: Pairwise, blockwise: Blockwise,
+    bound: Callable[[list[bytes], list[bytes]], np.ndarray], able: Blockwise,
+) -> DataFrame:
+    """id and component of all that have a link; ``members`` (key, id, pivot) are staged rows of with_pivots().
+
+    ``blobs`` has id, blob, sketch and weight. ``bound`` gives what distances are at least, ``able`` which pairs of
+    blocks may be within ``t``, both from sketches.
+    """
+    sketches = blobs.select("id", F.col("sketch"), "weight")
     star = members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    star = stage(verified(star, blobs, pairwise), "star")
-    links = star.filter("linked").select("a", "b")
+    star = stage(bounded(star, sketches, bound), "star-bounds")
+    near = stage(verified(star.filter(F.col("least") <= 3 * t + EPS).select("a", "b"), blobs, pairwise), "star")
+    links = near.filter("linked").select("a", "b")
     found = components(links)
-    clusters = components(star.filter(F.col("distance") <= 3 * t + EPS).select("a", "b"))
+    clusters = components(near.filter(F.col("distance") <= 3 * t + EPS).select("a", "b"))
     inner = clusters.select(F.col("component").alias("gid"), "id").join(found.select("id", F.col("component").alias("part")), "id", "left")
     inner = mixed_groups(inner.select("gid", "id", F.coalesce("part", "id").alias("part")))
-    away = star.filter(F.col("distance") > 2 * t - EPS).select(F.col("a").alias("id"), F.col("b").alias("pivot"))
+    inside = stage(compared(inner, blobs, blockwise), "links").select("a", "b")
+
+    away = star.filter(F.col("least") > 3 * t + EPS).select("a", "b").unionByName(near.filter(F.col("distance") > 2 * t - EPS).select("a", "b"))
+    away = away.select(F.col("a").alias("id"), F.col("b").alias("pivot"))
     outer = members.select("key", "id", "pivot").join(away, ["id", "pivot"], "left_semi").select(F.col("key").alias("gid"), "id")
     outer = outer.join(clusters.select("id", F.col("component").alias("part")), "id", "left")
     outer = mixed_groups(outer.select("gid", "id", F.coalesce("part", "id").alias("part")))
-    more = [stage(compared(g, blobs, blockwise), "links").select("a", "b") for g in (inner, outer)]
-    return components(links.unionByName(more[0]).unionByName(more[1]))
+    outer = compared(outer, sketches.withColumnRenamed("sketch", "blob"), able, members=True)
+    outer = mixed_groups(stage(outer.distinct(), "able"))
+    outside = stage(compared(outer, blobs, blockwise), "links").select("a", "b")
+    return components(links.unionByName(inside).unionByName(outside))
