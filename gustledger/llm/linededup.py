@@ -186,7 +186,7 @@ def _cleaned(least: int, changes: bool):
             for part in slices(batch, batch.num_columns - 2):
                 texts, kept, lines, gone = as_binary(part.column(part.num_columns - 2)).to_pylist(), [], [], []
                 for text, drop in zip(texts, part.column(part.num_columns - 1).to_pylist(), strict=True):
-                    if not drop:
+                    if not drop or text is None:
                         lines.append(1 if text is None else text.count(b"\n") + 1)
                         gone.append(0)
                         kept.append(text)
