@@ -46,7 +46,7 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root[0]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For results that are read more than once: the work above is done once, a lost executor
@@ -55,7 +55,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     _staged.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
