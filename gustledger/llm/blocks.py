@@ -44,11 +44,14 @@ def _blocked(size: int, lower: bool, more: list[str]):
     """Input columns: doc_id, text, counted and more. A payload has them, but the list of word numbers for the text."""
 
     def made(block: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [t for r in rows for t in as_binary(r.column(1)).to_pylist()]
-        split = [(t.lower() if lower else t).split() for t in texts]
-        at = {w: i for i, w in enumerate(dict.fromkeys(w for own in split for w in own))}
-        sizes = np.array([len(s) for s in split], np.int64)
-        flat = np.fromiter((at[w] for own in split for w in own), np.int32, int(sizes.sum()))
+        at: dict[bytes, int] = {}
+        number, parts = at.setdefault, []
+        for r in rows:  # one text's words at a time, so that only the distinct ones stay
+            for text in as_binary(r.column(1)):
+                words = text.as_py()
+                parts.append(np.array([number(w, len(at)) for w in (words.lower() if lower else words).split()], np.int32))
+        sizes = np.array([len(p) for p in parts], np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *parts])
         counted = np.concatenate([r.column(2).to_numpy(zero_copy_only=False) for r in rows]).astype(bool)
         n = np.bincount(flat[np.repeat(counted, sizes)], minlength=len(at))
         words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat))

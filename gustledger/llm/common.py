@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import gustledger
-from gustledger.session import stage, staging_root
+from gustledger import session
+from gustledger.session import staging_root
 
 SPACE = b" \t\n\x0b\x0c\r"
 BATCH_ROWS, TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
@@ -50,6 +51,11 @@ def ship(df: DataFrame) -> DataFrame:
     return df
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """session.stage with the stronger codec: what these operators stage is large, and mostly read once or twice."""
+    return session.stage(df, name, "zstd")
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
