@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gustledger.llm import bpe, langid, linededup, mixing, ngramjoin
 from gustledger.llm.common import stage
@@ -34,8 +35,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE (1): the token ids of every document."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
+    """Byte-level BPE (1): the token ids of every document, and the digest of the text that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+    return bpe.decode(ids, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """Every stage of the pipeline on what the stage before kept, against brute force."""
 
+import hashlib
 import sys
 from collections import Counter
 from pathlib import Path
@@ -70,6 +71,10 @@ def test_token_ids(stages):
     assert Counter((r["doc_id"], tuple(r["ids"])) for r in stages[5].collect()) == want
 
 
+def test_decoded_digests(stages):
+    want = Counter((i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in texts(stages[4]))
+    assert Counter((r["doc_id"], r["decoded_sha256"]) for r in stages[5].collect()) == want
+
 
 def test_run_gives_the_same(spark, stages):
     got = Counter((r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, FOLDER).collect())
