@@ -5,8 +5,10 @@ rotated values are balanced codes of 64 bits. The codes are cut into substrings,
 each; a vector is filed under its substrings and those a bit or two away, so that codes within a
 radius of each other meet in some table. Candidates are compared by their original vectors in
 double precision. Vectors that are equal within a label are one class from the start. Classes
-around a common pivot make clusters whose pairs are counted in blocks; candidates from different
-clusters are joined on the table entry and their Hamming distance.
+around a common pivot make clusters whose pairs are counted in blocks. Candidates from different
+clusters are joined on the table entry and their Hamming distance where few share the entry;
+otherwise the entry is dealt into blocks, whose codes and then vectors are compared inside tasks.
+Pairs of different clusters are counted within what the links connect, again in blocks.
 
 Vectors that are null, zero, or hold null or non-finite components, and those of a null label or
 id, link with nothing. Vectors of different lengths never link. Every row is a vector of its own,
@@ -22,12 +24,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustledger.llm.common import mix64, offsets, ship, stage
 from gustledger.llm.components import components
 from gustledger.llm.similarity import EPS, compared, mixed_groups, verified
+from gustledger.operators import joins
 
 BITS = 64
 SAMPLE = 20_000   # vectors that the rotation is learned from
@@ -35,6 +38,7 @@ ROUNDS = 30
 RADIUS = 8        # bits within which codes are sure to meet in a table
 NEAR_BITS = 20    # bits up to which a vector is held against its pivot
 PAIR_BITS = 14    # bits up to which a candidate pair is held against its vectors
+SMALL = 64        # classes of a table entry up to which each pair of them may be a row
 
 
 def learn_planes(vectors: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +143,11 @@ def _measures(least: float):
     return pairwise, blockwise
 
 
+def _codes_near(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    a, b = (np.frombuffer(b"".join(side), np.uint64) for side in (left, right))
+    return np.bitwise_count(a[:, None] ^ b[None, :]) <= PAIR_BITS
+
+
 def near_links(
     embeddings: DataFrame, least: float = 0.98, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
     sample: int = SAMPLE, radius: int = RADIUS,
@@ -159,9 +168,9 @@ def near_links(
     flips = math.ceil(radius // tables / 2)
     planes = _planes_of(classes, total, sample)
     members = classes.select("id", "space", "vector").mapInArrow(_filed(planes, tables, flips), "key long, id long, code long")
-    key = Window.partitionBy("key")
-    members = members.withColumn("pivot", F.min(F.struct("id", "code")).over(key)).withColumn("top", F.max("id").over(key))
-    members = stage(members.filter("pivot.id < top").drop("top"), "table-entries")
+    members = stage(members, "entries")
+    pivots = members.groupBy("key").agg(F.min(F.struct("id", "code")).alias("pivot"), F.max("id").alias("top"), F.count("*").alias("size"))
+    members = stage(joins.salted_join(members, pivots.filter("pivot.id < top").drop("top"), ["key"]), "table-entries")
     blobs = stage(classes.select("id", "vector", "weight").mapInArrow(_blobs, "id long, blob binary, weight long"), "unit-vectors")
     pairwise, blockwise = _measures(least)
     apart = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
@@ -172,19 +181,24 @@ def near_links(
     inner = mixed_groups(clusters.select(F.col("component").alias("gid"), "id", F.col("id").alias("part")))
     inner = stage(compared(inner, blobs, blockwise, count=True), "cluster-links")
 
-    named = members.select("key", "id", "code").join(clusters.select("id", F.col("component").alias("cluster")), "id", "left")
-    named = named.select("key", "id", "code", F.coalesce("cluster", "id").alias("cluster"))
-    x, y = named.alias("x"), named.alias("y")
+    cluster = F.coalesce("cluster", "id").alias("cluster")
+    named = members.select("key", "id", "code", "size").join(clusters.select("id", F.col("component").alias("cluster")), "id", "left")
+    named = stage(named.select("key", "id", "code", "size", cluster), "named")
+    few, many = named.filter(F.col("size") <= SMALL), named.filter(F.col("size") > SMALL)
+    x, y = few.alias("x"), few.alias("y")
     close = (F.col("x.key") == F.col("y.key")) & (F.col("x.cluster") < F.col("y.cluster")) & (apart("x.code", "y.code") <= PAIR_BITS)
     cross = x.join(y, close).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     cross = stage(verified(cross, blobs, pairwise).filter("linked").select("a", "b"), "cross-links")
-
-    weights = blobs.select(F.col("id").alias("b"), "weight")
-    both = cross.unionByName(cross.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counts = inner.filter("n IS NOT NULL").select(F.col("a").alias("id"), "n")
-    counts = counts.unionByName(both.join(weights, "b").select(F.col("a").alias("id"), F.col("weight").alias("n")))
-    counts = counts.groupBy("id").agg(F.sum("n").alias("n"))
-    linked = components(inner.filter("b IS NOT NULL").select("a", "b").unionByName(cross))
+    codes = many.select("id", F.unhex(F.lpad(F.hex("code"), 16, "0")).alias("blob")).distinct().withColumn("weight", F.lit(1))
+    able = compared(many.select(F.col("key").alias("gid"), "id", F.col("cluster").alias("part")), codes, _codes_near, members=True)
+    outside = stage(compared(stage(able.distinct(), "able"), blobs, blockwise), "bucket-links").select("a", "b")
+
+    linked = components(inner.filter("b IS NOT NULL").select("a", "b").unionByName(cross).unionByName(outside))
+    linked = stage(linked, "linked")
+    across = linked.select(F.col("component").alias("gid"), "id").join(clusters.select("id", F.col("component").alias("cluster")), "id", "left")
+    across = compared(across.select("gid", "id", F.coalesce("cluster", "id").alias("part")), blobs, blockwise, count=True)
+    counts = inner.filter("n IS NOT NULL").select("a", "n").unionByName(across.filter("n IS NOT NULL").select("a", "n"))
+    counts = counts.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     found = classes.select("id", "least", "weight").join(linked, "id", "left").join(counts, "id", "left")
     found = stage(found.select("id", "least", F.coalesce("component", "id").alias("component"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")), "found")
     tops = stage(found.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")

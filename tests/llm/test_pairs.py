@@ -164,6 +164,26 @@ def test_near_links_find_the_pairs(spark, vectors, monkeypatch):
     assert sum(r["component_id"] == want[r["vec_id"]][2] for r in got) >= 0.97 * len(got)
 
 
+def test_a_large_bucket_makes_no_row_for_each_pair(spark, monkeypatch):
+    """Close codes, but hardly any cosine of 0.98, so that there are no clusters."""
+    monkeypatch.setattr(neardup, "SMALL", 8, raising=False)
+    monkeypatch.setattr(neardup, "PAIR_BITS", 30)
+    monkeypatch.setattr(similarity, "BLOCK", 64)
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal(64)
+    rows = [(i, (base + 0.6 * rng.standard_normal(64)).tolist(), 0) for i in range(240)]
+    rows += [(1000 + i, (np.array(rows[7 * i][1]) + 0.05 * rng.standard_normal(64)).tolist(), 0) for i in range(30)]
+    rows += [(2000 + i, rng.standard_normal(64).tolist(), 1) for i in range(400)]
+    tried, check = [], neardup.verified
+    monkeypatch.setattr(neardup, "verified", lambda pairs, *more: tried.append(pairs.count()) or check(pairs, *more))
+    got = {r["vec_id"]: r for r in neardup.near_links(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {r[0]: r for r in brute_vectors(rows, 0.98)}
+    assert sum(r[1] for r in want.values()) >= 50
+    assert sum(r["n_links"] for r in got.values()) >= 0.97 * sum(r[1] for r in want.values())
+    assert all(r["n_links"] <= want[i][1] for i, r in got.items())
+    assert tried[-1] < 270 * 269 / 2, tried  # the pairs of the first label alone
+
+
 def test_near_links_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None, 0), (2, [], 0), (3, [0.0, 0.0], 0), (4, [1.0, None], 0), (5, [nan, 1.0], 0), (6, [inf, 1.0], 0), (7, [1.0, 2.0], None),
