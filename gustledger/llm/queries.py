@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustledger.llm import bpe, kneser, langid, linededup, maxent, mixing, neardup, ngramjoin, tokencounts, vafile
-from gustledger.llm.common import fresh_path
+from gustledger.llm import bpe, fim, kneser, langid, licenses, linededup, maxent, merkle, mixing, neardup, ngramjoin, tokencounts, vafile
+from gustledger.llm.common import crc_part, fresh_path
 from gustledger.queries.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -130,3 +130,92 @@ def op9_embedding_neardup(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_kneser_quality")
 def op10_kneser_quality(spark: SparkSession, d: str) -> DataFrame:
     return kneser.quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op11_fill_in_middle", r"""
+    WITH hashed AS (
+        SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+               list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h
+        FROM documents),
+    cuts AS (
+        SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+               CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                    WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM hashed),
+    parts AS (SELECT *, substr(t, 1, a) AS head, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS tail FROM cuts)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || tail || '<P>' || head || '<M>' || mid
+                            ELSE '<P>' || head || '<S>' || tail || '<M>' || mid END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM parts""")
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    cut = fim.transform(table(spark, d, "documents").select("doc_id", "text"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+        sha(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(table(spark, d, "documents"))
+
+
+# The CRC-32 of the decimal id, bit by bit, as the database has no function for it.
+_CRC = """xor(4294967295, list_reduce(
+            [4294967295::BIGINT] || list_transform(list_filter(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda ch: ch <> ''),
+                                                   lambda ch: CAST(ascii(ch) AS BIGINT)),
+            lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _merkle_sql(levels: int = 5, upper: int = 4) -> str:
+    """The tree level by level, for sources of up to 16^levels rows and up to 16^upper sources."""
+    value = lambda c, t: f"coalesce(strlen({t}) || ':' || {t}, '-')" if c == "text" else f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda t: "sha256(" + " || ".join(value(c, t) for c in merkle.FIELDS) + ")"
+    tampered = "CASE WHEN bad THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+    ctes = [f"""
+    docs AS (
+        SELECT *, {_CRC} % 5 = 0 AS bad, coalesce('=' || source, '') AS g FROM documents),
+    l0 AS (
+        SELECT *, {leaf('text')} AS leaf, {leaf('changed')} AS claim FROM (SELECT *, {tampered} AS changed FROM docs)),
+    w0 AS (
+        SELECT doc_id, g, leaf, claim AS folded, '' AS proof, leaf AS node,
+               ROW_NUMBER() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l0)"""]
+
+    def level(w: str, to: str, group: str) -> str:
+        """One level: the nodes of each run, and every row's node, folded node, proof and place above."""
+        return f"""
+    {to}_nodes AS (SELECT DISTINCT {group} AS g, i, node FROM {w}),
+    {to}_runs AS (
+        SELECT g, i // 16 AS run, list(node ORDER BY i) AS nodes, MAX(COUNT(*)) OVER (PARTITION BY g) + MAX(i // 16) OVER (PARTITION BY g) > 1 AS more
+        FROM {to}_nodes GROUP BY g, i // 16),
+    {to} AS (
+        SELECT w.* REPLACE (
+            CASE WHEN more THEN sha256(array_to_string(nodes, '')) ELSE node END AS node,
+            CASE WHEN more THEN sha256(array_to_string(nodes[:i % 16] || [folded] || nodes[i % 16 + 2:], '')) ELSE folded END AS folded,
+            CASE WHEN more THEN proof || array_to_string(nodes[:i % 16] || nodes[i % 16 + 2:], '') ELSE proof END AS proof,
+            i // 16 AS i)
+        FROM {w} w JOIN {to}_runs r ON w.{group} = r.g AND w.i // 16 = r.run)"""
+
+    for k in range(levels):
+        ctes.append(level(f"w{k}", f"w{k + 1}", "g"))
+    ctes.append(f"""
+    u0 AS (SELECT * REPLACE (DENSE_RANK() OVER (ORDER BY g) - 1 AS i), node AS subroot, 0 AS one FROM w{levels})""")
+    for k in range(upper):
+        ctes.append(level(f"u{k}", f"u{k + 1}", "one"))
+    return "WITH " + ",".join(ctes) + f"""
+    SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified FROM u{upper}"""
+
+
+@query("op13_merkle_manifest", _merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.when(crc_part(F.col("doc_id"), 5) == 0, F.translate("text", capitals, capitals.lower()))
+    found = merkle.manifest(table(spark, d, "documents"), claims={"text": tampered})
+    folded = found.select("*", merkle.fold(F.coalesce("claim", "leaf"), F.col("siblings")).alias("folded_root"))
+    proof = F.sha2(merkle.proof(F.col("siblings")).cast("binary"), 256)
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
