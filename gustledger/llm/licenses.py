@@ -150,7 +150,8 @@ def hits(docs: DataFrame, templates: Templates, doc_id: str = "doc_id", text: st
     key = F.when(F.col("turn") < 0, _hash([F.lit("")])).when(long, gram(LONG)).otherwise(gram(SHORT))
     found = joins.lookup_join(turned.select("*", key.alias("hash")), templates.grams(docs.sparkSession), ["hash"])
     row = F.col("template") == _ROW
-    equal = F.when(row, F.col("turn") < 0).otherwise(F.slice("words", word + 1, F.size("gram")) == F.col("gram"))
+    own = F.col("turn") < 0
+    equal = F.when(row | own, row & own).otherwise(F.slice("words", word + 1, F.size("gram")) == F.col("gram"))
     return found.filter(equal).select(
         "row", "doc_id", F.size("words").cast("bigint").alias("n_words"), "template", "at", F.when(~row, word).alias("word")
     )
