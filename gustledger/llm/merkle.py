@@ -27,7 +27,7 @@ from gustledger.operators import joins
 
 ARITY, DIGITS = 16, 64
 RUN = ARITY * DIGITS
-DEPTH = 3  # levels of a block
+DEPTH = 2  # levels of a block; a row of its leaves carries the levels, so they should be short
 BLOCK = ARITY**DEPTH
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 RESULTS = ("doc_id", "leaf", "claim", "subroot", "root", "siblings")

@@ -64,7 +64,7 @@ def table(sizes, seed=1):
 ODD = [(None, "a", None, None, None), (None, "a", None, None, None), (3, "a", "", 0, ""), (3, "a", "", 0, ""), (3, "a", "en", 1, "x" * 100_000), (1, None, None, None, None)]
 
 
-@pytest.mark.parametrize("depth", [3, 1])
+@pytest.mark.parametrize("depth", [3, 2, 1])
 def test_equals_brute_force(spark, monkeypatch, depth):
     """Sources of one node, of a last run of one, of three levels; with small blocks, several tiers."""
     monkeypatch.setattr(merkle, "DEPTH", depth)
