@@ -503,6 +503,56 @@ def gaps(spark, d):
     return completeness.gaps(table(spark, d, "events"), "user_id", "ts", 1440)
 
 
+# Readings fall on half hours, but for the assets whose clock is off.
+_SLOT_EVENTS = """
+    SELECT user_id, value, CASE WHEN user_id % 7 = 0 THEN ts ELSE time_bucket(INTERVAL 30 MINUTE, ts) END AS ts FROM events"""
+
+
+def _slot_events(spark, d):
+    slot = F.window("ts", "30 minutes")["start"]
+    ts = F.when(F.col("user_id") % 7 == 0, F.col("ts")).otherwise(slot)
+    return table(spark, d, "events").select("user_id", "value", ts.alias("ts"))
+
+
+@query(
+    "slot_gaps",
+    f"""
+    SELECT user_id, COUNT(*) FILTER (step > INTERVAL 45 MINUTE) AS gaps
+    FROM (SELECT user_id, ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) AS step FROM ({_SLOT_EVENTS}))
+    GROUP BY user_id""",
+)
+def slot_gaps(spark, d):
+    return completeness.gaps(_slot_events(spark, d), "user_id", "ts")
+
+
+@query(
+    "slot_gaps_long",
+    f"""
+    SELECT user_id, COUNT(*) FILTER (step > INTERVAL 700 MINUTE) AS gaps
+    FROM (SELECT user_id, ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) AS step FROM ({_SLOT_EVENTS}))
+    GROUP BY user_id""",
+)
+def slot_gaps_long(spark, d):
+    """Gaps of many slots, inside and between the words of the bitmaps."""
+    return completeness.gaps(_slot_events(spark, d), "user_id", "ts", 700)
+
+
+@query(
+    "slot_words",
+    """
+    WITH s AS (SELECT user_id, value, epoch(time_bucket(INTERVAL 30 MINUTE, ts))::BIGINT // 1800 AS slot FROM events)
+    SELECT user_id, slot // 60 AS word, bit_or(1::BIGINT << (slot % 60)) AS bits,
+           COALESCE(bit_or(1::BIGINT << (slot % 60)) FILTER (value <= 40), 0) AS valid_bits,
+           MIN(slot) AS first, MAX(slot) AS last, 0::BIGINT AS off_grid FROM s GROUP BY 1, 2""",
+)
+def slot_words(spark, d):
+    """The bitmaps themselves: two deliveries, each aggregated alone, then merged."""
+    events = table(spark, d, "events").withColumn("ts", F.window("ts", "30 minutes")["start"])
+    early = F.col("event_id") % 2 == 0
+    parts = [completeness.slot_words(events.filter(p), ["user_id"], "ts", F.col("value") <= 40) for p in (early, ~early)]
+    return completeness.merge_words(parts[0].unionByName(parts[1]), ["user_id"])
+
+
 _SERIES_SQL = f"""
     WITH p AS (SELECT CAST((date_diff('day', DATE_TRUNC('month', MIN(ts)), LAST_DAY(MAX(ts))) + 1) * 48
                            AS BIGINT) AS slots FROM events),
@@ -528,6 +578,16 @@ def _asset_completeness(spark, d):
     return completeness.asset_completeness(series, registry, "asset", "project", "ts", F.col("value") <= 40)
 
 
+@query(
+    "slot_completeness",
+    _SERIES_SQL.replace("FROM events)", f"FROM ({_SLOT_EVENTS}))") + "SELECT * FROM c",
+)
+def slot_completeness(spark, d):
+    registry = table(spark, d, "customer").select(F.col("c_custkey").alias("asset"), F.col("c_mktsegment").alias("project"))
+    series = _slot_events(spark, d).withColumnRenamed("user_id", "asset")
+    return completeness.asset_completeness(series, registry, "asset", "project", "ts", F.col("value") <= 40)
+
+
 @query("completeness_assets", _SERIES_SQL + "SELECT * FROM c")
 def completeness_assets(spark, d):
     return _asset_completeness(spark, d)
