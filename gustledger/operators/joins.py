@@ -15,6 +15,8 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 # Rows of one key that a task may have; a key with more is split over several tasks.
 HOT_ROWS = 1_000_000
+# Keys that a sketch of frequent keys tracks, and the tasks that merge sketches before the last one does.
+SKETCH_ITEMS, SKETCH_GROUPS = 1 << 14, 32
 KINDS = ("inner", "left", "left_semi", "left_anti")
 
 _HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
@@ -42,15 +44,35 @@ def _hash(keys: list[str], types: list[str]) -> Column:
     return F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, types, strict=True)])
 
 
+def proposed_keys(hashes: DataFrame, most: int) -> DataFrame:
+    """Stored hashes that may have more than ``most`` rows, from a sketch of frequent items.
+
+    Every task sends one sketch of bounded size; they are merged in two steps. Estimates are never below
+    the true count, and a hash with more than 4 / SKETCH_ITEMS of all rows is always among them. One that
+    isn't has no more rows than each of SKETCH_ITEMS / 4 equal tasks would have.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    parts = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate({_HASH}, {SKETCH_ITEMS})").alias("_sketch"))
+    merged = F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {SKETCH_ITEMS}), {SKETCH_ITEMS})")
+    # One group, as a grouped aggregate asks nothing of tasks without rows; there combining sketches fails.
+    found = parts.groupBy(F.pmod("_group", F.lit(1))).agg(merged.alias("_top")).select(F.explode("_top").alias("_item"))
+    return stage(found.filter(F.col("_item.count") > most).select(F.col("_item.item").alias(_HASH)), "hot_proposals")
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None, types: list[str] | None = None) -> DataFrame:
     """Hashes of the keys with more rows than a task should have, and over how many to split each.
 
-    The counts are exact and combined before the shuffle. There are at most rows / ``rows_per_task``
-    such keys, 16 bytes each, a million of them in 10^12 rows, so the result can be broadcast.
+    A sketch proposes keys, their exact counts decide: only proposed keys are counted, and where the
+    sketch proposes none the table is not read again. Both passes read the key columns only. There are
+    at most SKETCH_ITEMS such keys, 16 bytes each, so the result can be broadcast.
     """
     most = HOT_ROWS if rows_per_task is None else rows_per_task
     types = types or [df.schema[k].dataType.simpleString() for k in keys]
-    counts = df.select(_hash(keys, types).alias(_HASH)).groupBy(_HASH).agg(F.count("*").alias("n"))
+    hashes = df.select(_hash(keys, types).alias(_HASH))
+    proposed = proposed_keys(hashes, most)
+    if proposed.isEmpty():
+        return proposed.withColumn(_SALTS, F.lit(1))
+    counts = hashes.join(F.broadcast(proposed), _HASH, "left_semi").groupBy(_HASH).agg(F.count("*").alias("n"))
     hot = counts.filter(F.col("n") > most).select(_HASH, F.ceil(F.col("n") / most).cast("int").alias(_SALTS))
     return stage(hot, "hot_keys")
 

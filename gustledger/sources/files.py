@@ -16,7 +16,7 @@ from gustledger.functions import columns as C
 log = logging.getLogger(__name__)
 
 FILE_COLUMN = "filename"
-# Schema requests at a time; each is a small job of its own.
+# Requests to the driver at a time: months looked for, and schemas that tasks couldn't read.
 READERS = 16
 
 
@@ -47,10 +47,75 @@ def _root(path: str) -> str:
     return "/".join(parts[:plain])
 
 
-def _list_files(spark: SparkSession, path: str) -> list[str]:
-    """All files of a file, folder or glob, from a listing that opens none of them."""
+def _footers(fmt: str):
+    """Arrow batches of paths to (path, signature): the file's own schema, or null where a task can't open it.
+
+    Self-contained, as tasks run it without this package.
+    """
+
+    def run(batches):
+        import re
+
+        import pyarrow as pa
+        import pyarrow.fs
+        import pyarrow.parquet
+
+        def signature(uri: str) -> str | None:
+            local = re.match(r"file:/+", uri)
+            try:
+                if local:
+                    store, path = pa.fs.LocalFileSystem(), "/" + uri[local.end() :]
+                else:
+                    store, path = pa.fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+                if fmt == "csv":
+                    with store.open_input_stream(path) as stream:
+                        head = b""
+                        while b"\n" not in head and (more := stream.read(1 << 16)):
+                            head += more
+                    return head.split(b"\n")[0].decode("utf-8", "replace").rstrip("\r")
+                with store.open_input_file(path) as stream:
+                    footer = pa.parquet.read_metadata(stream)
+            except (OSError, ValueError, pa.ArrowException):
+                return None
+            # Spark's own note of the schema decides what Spark reads, else the columns of the file.
+            noted = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+            return f"{noted.decode('utf-8', 'replace')}\n{footer.schema}".split("\n", 1)[0] or re.sub(r"^.*?\n", "", str(footer.schema), count=1)
+
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(list(map(signature, paths)), pa.string())], ["path", "signature"])
+
+    return run
+
+
+def schema_groups(spark: SparkSession, fmt: str, path: str) -> DataFrame:
+    """(path, signature) of all files of a file, folder or glob; files of equal signature have equal schemas.
+
+    The listing is a table, and one distributed job opens each file for its footer or header line.
+    """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    return sorted(r["path"] for r in listed.collect())
+    return listed.mapInArrow(_footers(fmt), "path string, signature string")
+
+
+def _grouped(spark: SparkSession, fmt: str, path: str) -> list[tuple[T.StructType, list[str], str]]:
+    """(schema, paths, root) for each schema among the files. Only where several are found are paths fetched."""
+    root = _root(path)
+    found = stage(schema_groups(spark, fmt, path), "footers")
+    nested = F.contains(F.substring_index("path", root, -1), F.lit("="))
+    kinds = found.groupBy("signature", nested.alias("nested")).agg(F.min("path").alias("example"), F.count("*").alias("n")).collect()
+    out = []
+    for kind in sorted(kinds, key=lambda k: k["example"]):
+        if kind["signature"] is None:
+            continue
+        base = root if kind["nested"] else ""
+        if len(kinds) == 1 and not kind["nested"]:
+            members = None
+        else:
+            same = (F.col("signature") == kind["signature"]) & (nested == kind["nested"])
+            members = [r["path"] for r in found.filter(same).select("path").sort("path").toLocalIterator()]
+        out.append((kind["example"], members, base))
+    unread = [r["path"] for r in found.filter(F.col("signature").isNull()).select("path").sort("path").toLocalIterator()] if any(k["signature"] is None for k in kinds) else []
+    return out, unread
 
 
 def read_union(

@@ -53,6 +53,41 @@ def test_hot_keys_have_as_many_salts_as_their_rows_need(spark, skewed):
     assert hot == {heavy: -(-n // 100)}
 
 
+def test_a_hot_key_among_many_is_found_by_a_small_sketch(spark, monkeypatch):
+    """Fifty thousand keys, of which the sketch tracks 64; one holds a third of the rows, one a tenth."""
+    monkeypatch.setattr(joins, "SKETCH_ITEMS", 64)
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit(-1)).when(n % 10 == 1, F.lit(-2)).otherwise(n)
+    df = spark.range(0, 90_000, 1, 12).select(key.alias("k"))
+    hot = {r["_key_hash"]: r["_salts"] for r in joins.hot_keys(df, ["k"], rows_per_task=2000).collect()}
+    of = {r["k"]: r["h"] for r in spark.sql("select k, xxhash64(k) as h from values (-1L), (-2L) t(k)").collect()}
+    counts = {k: df.filter(F.col("k") == k).count() for k in of}
+    assert hot == {of[k]: -(-counts[k] // 2000) for k in of}
+
+
+def test_exact_counts_decide_and_only_where_needed(spark, monkeypatch):
+    """Proposals that are not hot are refused; without proposals nothing is counted."""
+    staged = []
+    monkeypatch.setattr(joins, "stage", lambda df, name: staged.append(name) or df)
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") % 100).alias("k"))
+    assert joins.hot_keys(df, ["k"], rows_per_task=10).count() == 0 and staged == ["hot_proposals"]
+    staged.clear()
+    monkeypatch.setattr(joins, "proposed_keys", lambda hashes, most: hashes.distinct())
+    assert joins.hot_keys(df, ["k"], rows_per_task=10).count() == 0 and staged == ["hot_keys"]
+
+
+def test_salted_join_reads_the_left_side_once(spark, tmp_path, rows):
+    """The join's plan has one scan of the left table; the keys were counted by a pass over the key column."""
+    skew = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50)
+    spark.range(0, 3000, 1, 4).select(skew.alias("k"), F.repeat(F.lit("x"), F.lit(20)).alias("wide")).write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    right = spark.range(50).withColumnRenamed("id", "k")
+    out = joins.salted_join(left, right, ["k"], rows_per_task=100)
+    assert rows(out) == rows(joins.key_join(left, right, ["k"], "inner"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [k#") == 1 and "wide#" in plan
+
+
 def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
     from gustledger.session import stage
 
