@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustledger.functions import columns as C
+from gustledger.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -20,10 +22,17 @@ FILE_COLUMN = "filename"
 READERS = 16
 
 
-def _read(spark: SparkSession, fmt: str, paths: list[str], sep: str, root: str = "") -> DataFrame:
+def _read(
+    spark: SparkSession, fmt: str, paths: list[str], sep: str, root: str = "", schema: T.StructType | None = None, recursive: bool = False
+) -> DataFrame:
+    """``root`` is given where folders named ``key=value`` lie between it and the files."""
     reader = spark.read.option("header", True).option("sep", sep) if fmt == "csv" else spark.read
-    if any("=" in p.removeprefix(root) for p in paths) and root:
+    if root:
         reader = reader.option("basePath", root)
+    if schema is not None:
+        reader = reader.schema(schema)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
     return reader.format(fmt).load(paths)
 
 
@@ -47,9 +56,10 @@ def _root(path: str) -> str:
     return "/".join(parts[:plain])
 
 
-def _footers(fmt: str):
-    """Arrow batches of paths to (path, signature): the file's own schema, or null where a task can't open it.
+def _footers(fmt: str, roots: list[str]):
+    """Arrow batches of paths to (path, signature, base): the file's own schema, null where a task can't open it.
 
+    ``base`` is the root below which folders named ``key=value`` lead to the file, empty without such.
     Self-contained, as tasks run it without this package.
     """
 
@@ -77,45 +87,53 @@ def _footers(fmt: str):
                     footer = pa.parquet.read_metadata(stream)
             except (OSError, ValueError, pa.ArrowException):
                 return None
-            # Spark's own note of the schema decides what Spark reads, else the columns of the file.
-            noted = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
-            return f"{noted.decode('utf-8', 'replace')}\n{footer.schema}".split("\n", 1)[0] or re.sub(r"^.*?\n", "", str(footer.schema), count=1)
+            # Spark's own note of the schema decides what Spark reads, else the columns of the file do.
+            noted = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+            return noted.decode("utf-8", "replace") if noted else str(footer.schema).split("\n", 1)[-1]
+
+        def base(uri: str) -> str:
+            below = [r for r in roots if "=" in uri and "=" in uri.partition(re.sub(r"^file:/+", "/", r) + "/")[2]]
+            return max(below, key=len, default="")
 
         for batch in batches:
             paths = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(list(map(signature, paths)), pa.string())], ["path", "signature"])
+            columns = [paths, list(map(signature, paths)), list(map(base, paths))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "signature", "base"])
 
     return run
 
 
-def schema_groups(spark: SparkSession, fmt: str, path: str) -> DataFrame:
-    """(path, signature) of all files of a file, folder or glob; files of equal signature have equal schemas.
+def file_schemas(spark: SparkSession, fmt: str, paths: list[str]) -> DataFrame:
+    """(path, signature, base) of all files of files, folders and globs; equal signatures mean equal schemas.
 
     The listing is a table, and one distributed job opens each file for its footer or header line.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    return listed.mapInArrow(_footers(fmt), "path string, signature string")
-
-
-def _grouped(spark: SparkSession, fmt: str, path: str) -> list[tuple[T.StructType, list[str], str]]:
-    """(schema, paths, root) for each schema among the files. Only where several are found are paths fetched."""
-    root = _root(path)
-    found = stage(schema_groups(spark, fmt, path), "footers")
-    nested = F.contains(F.substring_index("path", root, -1), F.lit("="))
-    kinds = found.groupBy("signature", nested.alias("nested")).agg(F.min("path").alias("example"), F.count("*").alias("n")).collect()
-    out = []
-    for kind in sorted(kinds, key=lambda k: k["example"]):
-        if kind["signature"] is None:
-            continue
-        base = root if kind["nested"] else ""
-        if len(kinds) == 1 and not kind["nested"]:
-            members = None
-        else:
-            same = (F.col("signature") == kind["signature"]) & (nested == kind["nested"])
-            members = [r["path"] for r in found.filter(same).select("path").sort("path").toLocalIterator()]
-        out.append((kind["example"], members, base))
-    unread = [r["path"] for r in found.filter(F.col("signature").isNull()).select("path").sort("path").toLocalIterator()] if any(k["signature"] is None for k in kinds) else []
-    return out, unread
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
+    return listed.mapInArrow(_footers(fmt, sorted({_root(p) for p in paths})), "path string, signature string, base string")
+
+
+def _scans(spark: SparkSession, fmt: str, paths: list[str], sep: str) -> list[DataFrame]:
+    """One scan for each schema among the files; their paths are fetched only if there are several."""
+    found = stage(file_schemas(spark, fmt, paths), "footers")
+    kind = F.xxhash64("signature", "base").alias("kind")
+    kinds = found.groupBy(kind, "base", F.isnotnull("signature").alias("known")).agg(F.min("path").alias("example")).collect()
+    if len(kinds) == 1 and kinds[0]["known"] and not kinds[0]["base"]:
+        schema = _read(spark, fmt, [kinds[0]["example"]], sep).schema
+        return [_read(spark, fmt, paths, sep, schema=schema, recursive=True)]
+    members: dict[int, list[str]] = {}
+    for row in found.select("path", kind).collect():
+        members.setdefault(row["kind"], []).append(row["path"])
+    groups: dict[tuple[str, str], list[str]] = {}
+    for k in sorted(kinds, key=lambda k: k["example"]):
+        files = sorted(members[k["kind"]])
+        asked = files[:1] if k["known"] else files
+        with ThreadPoolExecutor(READERS) as pool:
+            schemas = list(pool.map(lambda f, base=k["base"]: _read(spark, fmt, [f], sep, base).schema.json(), asked))
+        for file, schema in zip(files, schemas * len(files) if k["known"] else schemas, strict=False):
+            groups.setdefault((schema, k["base"]), []).append(file)
+    return [
+        _read(spark, fmt, files, sep, base, T.StructType.fromJson(json.loads(schema))) for (schema, base), files in groups.items()
+    ]
 
 
 def read_union(
@@ -128,26 +146,17 @@ def read_union(
     """Union files by column name and keep the name of each row's file.
 
     ``paths`` are parquet paths, or paths per format: files, folders or globs, whose files may
-    differ in columns and types. The schemas of all files are asked for side by side, and files
-    of equal schema share one scan, so the plan grows with the number of schemas, not of files.
+    differ in columns and types. One distributed job reads all footers, and files of equal
+    schema share one scan, so jobs and plan grow with the number of schemas, not of files.
     A column in ``types`` is cast per schema to its declared type and bad cells become NULL; a
     missing one is NULL. Any other column whose type differs between schemas becomes text.
     Folders named ``key=value`` below a path are columns, as Spark reads them.
     """
     types = types or {}
     by_format = paths if isinstance(paths, dict) else {"parquet": list(paths)}
-    wanted = [(fmt, path) for fmt, members in by_format.items() for path in members]
-    with ThreadPoolExecutor(READERS) as pool:
-        listed = list(pool.map(lambda w: _list_files(spark, w[1]), wanted))
-        files = [(fmt, _root(path), f) for (fmt, path), found in zip(wanted, listed, strict=True) for f in found]
-        schemas = list(pool.map(lambda f: _read(spark, f[0], [f[2]], sep, f[1]).schema.json(), files))
-    groups: dict[tuple[str, str, str], list[str]] = {}
-    for (fmt, root, file), schema in zip(files, schemas, strict=True):
-        base = root if "=" in file.removeprefix(root) else ""
-        groups.setdefault((fmt, schema, base), []).append(file)
-    if not groups:
+    scans = [scan for fmt, members in by_format.items() if members for scan in _scans(spark, fmt, members, sep)]
+    if not scans:
         raise ValueError("no files to read")
-    scans = [_read(spark, fmt, members, sep, base) for (fmt, _, base), members in groups.items()]
 
     seen: dict[str, set[str]] = {}
     for scan in scans:

@@ -96,3 +96,76 @@ def test_write_table_keeps_an_empty_table(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_table(spark.range(3), path)
     assert sinks.write_table(spark.range(0), path).count() == 0
+
+
+def _jobs(spark, group, make):
+    """What ``make`` gives and how many jobs it took."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        made = make()
+        return made, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("schemas", [1, 3])
+def test_jobs_grow_with_schemas_not_with_files(spark, tmp_path, schemas):
+    """A hundred times the files take the same jobs; each file is opened by a task, not by the driver."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def fill(folder, n):
+        folder.mkdir()
+        for i in range(n):
+            own = {"id": pa.array([i], pa.int64())}
+            if i % schemas == 1:
+                own["v"] = pa.array([str(i)])
+            if i % schemas == 2:
+                own["v"] = pa.array([float(i)])
+            pq.write_table(pa.table(own), folder / f"f{i:05d}.parquet")
+        return str(folder)
+
+    few, many = fill(tmp_path / "few", 6), fill(tmp_path / "many", 600)
+    taken = []
+    for path, n in ((few, 6), (many, 600)):
+        df, jobs = _jobs(spark, path, lambda: files.read_union(spark, [path], {"v": "double"}))
+        got = {r["id"]: r["v"] for r in df.collect()}
+        assert got == {i: (float(i) if i % schemas else None) for i in range(n)}
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == schemas
+        taken.append(jobs)
+    # Spark lists more than 32 paths by a job of its own.
+    assert taken[1] <= taken[0] + schemas and taken[0] <= 5 + 2 * schemas
+
+
+def test_files_that_tasks_cannot_open_are_asked_for_by_the_driver(spark, drifting, rows, monkeypatch):
+    plain = files.read_union(spark, drifting, {"t": "timestamp_ntz", "v": "double"})
+
+    def blind(fmt, roots):
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                nothing = pa.nulls(batch.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), nothing, pa.array([""] * batch.num_rows)], ["path", "signature", "base"])
+
+        return run
+
+    monkeypatch.setattr(files, "_footers", blind)
+    other = files.read_union(spark, drifting, {"t": "timestamp_ntz", "v": "double"})
+    names = ["id", "t", "v", "extra"]
+    assert rows(other, *names) == rows(plain, *names)
+
+
+def test_csv_headers_and_key_folders_drift(spark, tmp_path, rows):
+    for i, header in enumerate(["id,v", "id,v", "id,w"]):
+        (tmp_path / f"k={i}").mkdir()
+        (tmp_path / f"k={i}" / "a.csv").write_text(f"{header}\r\n{i},{i}.5\r\n")
+    df = files.read_union(spark, {"csv": [str(tmp_path)]}, {"id": "bigint", "v": "double", "w": "double"}, file_column=None)
+    assert rows(df, "id", "v", "w", "k") == [(0, 0.5, None, 0), (1, 1.5, None, 1), (2, None, 2.5, 2)]
+
+
+def test_a_broken_file_is_named(spark, tmp_path):
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "ok"))
+    (tmp_path / "ok" / "zz.parquet").write_bytes(b"not a parquet file")
+    with pytest.raises(Exception, match="zz.parquet"):
+        files.read_union(spark, [str(tmp_path / "ok")]).count()
