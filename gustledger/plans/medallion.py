@@ -10,6 +10,7 @@ from gustledger.plans import domain as D
 from gustledger.plans import analytics, report, silver, star
 from gustledger.session import stage, staging_scope
 from gustledger.sources import files, sinks
+from gustledger.sources.snapshots import Store
 
 
 def silver_layer(
@@ -28,15 +29,18 @@ def silver_layer(
     The joined rows are stored once, as a table that the next run replaces: each sink then
     reads what it needs from files, and a lost executor repeats one stage only. ``checks`` has
     what a person should look at: keys that a join would lose, and groups that repeat rows.
+    Joined rows, Silver and quarantine are published together, once all three are whole.
     """
+    store = Store(spark, out)
     registry = files.read_registry(spark, registry_path, D.REGISTRY_SCHEMA)
     detail = files.read_union(spark, detail_paths, D.DETAIL_TYPES, sep=sep)
     groups = files.read_union(spark, group_paths, D.GROUP_TYPES, file_column=None, sep=sep)
-    joined = sinks.write_table(silver.build(detail, groups, registry, pattern), f"{out}/joined")
+    joined = store.write(silver.build(detail, groups, registry, pattern), "joined")
     treated = silver.treat(joined, policy)
 
-    clean = sinks.write_table(by_month(treated.silver()), f"{out}/silver", D.MONTH).drop(D.MONTH)
-    quarantine = sinks.write_table(treated.quarantine(), f"{out}/quarantine")
+    clean = store.write(by_month(treated.silver()), "silver", D.MONTH).drop(D.MONTH)
+    quarantine = store.write(treated.quarantine(), "quarantine")
+    store.publish()
     sinks.write_json_lines(treated.anomalies(), f"{out}/anomalies")
 
     assets = stage(report.asset_completeness(clean, registry), "completeness")
@@ -92,7 +96,7 @@ GROUPED = ("dim_conjunto", "dim_tempo", "fato_geracao_conjunto")
 def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, DataFrame]:
     """Write the six Gold tables under ``out``; a broken key fails the run and leaves the old ones.
 
-    All tables are staged and checked before the first one is replaced. The facts lie in one
+    All tables are staged and checked, then written and published together. The facts lie in one
     folder per month, the tables are also views for SQL.
     """
     staged = {}
@@ -103,17 +107,22 @@ def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, Dat
             keys.assert_not_null(staged[name], key, name)
         elif key:
             keys.assert_key(staged[name], key, name)
-    gold = {}
+    store, gold = Store(clean.sparkSession, out), {}
     for name, table in staged.items():
-        if name.startswith("fato"):
-            gold[name] = sinks.write_table(by_month(table), f"{out}/{name}", D.MONTH)
-        else:
-            gold[name] = sinks.write_table(table, f"{out}/{name}")
+        fact = name.startswith("fato")
+        gold[name] = store.write(by_month(table) if fact else table, name, D.MONTH if fact else None)
+    store.publish()
+    store.vacuum()
     sinks.register_views(gold)
     sinks.write_json_lines(gold_checks(gold), f"{out}/checks_gold")
     return gold
 
 
+def current(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """All published tables under ``out``, as of one moment."""
+    return Store(spark, out).read()
+
+
 def run(spark: SparkSession, detail_paths, group_paths, registry_path: str, out: str, **options):
     """Silver, then Gold. ``options`` are those of ``silver_layer``; what the run staged is deleted at its end."""
     with staging_scope(spark):

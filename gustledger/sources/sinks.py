@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustledger.sources.snapshots import Store
+
 # Fixed value: ISO instants of the JSON answers.
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
@@ -13,14 +17,14 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replace the table at ``path`` (snappy parquet) and return it as read back.
 
-    With ``partition_by`` the rows are rebalanced on that column first, so each value gets a
-    few files of good size and a value with many rows is split over several tasks.
+    The old rows stay until the new ones are whole, and one version longer for who still reads them;
+    ``snapshots.read_table`` finds the current ones.
     """
-    writer = df.hint("rebalance", partition_by).write if partition_by else df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    store = Store(df.sparkSession, path)
+    written = store.write(df, "", partition_by)
+    store.publish()
+    store.vacuum()
+    return written
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -30,9 +34,23 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 def save_named(df: DataFrame, name: str) -> DataFrame:
-    """Replace the catalog table ``name`` and return it."""
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace the catalog table ``name`` and return it.
+
+    The rows go to a new folder of the warehouse. A table of the same columns is pointed to it in one
+    step of the catalog; otherwise its entry, not its rows, is dropped and made anew.
+    """
+    spark = df.sparkSession
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-snapshots/{uuid.uuid4().hex}"
+    df.write.option("compression", "snappy").parquet(folder)
+    known = spark.catalog.tableExists(name)
+    external = known and spark.catalog.getTable(name).tableType == "EXTERNAL"
+    if external and spark.table(name).schema == spark.read.parquet(folder).schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, folder, "parquet")
+    return spark.table(name)
 
 
 def json_records(df: DataFrame, column: str = "json") -> DataFrame:
