@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from gustledger.functions import columns as C
@@ -18,9 +16,10 @@ from gustledger.operators import (
     profile,
 )
 from gustledger.plans import analytics
-from gustledger.queries.registry import exact, query, rounded, table
-from gustledger.session import stage, staging_root
+from gustledger.queries.registry import exact, folder, query, rounded, table
+from gustledger.session import stage
 from gustledger.sources import files, sinks
+from gustledger.sources.snapshots import Store
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -866,10 +865,6 @@ def json_records(spark, d):
 
 # --- files ----------------------------------------------------------------------------------
 
-def _folder(spark, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query(
     "union_drift",
     """
@@ -878,13 +873,13 @@ def _folder(spark, name: str) -> str:
 )
 def union_drift(spark, d):
     """One folder of three deliveries: prices as numbers, as text, and with a further column."""
-    orders, folder = table(spark, d, "orders"), _folder(spark, "deliveries")
+    orders, path = table(spark, d, "orders"), folder(spark, "deliveries")
     plain = orders.select("o_orderkey", "o_custkey", "o_totalprice")
     of = lambda i: F.col("o_orderkey") % 3 == i
-    plain.filter(of(0)).write.parquet(f"{folder}/a")
-    plain.filter(of(1)).withColumn("o_totalprice", F.col("o_totalprice").cast("string")).write.parquet(f"{folder}/b")
-    orders.filter(of(2)).select(*plain.columns, "o_orderpriority").write.parquet(f"{folder}/c")
-    return files.read_union(spark, [folder], {"o_totalprice": "double"}, file_column=None)
+    plain.filter(of(0)).write.parquet(f"{path}/a")
+    plain.filter(of(1)).withColumn("o_totalprice", F.col("o_totalprice").cast("string")).write.parquet(f"{path}/b")
+    orders.filter(of(2)).select(*plain.columns, "o_orderpriority").write.parquet(f"{path}/c")
+    return files.read_union(spark, [path], {"o_totalprice": "double"}, file_column=None)
 
 
 @query(
@@ -908,23 +903,23 @@ def salted_lookup(spark, d):
 )
 def monthly_files(spark, d):
     """The last three whole months, delivered as parquet and CSV in turn, found and read by month."""
-    orders, folder = table(spark, d, "orders"), _folder(spark, "months")
+    orders, base = table(spark, d, "orders"), folder(spark, "months")
     labelled = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy_MM").alias("mes"))
     months = files.month_list(orders.agg(F.max("o_orderdate")).first()[0].date(), 3)
     for i, month in enumerate(months):
-        rows, path = labelled.filter(F.col("mes") == month), f"{folder}/orders_{month}"
+        rows, path = labelled.filter(F.col("mes") == month), f"{base}/orders_{month}"
         if i % 2:
             rows.write.option("header", True).csv(f"{path}.csv")
         else:
             rows.write.parquet(f"{path}.parquet")
-    found = files.read_monthly(spark, folder, "orders", months, {"o_orderkey": "bigint"})
+    found = files.read_monthly(spark, base, "orders", months, {"o_orderkey": "bigint"})
     return found.groupBy("mes").agg(F.count("*").alias("pedidos"), F.min("o_orderkey").alias("primeiro"))
 
 
 @query("registry_file", "SELECT CAST(c_custkey AS VARCHAR) AS spe, c_name AS ceg, c_mktsegment AS projeto FROM customer")
 def registry_file(spark, d):
     """A registry written as CSV and read with its declared schema."""
-    path = _folder(spark, "registry")
+    path = folder(spark, "registry")
     rows = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("spe"), F.col("c_name").alias("ceg"), F.col("c_mktsegment").alias("projeto"))
     rows.write.option("header", True).csv(path)
     return files.read_registry(spark, path, "spe string, ceg string, projeto string")
@@ -932,14 +927,19 @@ def registry_file(spark, d):
 
 @query(
     "table_sink",
-    "SELECT o_orderkey, o_totalprice, o_orderdate, strftime(o_orderdate, '%Y_%m') AS mes FROM orders WHERE o_orderkey % 2 = 1",
+    """
+    SELECT version, o_orderkey, o_totalprice + CASE version WHEN 2 THEN 1 ELSE 0 END AS o_totalprice, o_orderdate,
+           strftime(o_orderdate, '%Y_%m') AS mes
+    FROM orders, (VALUES (1), (2)) v(version)""",
 )
 def table_sink(spark, d):
-    """Written by month, then replaced by its odd keys, as read back."""
-    path = _folder(spark, "table")
+    """All orders written by month, then replaced by changed ones; both versions as read back."""
+    path = folder(spark, "table")
     rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", F.date_format("o_orderdate", "yyyy_MM").alias("mes"))
     sinks.write_table(rows, path, "mes")
-    return sinks.write_table(rows.filter(F.col("o_orderkey") % 2 == 1), path, "mes")
+    sinks.write_table(rows.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "mes")
+    store = Store(spark, path)
+    return profile.union_all([store.read(v)[""].withColumn("version", F.lit(v)) for v in store.versions()])
 
 
 @query(
@@ -947,6 +947,6 @@ def table_sink(spark, d):
     """SELECT '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value FROM customer""",
 )
 def json_sink(spark, d):
-    path = _folder(spark, "lines")
+    path = folder(spark, "lines")
     sinks.write_json_lines(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), path)
     return spark.read.text(path)

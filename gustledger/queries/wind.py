@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gustledger.operators import completeness, duplicates, profile
-from gustledger.plans import analytics, report, silver, star
+from gustledger.plans import analytics, medallion, report, silver, star
 from gustledger.plans import domain as D
-from gustledger.queries.registry import exact, query, rounded, table
+from gustledger.queries.registry import exact, folder, query, rounded, table
 from gustledger.session import stage
 from gustledger.sources import sinks
+from gustledger.sources.snapshots import read_table
 
 PATTERN = r"\d{9}-\d"
 
@@ -326,11 +327,7 @@ def wind_states(spark, d):
     return report.wind_states(_treated(spark, d)[1].silver())
 
 
-@query(
-    "business_rules",
-    _pick(
-        _SPLIT,
-        """
+_RULES = """
     SELECT 'geracao_negativa_bruta' AS regra, COUNT(*) FILTER (aud_geracao_negativa = 1) AS falhas,
            'campo_nullificado' AS acao FROM joined
     UNION ALL SELECT 'vento_fora_faixa_0_40ms', COUNT(*) FILTER (aud_vento_fora_faixa = 1),
@@ -340,42 +337,110 @@ def wind_states(spark, d):
     UNION ALL SELECT 'limitada_maior_referencia', COUNT(*) FILTER (flg_alerta_limitada = 1),
            'flg_alerta_limitada=1' FROM silver
     UNION ALL SELECT 'geracao_conj_nula_pos_join', COUNT(*) FILTER (val_geracao_conjunto IS NULL),
-           'alerta_join_incompleto' FROM silver""",
-    ),
-)
+           'alerta_join_incompleto' FROM silver"""
+
+
+@query("business_rules", _pick(_SPLIT, _RULES))
 def business_rules(spark, d):
     joined, treated = _treated(spark, d)
     return report.business_rules(joined, treated.silver())
 
 
-_SECTIONS = {"volumetria": _VOLUMETRY, "integridade_referencial": _INTEGRITY, "estados_vento": _STATES}
+_PERIOD = """
+    SELECT COALESCE(strftime(MIN(din_instante), '%Y-%m-%d'), 'N/A') AS inicio,
+           COALESCE(strftime(MAX(din_instante), '%Y-%m-%d'), 'N/A') AS fim FROM silver"""
 
+_FRESHNESS = """
+    SELECT CASE WHEN last = want THEN 'OK' WHEN last > want THEN 'ALERTA' ELSE 'FALHA' END AS status,
+           COALESCE(last = want, FALSE) AS ok, strftime(want, '%m/%Y') AS ultimo_mes_esperado,
+           CASE WHEN last = want THEN 'Último registro: ' || strftime(ts, '%d/%m/%Y %H:%M')
+                WHEN last > want THEN 'Base contém dados do mês atual (' || strftime(ts, '%m/%Y') || ')'
+                ELSE 'Dados desatualizados. Último: ' || strftime(ts, '%d/%m/%Y %H:%M') END AS mensagem
+    FROM (SELECT MAX(din_instante) AS ts, DATE_TRUNC('month', MAX(din_instante)) AS last,
+                 DATE '2024-01-01' AS want FROM silver)"""
 
-@query(
-    "quality_report",
-    _pick(
-        _SPLIT,
-        " UNION ALL ".join(
-            f"""SELECT '{name}' AS section, key, CAST(value AS VARCHAR) AS value
-            FROM (UNPIVOT ({sql}) ON COLUMNS(*) INTO NAME key VALUE value)"""
-            for name, sql in _SECTIONS.items()
-        ),
-    ),
-)
-def quality_report(spark, d):
-    """The counters of the JSON report as (section, key, value)."""
+_REJECTED = "SELECT COUNT(*) AS total, CASE WHEN COUNT(*) > 0 THEN 'quarantine' END AS arquivo FROM quarantine"
+
+
+def _nulls_sql(c: str) -> str:
+    part = lambda t: rounded(f"(SELECT 100.0::DOUBLE * COUNT(*) FILTER ({c} IS NULL) / GREATEST(COUNT(*), 1) FROM {t})", 2)
+    return f"SELECT '{c}' AS coluna, {part('joined')} AS antes_pct, {part('silver')} AS depois_pct"
+
+
+def _distribution_sql(c: str) -> str:
+    quantiles = ", ".join(f"{rounded(f'quantile_cont({c}, {q})', 4)} AS p{round(100 * q)}" for q in (0.25, 0.5, 0.75))
+    return f"""
+    SELECT '{c}' AS coluna, {rounded(f"MIN({c})", 4)} AS min, {quantiles}, {rounded(f"MAX({c})", 4)} AS max,
+           {rounded(f"CAST(SUM({exact(c)}) AS DOUBLE) / COUNT({c})", 4)} AS media
+    FROM silver HAVING COUNT({c}) > 0"""
+
+
+# The nine sections of the report: one row each, or a row for each name.
+_SECTIONS = {
+    "periodo_dados": _PERIOD, "volumetria": _VOLUMETRY, "integridade_referencial": _INTEGRITY, "estados_vento": _STATES,
+    "freshness": _FRESHNESS, "quarentena": _REJECTED,
+}
+_NAMED = {
+    "regras_negocio": ("regra", _RULES),
+    "nulos_por_coluna": ("coluna", " UNION ALL ".join(map(_nulls_sql, D.METRICS))),
+    "distribuicao_numerica": ("coluna", " UNION ALL ".join(map(_distribution_sql, D.METRICS))),
+}
+
+
+def _report_sql() -> str:
+    one = [
+        f"SELECT '{name}' AS section, key, value FROM (SELECT COLUMNS(*)::VARCHAR FROM ({sql})) UNPIVOT INCLUDE NULLS (value FOR key IN (COLUMNS(*)))"
+        for name, sql in _SECTIONS.items()
+    ]
+    named = [
+        f"""SELECT '{name}', {label} || '.' || key, value
+            FROM (SELECT COLUMNS(*)::VARCHAR FROM ({sql})) UNPIVOT INCLUDE NULLS (value FOR key IN (COLUMNS(* EXCLUDE ({label}))))"""
+        for name, (label, sql) in _NAMED.items()
+    ]
+    return _pick(_SPLIT, " UNION ALL ".join(one + named))
+
+
+def _sections(text):
+    """The JSON document as (section, key, value); a key of a named entry is name.field."""
+    def parsed(section, kind):
+        return F.from_json(F.get_json_object("json", f"$.{section}"), kind)
+
+    flat = [F.struct(F.lit(s).alias("section"), parsed(s, "map<string,string>").alias("m")) for s in _SECTIONS]
+    whole = text.select(F.explode(F.array(*flat)).alias("s")).select("s.section", F.explode("s.m").alias("key", "value"))
+    deep = [F.struct(F.lit(s).alias("section"), parsed(s, "map<string,map<string,string>>").alias("m")) for s in _NAMED]
+    names = text.select(F.explode(F.array(*deep)).alias("s")).select("s.section", F.explode("s.m").alias("name", "fields"))
+    fields = names.select("section", "name", F.explode("fields").alias("key", "value"))
+    return whole.unionByName(fields.select("section", F.concat_ws(".", "name", "key").alias("key"), "value"))
+
+
+def _report(spark, d):
     joined, treated = _treated(spark, d)
     clean, quarantine = stage(treated.silver(), "silver"), stage(treated.quarantine(), "quarantine")
     as_of = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
-    text = report.quality_report(
-        joined, clean, quarantine, treated.duplicate_counts(), registry(spark, d), as_of, "quarantine"
-    )
-    parts = [
-        F.struct(F.lit(s).alias("section"), F.from_json(F.get_json_object("json", f"$.{s}"), "map<string,string>").alias("m"))
-        for s in _SECTIONS
-    ]
-    sections = text.select(F.explode(F.array(*parts)).alias("s"))
-    return sections.select("s.section", F.explode("s.m").alias("key", "value"))
+    return report.quality_report(joined, clean, quarantine, treated.duplicate_counts(), registry(spark, d), as_of, "quarantine")
+
+
+@query("quality_report", _report_sql())
+def quality_report(spark, d):
+    """All nine sections of the JSON report as (section, key, value)."""
+    return _sections(stage(_report(spark, d), "report"))
+
+
+@query("report_file", _report_sql())
+def report_file(spark, d):
+    """The report written as a JSON file and read back."""
+    path = folder(spark, "report")
+    _report(spark, d).write.mode("overwrite").text(path)
+    return _sections(spark.read.text(path).withColumnRenamed("value", "json"))
+
+
+@query("quarantine_sink", _pick(_SPLIT, "SELECT * FROM quarantine"))
+def quarantine_sink(spark, d):
+    """The quarantine table as published and read back, after a first version without rows."""
+    path, rejected = folder(spark, "quarantine"), _treated(spark, d)[1].quarantine()
+    sinks.write_table(rejected.limit(0), path)
+    sinks.write_table(rejected, path)
+    return read_table(spark, path)
 
 
 # --- Gold -----------------------------------------------------------------------------------
@@ -444,6 +509,50 @@ def fact_group(spark, d):
     return star.fato_geracao_conjunto(_treated(spark, d)[1].silver())
 
 
+_EXPORT = {
+    "dim_conjunto": ("id_ons_conjunto", "nom_conjunto", "NULL"),
+    "dim_spe": ("spe", "id_ons_conjunto", "NULL"),
+    "dim_restricao": ("cod_razaorestricao", "cod_origemrestricao", "NULL"),
+    "dim_tempo": ("strftime(din_instante, '%Y-%m-%d %H:%M')", "CAST(ano AS VARCHAR)", "minuto"),
+    "fato_geracao_spe": ("spe", "strftime(din_instante, '%Y-%m-%d %H:%M')", "val_geracaoverificada"),
+    "fato_geracao_conjunto": ("id_ons_conjunto", "strftime(din_instante, '%Y-%m-%d %H:%M')", "val_geracao"),
+}
+_EXPORTED = {
+    "dim_restricao": "(SELECT reason AS cod_razaorestricao, origin AS cod_origemrestricao FROM dim_restricao)",
+    "dim_tempo": """(SELECT DISTINCT din_instante, EXTRACT(year FROM din_instante) AS ano, EXTRACT(minute FROM din_instante) AS minuto
+                     FROM silver WHERE din_instante IS NOT NULL)""",
+    "fato_geracao_spe": "(SELECT nome_spe_cv AS spe, din_instante, val_geracaoverificada FROM silver)",
+    "fato_geracao_conjunto": "fato_conjunto",
+}
+
+
+@query(
+    "gold_export",
+    _pick(
+        _GOLD,
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS tabela, {a} AS chave, {b} AS atributo, CAST({v} AS DOUBLE) AS valor FROM {_EXPORTED.get(t, t)}"
+            for t, (a, b, v) in _EXPORT.items()
+        ),
+    ),
+)
+def gold_export(spark, d):
+    """All rows of the six published Gold tables: their keys and one value each, read from the manifest."""
+    out, clean = folder(spark, "gold"), _silver(spark, d)
+    medallion.gold_layer(clean, registry(spark, d), out)
+    tables = medallion.current(spark, out)
+
+    def text(sql):
+        return sql.replace("strftime", "date_format").replace("%Y-%m-%d %H:%M", "yyyy-MM-dd HH:mm").replace("VARCHAR", "STRING")
+
+    return profile.union_all(
+        [
+            tables[t].select(F.lit(t).alias("tabela"), F.expr(text(a)).alias("chave"), F.expr(text(b)).alias("atributo"), F.expr(v).cast("double").alias("valor"))
+            for t, (a, b, v) in _EXPORT.items()
+        ]
+    )
+
+
 @query(
     "wind_projects",
     _pick(
