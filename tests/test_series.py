@@ -122,6 +122,39 @@ def test_distribution_does_not_depend_on_the_sketch(spark, monkeypatch):
     check(distribution.distribution(df, ["v"]).first(), data)
 
 
+@pytest.mark.parametrize("by", [None, ["g"]])
+def test_bands_that_are_too_large_are_banded_again(spark, monkeypatch, by):
+    """With a few rows a task, bands are parted over and over; heavy, infinite and equal values among them."""
+    monkeypatch.setattr(distribution, "BAND_ROWS", 3)
+    monkeypatch.setattr(distribution, "ACCURACY", 50)
+    rng = np.random.default_rng(11)
+    values = [*map(float, rng.normal(0, 5, 1500)), *[1.25] * 700, *map(float, rng.exponential(1e6, 300))]
+    data = [("a" if i % 3 else "b", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {r["g"] if by else None: r for r in distribution.distribution(df, ["v"], by).collect()}
+    for g, r in got.items():
+        check(r, [v for k, v in data if g in (k, None)])
+    assert len(got) == (2 if by else 1)
+
+
+def test_bands_are_numbers_of_generated_code(spark):
+    """No array is built for a value, and no text is a key but the metric's name."""
+    df = spark.range(100).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    banded = distribution._banded(df, ["a", "b"], [], [0.2, 0.3, 0.7])
+    plan = banded.groupBy("coluna", "_band").count()._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and "lambda" not in plan and dict(banded.dtypes)["_band"] == "bigint"
+    assert {r["_band"] for r in banded.collect()} <= set(range(7))
+
+
+@pytest.mark.parametrize("low", [-5.0, 1.2499])
+def test_a_value_that_fills_a_band_is_parted_from_the_rest(spark, monkeypatch, low):
+    """All ranks of the grid are the heavy value; the one below it must leave the band all the same."""
+    monkeypatch.setattr(distribution, "BAND_ROWS", 3)
+    monkeypatch.setattr(distribution, "_margins", lambda probs: [1.0])
+    data = [low] + [1.25] * 700 + [2.0]
+    check(distribution.distribution(spark.createDataFrame([(v,) for v in data], "v double"), ["v"]).first(), data)
+
+
 def test_null_profile(spark, rows):
     before = spark.createDataFrame([(1.0, None), (None, None), (3.0, 1.0)], "a double, b double")
     after = before.filter("a is not null")
