@@ -69,6 +69,14 @@ def crc_part(key: Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -125,6 +133,6 @@ def partitions_for(rows: int, rows_per_task: int) -> int:
 
 
 __all__ = [
-    "DataFrame", "SPACE", "as_binary", "crc_part", "fresh_path", "has_letter", "mix64", "offsets", "partitions_for",
+    "DataFrame", "SPACE", "as_binary", "crc_part", "free_name", "fresh_path", "has_letter", "mix64", "offsets", "partitions_for",
     "ragged", "ship", "slices", "stage", "text_of",
 ]

@@ -9,7 +9,8 @@ drop come back to the documents. A shard with many probes is repeated for salted
 
 A null text is one empty line and stays null when nothing is dropped. Documents of a null id take
 no part: their lines neither count nor go. Rows that share an id are one document. A tie can't
-arise, as ids of distinct documents differ. An empty table stays empty, other columns are kept.
+arise, as ids of distinct documents differ. A very long text is read some million characters at a
+time. An empty table stays empty, other columns are kept.
 """
 
 from __future__ import annotations
@@ -128,7 +129,7 @@ def _build(key: tuple, table: pa.Table) -> pa.Table:
     places = places + run
     put = lambda v, kind: v[np.argsort(places)].astype(kind).tobytes()
     row = [key[0].as_py(), hashed.sizes.tobytes(), np.packbits(hashed.bits).tobytes(), hashed.rest.tobytes(),
-           put(prints, np.int64), put(counts, np.int32), put(largest, np.int64)]
+           put(prints, np.int64), put(counts, np.int64), put(largest, np.int64)]
     kinds = [pa.int64()] + [pa.binary()] * 6
     names = [c.split()[0] for c in INDEX.split(", ")]
     return pa.table({n: pa.array([v], k) for n, v, k in zip(names, row, kinds, strict=True)})
@@ -142,7 +143,7 @@ def _probe(least: int):
             sizes = np.frombuffer(row["sizes"], np.int64)
             bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=int(sizes.sum())).astype(bool)
             hashed = PerfectHash(sizes, bits, np.frombuffer(row["rest"], np.int64))
-            prints, counts, largest = (np.frombuffer(row[c], k) for c, k in (("prints", np.int64), ("counts", np.int32), ("largest", np.int64)))
+            prints, counts, largest = (np.frombuffer(row[c], k) for c, k in (("prints", np.int64), ("counts", np.int64), ("largest", np.int64)))
             h1, h2, ids = (probes.column(c).to_numpy() for c in ("h1", "h2", "doc_id"))
             at = hashed.places(h1)
             # Equal first halves stand next to each other: step on while the fingerprint differs.

@@ -5,9 +5,11 @@ document is emitted floor(rate) times, plus once more with the probability of th
 draw hashes the document and a seed, so reruns agree. Sources stay in tables: ranks come from a
 distributed sort, the shares from a few sums over one row per source.
 
-A null text has no words, a null source is a source of its own and sorts last. Repeated rows of
-one id and text share a draw. A source without words has the target 0 and rate 0, as an empty
-table has no sources. Names of extra columns don't matter; columns named like the results are replaced.
+A null text has no words, a null source is a source of its own and sorts last. The draw knows a row
+by its id, source and text, so repeated rows share one; rows of a null id have a number of their own in it
+as well, which is the same in reruns over the same files. A very long text is only counted and hashed. A
+source without words has the target 0 and rate 0, as an empty table has no sources. Names of extra columns
+don't matter; columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gustledger.llm.common import stage, text_of
+from gustledger.llm.common import free_name, stage, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 RESULTS = ("size", "source_size", "target", "copies")
@@ -73,27 +75,33 @@ def _ranked(sums: DataFrame) -> DataFrame:
     return placed.join(parts, "part").select("source", "source_size", (F.col("at") - F.col("first") + F.col("before")).alias("rank"))
 
 
-def _planned(docs: DataFrame, weights: Sequence[int], share: float, limit: float, seed: str) -> DataFrame:
+def _planned(docs: DataFrame, weights: Sequence[int], share: float, limit: float, seed: str) -> tuple[DataFrame, str]:
+    """The documents with one more column, a struct of the results, and its name."""
     sizes = docs.select("source", n_words(text_of()).alias("size"))
-    targets = source_targets(sizes, weights, share, limit).withColumnRenamed("source", "mix_source")
-    sized = docs.withColumn("__size", n_words(text_of()))
-    joined = sized.join(targets.select("mix_source", F.struct("source_size", "target").alias("__goal")), F.col("source").eqNullSafe(F.col("mix_source")), "left")
-    words, target = F.col("__goal.source_size"), F.col("__goal.target")
+    size, at, goal, mix_source, out = (free_name(docs, n) for n in ("mix_size", "mix_draw", "mix_goal", "mix_source", "mix_result"))
+    targets = source_targets(sizes, weights, share, limit).select(F.col("source").alias(mix_source), F.struct("source_size", "target").alias(goal))
+    # The number of a row is taken where the rows are read; a null number is an empty text in the draw.
+    number = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    own = draw(seed, F.col("doc_id"), F.col("source"), F.md5(text_of().cast("binary")), F.coalesce(number.cast("string"), F.lit("")))
+    sized = docs.select("*", n_words(text_of()).alias(size), own.alias(at))
+    joined = sized.join(targets, F.col("source").eqNullSafe(F.col(mix_source)), "left")
+    words, target = F.col(f"{goal}.source_size"), F.col(f"{goal}.target")
     rate = F.when(words > 0, target / words).otherwise(0.0)
     whole = F.floor(rate)
-    extra = (draw(seed, F.col("doc_id"), F.col("source")) < rate - whole).cast("long")
-    result = F.struct(F.col("__size").alias("size"), words.alias("source_size"), target.alias("target"), (whole + extra).cast("long").alias("copies"))
-    return joined.select(*[sized[f"`{c}`"] for c in docs.columns], result.alias("__mix"))
+    extra = (F.col(at) < rate - whole).cast("long")
+    result = F.struct(F.col(size).alias("size"), words.alias("source_size"), target.alias("target"), (whole + extra).cast("long").alias("copies"))
+    return joined.select(*[sized[f"`{c}`"] for c in docs.columns], result.alias(out)), out
 
 
 def plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, limit: float = 2.0, seed: str = "mix") -> DataFrame:
     """The documents with size, source_size, target and copies, the times the mix takes each."""
-    planned = _planned(docs, weights, share, limit, seed)
-    return planned.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS], "__mix.*")
+    planned, out = _planned(docs, weights, share, limit, seed)
+    return planned.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS], f"{out}.*")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, limit: float = 2.0, seed: str = "mix") -> DataFrame:
     """The mixed documents themselves: every row as often as the plan takes it, with the columns of ``docs``."""
-    taken = _planned(docs, weights, share, limit, seed).filter(F.col("__mix.copies") > 0)
-    each = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mix.copies").cast("int"))))
+    planned, out = _planned(docs, weights, share, limit, seed)
+    taken = planned.filter(F.col(f"{out}.copies") > 0)
+    each = taken.withColumn(free_name(taken, "mix_copy"), F.explode(F.sequence(F.lit(1), F.col(f"{out}.copies").cast("int"))))
     return each.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -37,7 +37,7 @@ def op2_maxent_scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query("op3_mix_sources", r"""
     WITH sized AS (
-        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+        SELECT doc_id, source, md5(coalesce(text, '')) AS own, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
     sums AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
     weighted AS (
         SELECT source, source_size, list_extract([3, 1, 2], CAST((ROW_NUMBER() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)) AS weight
@@ -56,12 +56,12 @@ def op2_maxent_scores(spark: SparkSession, d: str) -> DataFrame:
     targets AS (
         SELECT source, source_size, LEAST(2.0::DOUBLE * source_size, level * weight) AS target FROM weighted, final),
     rated AS (
-        SELECT s.doc_id, s.size, t.source_size, t.target, s.source,
+        SELECT s.doc_id, s.size, t.source_size, t.target, s.source, s.own,
                CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate
         FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
     SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
            CAST(size * (floor(rate) + CASE WHEN
-               ('0x' || substr(md5(concat_ws(chr(31), 'mix', coalesce(CAST(doc_id AS VARCHAR), chr(30)), coalesce(source, chr(30)))), 1, 13))::BIGINT::DOUBLE
+               ('0x' || substr(md5(concat_ws(chr(31), 'mix', coalesce(CAST(doc_id AS VARCHAR), chr(30)), coalesce(source, chr(30)), own, '')), 1, 13))::BIGINT::DOUBLE
                / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
     FROM rated""")
 def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
@@ -71,12 +71,12 @@ def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
 
 @query("op4_exact_top_k", r"""
     WITH whole AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        SELECT vec_id, ROW_NUMBER() OVER () AS r, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scored AS (
-        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-        FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
-    ranked AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
+        SELECT q.vec_id AS query_id, q.r, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)),
+    ranked AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""")
 def op4_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return vafile.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -6,7 +6,8 @@ count is appended. The cache is a Parquet folder; only (digest, version, count)
 between tasks, besides the texts to encode.
 
 A null text is normalised to the empty text, nothing else is changed since the vocabulary sees every byte.
-Repeated rows and texts share one count. An empty table stays empty and adds nothing to the cache.
+Repeated rows and texts share one count, so there are no ties; a very long text is encoded whole. An empty
+table stays empty and adds nothing to the cache.
 Other columns are kept; those named like the results are replaced.
 """
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustledger.llm.common import ship, slices, stage, text_of
+from gustledger.llm.common import free_name, ship, slices, stage, text_of
 
 KEPT = 800_000  # distinct cuts that a task remembers before it starts anew
 INSIDE_RUN = re.compile(r"\s (?:\s|\Z)")
@@ -82,9 +83,13 @@ def _counted(misses: DataFrame, model: bytes, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = _counter(data.value, kind)
+        counter, seen = _counter(data.value, kind), set()
         for batch in batches:
-            for part in slices(batch, 1):
+            fresh = []
+            for d in batch.column(0).to_pylist():  # rows of one id and content come several times
+                fresh.append(d not in seen)
+                seen.add(d)
+            for part in slices(batch.filter(pa.array(fresh, pa.bool_())), 1):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counter.count(part.column(1).to_pylist()), pa.int64())], ["digest", "n"])
 
     return ship(misses).select("digest", "text").mapInArrow(run, "digest binary, n long")
@@ -114,10 +119,13 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, doc_id: str = "doc
     m = misses.select(F.col("digest").alias("d"), F.col("id").alias("i"))
     whole = whole.join(m, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
     counted = _counted(whole, model, "model" if tokenizer.endswith(".model") else "json")
+    # Repeated rows in several tasks are counted in each of them, and stored once.
+    counted = counted.groupBy("digest").agg(F.min("n").alias("n"))
     counted.select("digest", F.lit(version).alias("version"), "n").write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).filter(F.col("version") == version).groupBy(F.col("digest").alias("content_digest")).agg(F.min("n").alias("content_tokens"))
     kept = [c for c in docs.columns if c not in ("n_bytes", "n_tokens")]
     # Sizes and digests are taken before the join, so the texts only travel where the caller asks for them.
-    sized = docs.select(*[F.col(f"`{c}`") for c in kept], F.octet_length(text_of(text)).cast("long").alias("n_bytes"), digest.alias("content_key"))
-    joined = sized.join(counts, F.col("content_key") == F.col("content_digest"), "left")
-    return joined.select(*[sized[f"`{c}`"] for c in kept], sized["n_bytes"], F.col("content_tokens").alias("n_tokens"))
+    key, of, found = (free_name(docs, n) for n in ("content_key", "content_digest", "content_tokens"))
+    sized = docs.select(*[F.col(f"`{c}`") for c in kept], F.octet_length(text_of(text)).cast("long").alias("n_bytes"), digest.alias(key))
+    joined = sized.join(counts.toDF(of, found), F.col(key) == F.col(of), "left")
+    return joined.select(*[sized[f"`{c}`"] for c in kept], sized["n_bytes"], F.col(found).alias("n_tokens"))

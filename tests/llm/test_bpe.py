@@ -111,6 +111,21 @@ def test_cache_grows_by_distinct_misses_only(spark, cache):
     assert tokencounts.token_counts(df.limit(0), path, cache).count() == 0
 
 
+def test_repeated_rows_are_one_content(spark, cache):
+    """Also where the row that stands for its content is itself repeated, with and without an id, in several tasks."""
+    rows = [(1, "one two")] * 20 + [(None, "three four")] * 10 + [(None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = tokencounts.token_counts(df, public_tokenizers.path("byte_bpe_50k.json"), cache)
+    assert sorted(r["n_tokens"] for r in got.collect()) == [0] * 3 + [2] * 30
+    assert spark.read.parquet(cache).count() == 3
+
+
+def test_count_columns_may_clash(spark, cache):
+    df = spark.createDataFrame([(1, "one two", "x", "y", "z")], "doc_id long, text string, content_key string, content_digest string, CONTENT_TOKENS string")
+    got = tokencounts.token_counts(df, public_tokenizers.path("byte_bpe_50k.json"), cache).first()
+    assert (got["content_key"], got["content_digest"], got["CONTENT_TOKENS"], got["n_tokens"]) == ("x", "y", "z", 2)
+
+
 def test_stored_counts_are_used(spark, cache):
     path = public_tokenizers.path("byte_bpe_50k.json")
     df = spark.createDataFrame([(1, "one two")], "doc_id long, text string")

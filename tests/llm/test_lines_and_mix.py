@@ -117,3 +117,34 @@ def test_mix_without_words_or_rows(spark):
 def test_mix_limits_every_document(spark):
     df = spark.createDataFrame([(i, "one two three", "only") for i in range(10)] * 2, "doc_id long, text string, source string")
     assert all(r["size"] * r["copies"] <= 2 * r["size"] for r in mixing.plan(df).collect())
+
+
+def test_mix_of_rows_without_an_id(spark):
+    """A third of the rows have no id, half of these the same text: their source still comes near its target."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("w" * rng.randint(5, 15)), rng.choice("abc")) for i in range(2000)]
+    rows += [(None, f"some words {i if i % 2 else ''}", "b") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, want = defaultdict(int), {}
+    for r in mixing.plan(df).collect():
+        taken[r["source"]] += r["size"] * r["copies"]
+        want[r["source"]] = r["target"]
+    for s, t in want.items():
+        assert taken[s] == pytest.approx(t, rel=0.05)
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["mix_size", "mix_draw", "mix_goal", "mix_source", "mix_result", "mix_copy", "__size", "__mix", "__goal"]
+    df = spark.createDataFrame([(i, "one two", "a", *[f"x{i}"] * len(names)) for i in range(20)], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns and all(r[n] == f"x{r['doc_id']}" for r in mixed.collect() for n in names)
+    assert mixing.plan(df).count() == 20
+
+
+def test_counts_of_documents_are_wide(spark):
+    """A line may be in more documents than a 32-bit number tells."""
+    import pyarrow as pa
+
+    index = linededup._build((pa.scalar(0),), pa.table({"h1": np.array([5]), "h2": np.array([3]), "n_docs": [2**31 + 7], "last_doc": [9]}))
+    probes = pa.table({"h1": np.array([5]), "h2": np.array([3]), "doc_id": [1]})
+    assert linededup._probe(5)((pa.scalar(0), pa.scalar(0)), probes, index).num_rows == 1

@@ -198,19 +198,22 @@ def test_near_links_of_odd_rows(spark):
 
 
 def brute_top(rows, k):
-    best = {}
-    for i, v, *_ in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            best[i] = max(best.get(i, v), v)
-    whole = {i: [math.floor(1024 * x) for x in v] for i, v in best.items()}
+    """Every row against every other, rows of one id too."""
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v, *_ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in whole.items():
+    for at, (q, v) in enumerate(whole):
         if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole.items() if i != q and len(w) == len(v))
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for j, (i, w) in enumerate(whole) if j != at and len(w) == len(v))
             out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
+def test_top_k_keeps_rows_that_share_an_id(spark):
+    rows = [(100, [1.0, 0.0], 0), (100, [0.0, 1.0], 0), (1, [1.0, 1.0], 0), (1, [2.0, 0.0], 0), (100, [1.0, 0.0], 0)]
+    got = sorted(map(tuple, vafile.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0).collect()))
+    assert got == brute_top(rows, 10) and len(got) == 3 * 4
+
+
 @pytest.mark.parametrize("block", [4096, 7])
 def test_top_k_equals_brute_force(spark, vectors, monkeypatch, block):
     monkeypatch.setattr(vafile, "BLOCK_ROWS", block)
