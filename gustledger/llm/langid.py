@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustledger.llm.common import mix64, ragged, ship, slices, text_of
+from gustledger.llm.common import free_name, mix64, ragged, ship, slices, text_of
 
 BUCKETS = 1 << 15
 SAMPLE = 4000
@@ -236,14 +236,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fa
             yield pa.StructArray.from_arrays(list(fields.values()), list(fields))
 
     results = ["lang_pred", "score", *["spans"] * spans]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in results]
-    return docs.select(*kept, found(text_of(text)).alias("__found")).select(*[F.col(f"`{c}`") for c in docs.columns if c not in results], "__found.*")
+    kept, out = [F.col(f"`{c}`") for c in docs.columns if c not in results], free_name(docs, "found")
+    return docs.select(*kept, found(text_of(text)).alias(out)).select(*kept, f"{out}.*")
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
     """Documents without a language, or whose language holds less than ``least`` of the letters, go."""
-    ident = identify(docs.withColumn("__keep", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), model, text)
-    return ident.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("__keep.*")
+    keep = free_name(docs, "keep")
+    ident = identify(docs.withColumn(keep, F.struct(*[F.col(f"`{c}`") for c in docs.columns])), model, text)
+    return ident.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(f"{keep}.*")
 
 
 def held_out(key: Column, parts: int = 4, part: int = 2) -> Column:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustledger.llm.common import as_binary, mix64, ragged, ship, slices, stage, text_of
+from gustledger.llm.common import as_binary, free_name, mix64, ragged, ship, slices, stage, text_of
 from gustledger.llm.similarity import linked_components, with_pivots
 
 KEPT = 500_000   # distinct words that a task remembers before it starts anew
@@ -285,5 +285,6 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, doc_i
 def keep_representatives(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that have the smallest id of their component, and those of a null id."""
     found = jaccard_components(docs, words, percent, doc_id, text)
-    gone = stage(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "linked-away")
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = stage(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), "linked-away")
+    return docs.join(gone, F.col(doc_id).cast("long") == F.col(name), "left_anti")

@@ -74,3 +74,10 @@ def test_sample_bounds_the_texts_read(spark, labelled):
     df = spark.createDataFrame([(i, t, "aa" if i % 3 else k) for i, t, k in labelled * 3], "doc_id long, text string, lang string")
     model = langid.learn(df, sample=50)
     assert np.isfinite(model.scores).all() and len(model.langs) == 3
+
+
+def test_columns_of_any_name_stay(spark, model):
+    df = spark.createDataFrame([(1, "kalo mira tenu", "x", "y", "z")], "doc_id long, text string, found string, keep string, __found string")
+    kept = langid.keep_identified(df, model)
+    assert kept.columns == df.columns and tuple(kept.first()) == (1, "kalo mira tenu", "x", "y", "z")
+    assert langid.identify(df, model).first()["lang_pred"] == "aa"

@@ -229,3 +229,9 @@ def test_top_k_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, rank int")
     got = vafile.top_k(df, F.col("vec_id") % 100 == 0)
     assert got.count() == 0 and got.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    text = "one two three four five six seven eight"
+    df = spark.createDataFrame([(1, text, "a", "b"), (2, text, "c", "d")], "doc_id long, text string, gone string, __gone string")
+    assert [tuple(r) for r in ngramjoin.keep_representatives(df).collect()] == [(1, text, "a", "b")]
