@@ -162,7 +162,7 @@ def _sets(words: int, rows: str, percent: int = 0):
                 offsets = np.r_[0, np.cumsum(sizes)]
                 if rows == "sets":
                     blobs = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                    sketches = [x.tobytes() for x in _sketches(hashes, sizes)]
+                    sketches = _sketches(hashes, sizes)
                     columns = [pa.array(digests), pa.array(blobs, pa.binary()), pa.array(sketches, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["id", "blob", "sketch"])
                     continue
@@ -179,14 +179,28 @@ def _sets(words: int, rows: str, percent: int = 0):
     return run
 
 
-def _sketches(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The size of each set, and its shingles by bucket: what two sketches differ by, the sets differ by at least."""
+def _sketches(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The size of each set, and its shingles by bucket: what two sketches differ by, the sets differ by at least.
+
+    Four bytes for the size, then one byte a bucket, or four if a bucket has more than 255 shingles.
+    """
     at = np.repeat(np.arange(len(sizes)), sizes) * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
-    return np.concatenate([sizes[:, None], np.bincount(at, minlength=len(sizes) * BUCKETS).reshape(-1, BUCKETS)], 1).astype(np.int32)
+    counts = np.bincount(at, minlength=len(sizes) * BUCKETS).reshape(-1, BUCKETS)
+    cells = [c.astype(np.uint8 if top < 256 else np.int32).tobytes() for c, top in zip(counts, counts.max(1, initial=0), strict=True)]
+    return [n.tobytes() + c for n, c in zip(np.asarray(sizes, np.int32), cells, strict=True)]
 
 
 def _bounds(sketches: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), np.int32).reshape(-1, BUCKETS + 1)
+    """Rows of size and buckets."""
+    short = 4 + BUCKETS
+    out = np.zeros((len(sketches), 1 + BUCKETS), np.int32)
+    narrow = np.array([len(s) == short for s in sketches], bool)
+    raw = np.frombuffer(b"".join(s for s in sketches if len(s) == short), np.uint8).reshape(-1, short)
+    out[narrow, 0] = np.ascontiguousarray(raw[:, :4]).view(np.int32).ravel()
+    out[narrow, 1:] = raw[:, 4:]
+    for i in np.flatnonzero(~narrow):
+        out[i] = np.frombuffer(sketches[i], np.int32)
+    return out
 
 
 def at_least(left: list[bytes], right: list[bytes]) -> np.ndarray:

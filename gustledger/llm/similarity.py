@@ -1,8 +1,8 @@
 """Linking things by a measure, from candidate buckets, without a row for every pair of a group.
 
 A bucket's members are first held against one of them, its pivot. The measures are metrics, so a
-pair within the radius ``t`` that shares a bucket is either in the ball of three radii around the
-pivot, or both are more than two radii away from it. The balls join up to clusters, which are
+pair within the radius ``t`` that shares a bucket is either in the ball of two radii around the
+pivot, or both are more than one radius away from it. The balls join up to clusters, which are
 compared in blocks of bounded size inside tasks; what a task returns is bounded by its block, not
 by its pairs. Members away from their pivot are compared bucket by bucket in the same way, after
 small sketches, which bound distances from below, have ruled out nearly all of them.
@@ -167,15 +167,15 @@ def linked_components(
     sketches = blobs.select("id", F.col("sketch"), "weight")
     star = members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     star = stage(bounded(star, sketches, bound), "star-bounds")
-    near = stage(verified(star.filter(F.col("least") <= 3 * t + EPS).select("a", "b"), blobs, pairwise), "star")
+    near = stage(verified(star.filter(F.col("least") <= 2 * t + EPS).select("a", "b"), blobs, pairwise), "star")
     links = near.filter("linked").select("a", "b")
     found = components(links)
-    clusters = components(near.filter(F.col("distance") <= 3 * t + EPS).select("a", "b"))
+    clusters = components(near.filter(F.col("distance") <= 2 * t + EPS).select("a", "b"))
     inner = clusters.select(F.col("component").alias("gid"), "id").join(found.select("id", F.col("component").alias("part")), "id", "left")
     inner = mixed_groups(inner.select("gid", "id", F.coalesce("part", "id").alias("part")))
     inside = stage(compared(inner, blobs, blockwise), "links").select("a", "b")
 
-    away = star.filter(F.col("least") > 3 * t + EPS).select("a", "b").unionByName(near.filter(F.col("distance") > 2 * t - EPS).select("a", "b"))
+    away = star.filter(F.col("least") > 2 * t + EPS).select("a", "b").unionByName(near.filter(F.col("distance") > t - EPS).select("a", "b"))
     away = away.select(F.col("a").alias("id"), F.col("b").alias("pivot"))
     outer = members.select("key", "id", "pivot").join(away, ["id", "pivot"], "left_semi").select(F.col("key").alias("gid"), "id")
     outer = outer.join(clusters.select("id", F.col("component").alias("part")), "id", "left")

@@ -235,3 +235,43 @@ def test_representatives_keep_columns_of_any_name(spark):
     text = "one two three four five six seven eight"
     df = spark.createDataFrame([(1, text, "a", "b"), (2, text, "c", "d")], "doc_id long, text string, gone string, __gone string")
     assert [tuple(r) for r in ngramjoin.keep_representatives(df).collect()] == [(1, text, "a", "b")]
+
+
+def test_sketches_bound_distances_from_below():
+    """Also where a bucket holds more shingles than a byte can count, and where only such sets are compared."""
+    rng = np.random.default_rng(7)
+    pool = np.unique(rng.integers(0, 1 << 63, 90_000, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (1, 40, 150, 60_000, 70_000)]
+    sets += [np.sort(np.r_[s[: len(s) * 9 // 10], rng.integers(0, 1 << 63, 3, dtype=np.uint64)]) for s in sets]
+    sketches = ngramjoin._sketches(np.concatenate(sets), np.array([len(s) for s in sets]))
+    assert len({len(s) for s in sketches}) == 2
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            both = len(np.intersect1d(x, y))
+            distance = 1 - both / (len(x) + len(y) - both)
+            assert ngramjoin.at_least([sketches[i]], [sketches[j]])[0] <= distance + 1e-9
+            assert ngramjoin.may_link(distance)([sketches[i]], [sketches[j]])[0, 0]
+    wide = [s for s in sketches if len(s) > 4 + ngramjoin.BUCKETS]
+    assert ngramjoin.at_least(wide, wide).max() == 0
+    assert len(ngramjoin._bounds([])) == 0
+
+
+def test_links_at_every_distance_from_a_pivot(spark):
+    """Chains of sets whose neighbours link, so that members lie on both sides of the balls around their pivot."""
+    rng = random.Random(5)
+    data, doc = [], 0
+    for chain in range(12):
+        words = [f"c{chain}w{i}" for i in range(120)]
+        for _ in range(14):
+            data.append((doc, " ".join(words)))
+            doc += 1
+            at = rng.randrange(0, 100)
+            words = words[:at] + [f"n{doc}x{i}" for i in range(rng.choice([1, 6, 14]))] + words[at + rng.choice([1, 6, 14]) :]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    for words, percent in ((4, 85), (5, 80)):
+        got = {r.doc_id: r.component_id for r in ngramjoin.jaccard_components(df, words, percent).collect()}
+        sets = {d: shingles(t, words) for d, t in data}
+        links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        assert got == closed(sets, links)
+        assert len(set(got.values())) < len(got)
