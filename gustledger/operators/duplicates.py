@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gustledger.operators import joins
 from gustledger.session import stage
 
-DOCUMENTED, REFERENCE = "documented", "reference"
+DOCUMENTED, REFERENCE, FIRST = "documented", "reference", "first"
 
 
 @dataclass(frozen=True)
@@ -38,22 +38,30 @@ def split_duplicates(
     ignore: tuple[str, ...] = (),
     policy: str = DOCUMENTED,
     repeated: DataFrame | None = None,
+    address: str | None = None,
 ) -> DuplicateSplit:
     """Separate clean rows from conflicting ones.
 
     ``documented``: a key whose rows differ is quarantined with all its rows; ``ignore`` names
     columns that do not make rows differ. ``reference``: only the rows of a repeated key that
     have no identical copy are quarantined, the key's other rows leave the data as well, and
-    a key whose every row has a copy keeps its lowest row. ``repeated`` is the stored result
-    of ``repeated_keys``, if the caller has it.
+    a key whose every row has a copy keeps its lowest row. ``first``: as ``reference``, but such a
+    key keeps the row that comes first. What comes first is said by the column ``address``, which
+    ``files.read_union`` fills with the place of each row in its files; it stays the same on a
+    rerun and on any number of tasks, does not make rows differ, and is a column of the results
+    (a quarantined row's own, a kept row's the lowest of its copies). Rows of one address, and rows
+    without one, which come last, are told apart by their values, the lowest first. ``repeated`` is the stored result of ``repeated_keys``, if the
+    caller has it.
     """
+    if (policy == FIRST) != (address is not None):
+        raise ValueError(f"the policy {FIRST!r}, and no other, needs an address column")
     repeated = stage(repeated_keys(df, key), "repeated") if repeated is None else repeated
     single = joins.key_difference(df, repeated, key)
     multi = joins.key_intersection(df, repeated, key)
     if policy == DOCUMENTED:
         kept, quarantined, counts = _documented(multi, key, ignore)
-    elif policy == REFERENCE:
-        kept, quarantined, counts = _reference(multi, key)
+    elif policy in (REFERENCE, FIRST):
+        kept, quarantined, counts = _reference(multi, key, address)
     else:
         raise ValueError(f"unknown policy {policy!r}")
     return DuplicateSplit(single.unionByName(kept), quarantined, counts)
@@ -81,14 +89,17 @@ def _documented(multi: DataFrame, key: list[str], ignore: tuple[str, ...]):
     return kept, quarantined, counts
 
 
-def _reference(multi: DataFrame, key: list[str]):
-    rest = [c for c in multi.columns if c not in key]
-    copies = stage(multi.groupBy(*multi.columns).agg(F.count("*").alias("_copies")), "repeated_rows")
+def _reference(multi: DataFrame, key: list[str], address: str | None):
+    rest = [c for c in multi.columns if c not in key and c != address]
+    place = [F.min(address).alias(address)] if address else []
+    copies = multi.groupBy(*key, *rest).agg(F.count("*").alias("_copies"), *place).select(*multi.columns, "_copies")
+    copies = stage(copies, "repeated_rows")
+    first = [F.col(address).isNull().alias("_unplaced"), F.col(address)] if address else []
     per_key = copies.groupBy(*key).agg(
         F.min("_copies").alias("_fewest"),
         F.sum("_copies").alias("_n"),
         F.count_if(F.col("_copies") == 1).alias("_lone"),
-        F.min(F.struct(*rest)).alias("_low"),
+        F.min(F.struct(*first, *rest)).alias("_low"),
     )
     agreeing = F.col("_fewest") > 1
     kept = per_key.filter(agreeing).select(

@@ -17,6 +17,8 @@ BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 1_000_000
 # Keys that a sketch of frequent keys tracks, and the tasks that merge sketches before the last one does.
 SKETCH_ITEMS, SKETCH_GROUPS = 1 << 14, 32
+# Keys up to which a filter names them.
+LISTED_KEYS = 1_000
 KINDS = ("inner", "left", "left_semi", "left_anti")
 
 _HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
@@ -138,6 +140,19 @@ def lookup_join(
     return salted_join(left, right, on, how, null_safe)
 
 
+def filter_by_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is in the column of the same name of the stored table ``keys``.
+
+    Up to ``LISTED_KEYS`` keys are named in the filter, which the parquet scan sees: row groups whose
+    statistics, dictionary or Bloom filter rule them out are not read (up to ten keys one by one,
+    more by their range). More keys are a semi join.
+    """
+    few = keys.select(key).filter(F.col(key).isNotNull()).limit(LISTED_KEYS + 1).collect()
+    if len(few) > LISTED_KEYS:
+        return lookup_join(df, keys.select(key), [key], "left_semi", stored=True)
+    return df.filter(F.col(key).isin(sorted({row[0] for row in few})))
+
+
 def embedded_key_join(
     facts: DataFrame, registry: DataFrame, code: str, registry_key: str, pattern: str
 ) -> DataFrame:

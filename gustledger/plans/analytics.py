@@ -56,13 +56,13 @@ def generation(
     ``end`` is an instant: a date keeps only the midnight row of that day. The facts are
     summed per asset and period before they meet the dimension, so an asset with very many
     rows arrives at the join as one row per period; the project's assets, stored once, filter
-    the scan before. Infinite, huge and tiny cells count in the sums as doubles.
+    the scan before and skip the row groups of Gold that hold none of them. Infinite, huge and tiny cells count in the sums as doubles.
     An unknown grain raises ValueError.
     """
     period = C.period(F.col("din_instante"), grain)
     facts = in_period(fato_geracao_spe, start, end)
     assets = stage(dim_spe.filter(F.col("projeto_cv") == project).select("spe"), "assets")
-    facts = joins.lookup_join(facts, assets, ["spe"], "left_semi", stored=True)
+    facts = joins.filter_by_keys(facts, "spe", assets)
     hours = F.lit(interval_hours).cast("decimal(9,6)")
     sums = {"_verified": "val_geracaoverificada", "_estimated": "val_geracaoestimada", "_wind": "val_ventoverificado"}
     per_asset = facts.groupBy("spe", period.alias("periodo")).agg(
@@ -113,8 +113,8 @@ def restrictions(
     facts = in_period(fato_geracao_conjunto, start, end).filter(F.col("cod_razaorestricao").isNotNull())
     links = dim_spe.select("id_ons_conjunto", "projeto_cv").distinct()
     if project is not None:
-        members = dim_spe.filter(F.col("projeto_cv") == project).select("id_ons_conjunto")
-        facts = joins.lookup_join(facts, members.distinct(), ["id_ons_conjunto"], "left_semi")
+        members = dim_spe.filter(F.col("projeto_cv") == project).select("id_ons_conjunto").distinct()
+        facts = joins.filter_by_keys(facts, "id_ons_conjunto", stage(members, "members"))
     per_group = facts.groupBy("id_ons_conjunto", *codes, F.col("dsc_restricao").alias("_text")).agg(
         F.count("*").alias("_rows"),
         F.sum(F.when(ordinary, C.exact(reference) - C.exact(limit))).alias("_cut"),

@@ -33,7 +33,8 @@ def silver_layer(
     """
     store = Store(spark, out)
     registry = files.read_registry(spark, registry_path, D.REGISTRY_SCHEMA)
-    detail = files.read_union(spark, detail_paths, D.DETAIL_TYPES, sep=sep)
+    address = silver.ADDRESS if policy == duplicates.FIRST else None
+    detail = files.read_union(spark, detail_paths, D.DETAIL_TYPES, sep=sep, address_column=address)
     groups = files.read_union(spark, group_paths, D.GROUP_TYPES, file_column=None, sep=sep)
     joined = store.write(silver.build(detail, groups, registry, pattern), "joined")
     treated = silver.treat(joined, policy)
@@ -91,13 +92,15 @@ def gold_checks(gold: dict[str, DataFrame]) -> DataFrame:
 
 # Tables whose plan groups by their key: only a null key is possible there.
 GROUPED = ("dim_conjunto", "dim_tempo", "fato_geracao_conjunto")
+# How the rows of a fact's files are ordered: by what its readers ask for, within the month.
+ORDER = {"fato_geracao_spe": ("spe", "din_instante"), "fato_geracao_conjunto": ("id_ons_conjunto", "din_instante")}
 
 
 def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, DataFrame]:
     """Write the six Gold tables under ``out``; a broken key fails the run and leaves the old ones.
 
     All tables are staged and checked, then written and published together. The facts lie in one
-    folder per month, the tables are also views for SQL.
+    folder per month, sorted by asset or group so that a project's rows are found without reading the others; the tables are also views for SQL.
     """
     staged = {}
     for name, table in star.build(clean, registry).items():
@@ -109,8 +112,10 @@ def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, Dat
             keys.assert_key(staged[name], key, name)
     store, gold = Store(clean.sparkSession, out), {}
     for name, table in staged.items():
-        fact = name.startswith("fato")
-        gold[name] = store.write(by_month(table) if fact else table, name, D.MONTH if fact else None)
+        if name in ORDER:
+            gold[name] = store.write(by_month(table), name, D.MONTH, ORDER[name])
+        else:
+            gold[name] = store.write(table, name)
     store.publish()
     store.vacuum()
     sinks.register_views(gold)

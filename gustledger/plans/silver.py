@@ -14,6 +14,8 @@ from gustledger.session import stage
 
 # Cells that the soft drop nulled; counted by the report and left out of Silver.
 AUDIT = ["aud_vento_fora_faixa", "aud_vento_flag", "aud_geracao_negativa"]
+# Place of a detail row in its files, carried only for the policy that keeps first rows.
+ADDRESS = "_address"
 
 
 def group_name() -> Column:
@@ -126,10 +128,15 @@ class Treated:
 
 
 def treat(joined: DataFrame, policy: str = duplicates.DOCUMENTED) -> Treated:
-    """Split joined rows into Silver and quarantine. ``joined`` should be a stored table."""
-    rows = joined.drop(*AUDIT)
+    """Split joined rows into Silver and quarantine. ``joined`` should be a stored table.
+
+    The policy ``first`` needs the column ``ADDRESS`` of the detail rows; Silver and quarantine don't have it.
+    """
+    address = ADDRESS if policy == duplicates.FIRST else None
+    rows = joined.drop(*AUDIT, *([] if address else [ADDRESS]))
     ignore = tuple(cleaning.present(rows, ["filename"])) if policy == duplicates.DOCUMENTED else ()
-    return Treated(duplicates.split_duplicates(rows, D.SILVER_KEY, ignore, policy))
+    split = duplicates.split_duplicates(rows, D.SILVER_KEY, ignore, policy, address=address)
+    return Treated(duplicates.DuplicateSplit(split.clean.drop(ADDRESS), split.quarantined.drop(ADDRESS), split.counts))
 
 
 def anomalies(rows: DataFrame) -> DataFrame:

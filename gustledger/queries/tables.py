@@ -15,7 +15,8 @@ from gustledger.operators import (
     keys,
     profile,
 )
-from gustledger.plans import analytics
+from gustledger.plans import analytics, medallion
+from gustledger.plans import domain as D
 from gustledger.queries.registry import exact, folder, query, rounded, table
 from gustledger.session import stage
 from gustledger.sources import files, sinks
@@ -461,6 +462,35 @@ def dup_clean_ref(spark, d):
     return _duplicates(spark, d, duplicates.REFERENCE).clean
 
 
+_FIRST_SQL = """
+    WITH r AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, event_id AS place FROM events),
+    f AS (SELECT *, COUNT(*) OVER (PARTITION BY user_id, day) AS kn,
+                 COUNT(*) OVER (PARTITION BY user_id, day, event_type) AS fn FROM r),
+    k AS (SELECT *, MIN(fn) OVER (PARTITION BY user_id, day) AS mn FROM f)
+    """
+
+
+def _first_rows(spark, d):
+    """Events are numbered in the order of their file, so SQL finds a row's place in ``event_id``."""
+    rows = files.read_union(spark, [f"{d}/events.parquet"], file_column=None, address_column="address")
+    rows = rows.select("user_id", F.to_date("ts").alias("day"), "event_type", "address")
+    return duplicates.split_duplicates(rows, ["user_id", "day"], policy=duplicates.FIRST, address="address")
+
+
+@query(
+    "dup_clean_first",
+    _FIRST_SQL + """SELECT user_id, day, MIN_BY(event_type, place) AS event_type, MIN(place) AS place FROM k
+    WHERE kn = 1 OR mn > 1 GROUP BY user_id, day""",
+)
+def dup_clean_first(spark, d):
+    return _first_rows(spark, d).clean.select("user_id", "day", "event_type", F.col("address.row").alias("place"))
+
+
+@query("dup_quarantine_first", _FIRST_SQL + "SELECT user_id, day, event_type, place FROM k WHERE kn > 1 AND fn = 1")
+def dup_quarantine_first(spark, d):
+    return _first_rows(spark, d).quarantined.select("user_id", "day", "event_type", F.col("address.row").alias("place"))
+
+
 @query(
     "dup_counts",
     _DUP_SQL + """, p AS (SELECT user_id, day, MIN(kn) AS kn, MIN(mn) AS mn, MAX(fn) AS mx,
@@ -796,6 +826,26 @@ def health(spark, d):
     return profile.health(spark, {t: f"{d}/{t}.parquet" for t in TABLES})
 
 
+@query(
+    "health_states",
+    " UNION ALL ".join([
+        *[
+            f"SELECT '{t}' AS \"table\", CASE WHEN COUNT(*) > 0 THEN 'UP' ELSE 'DEGRADED' END AS status, COUNT(*) AS n,"
+            f" CAST(NULL AS VARCHAR) AS detail FROM {t}"
+            for t in TABLES
+        ],
+        "SELECT 'no_orders', CASE WHEN COUNT(*) > 0 THEN 'UP' ELSE 'DEGRADED' END, COUNT(*), NULL FROM orders WHERE o_orderkey IS NULL",
+        "SELECT 'never_written', 'DOWN', NULL, 'PATH_NOT_FOUND'",
+    ]),
+)
+def health_states(spark, d):
+    """The given tables, one written without rows, and one that nobody wrote."""
+    base = folder(spark, "health")
+    table(spark, d, "orders").filter("o_orderkey IS NULL").write.parquet(f"{base}/no_orders")
+    paths = {n: f"{base}/{n}" for n in ("no_orders", "never_written")}
+    return profile.health(spark, {**{t: f"{d}/{t}.parquet" for t in TABLES}, **paths})
+
+
 @query(
     "table_counts",
     " UNION ALL ".join(f"SELECT '{t}' AS \"table\", COUNT(*) AS n FROM {t}" for t in TABLES),
@@ -942,6 +992,16 @@ def table_sink(spark, d):
     return profile.union_all([store.read(v)[""].withColumn("version", F.lit(v)) for v in store.versions()])
 
 
+@query("pruned_generation", _generation_sql("DATE_TRUNC('month', din)", _EVENT_FACTS))
+def pruned_generation(spark, d):
+    """The facts as Gold stores them, by month and sorted by asset, read for one project."""
+    path = folder(spark, "facts")
+    store = Store(spark, path)
+    facts = store.write(medallion.by_month(_event_facts(spark, d)), "fato_geracao_spe", D.MONTH, medallion.ORDER["fato_geracao_spe"])
+    store.publish()
+    return analytics.generation(facts, _customer_assets(spark, d), "BUILDING", C.MONTHLY)
+
+
 @query(
     "json_sink",
     """SELECT '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value FROM customer""",

@@ -8,7 +8,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,12 +136,18 @@ def _scans(spark: SparkSession, fmt: str, paths: list[str], sep: str) -> list[Da
     ]
 
 
+def row_address() -> Column:
+    """(file, row): where a row read straight from parquet files stands."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
 def read_union(
     spark: SparkSession,
     paths: list[str] | dict[str, list[str]],
     types: dict[str, str] | None = None,
     file_column: str | None = FILE_COLUMN,
     sep: str = ",",
+    address_column: str | None = None,
 ) -> DataFrame:
     """Union files by column name and keep the name of each row's file.
 
@@ -151,9 +157,16 @@ def read_union(
     A column in ``types`` is cast per schema to its declared type and bad cells become NULL; a
     missing one is NULL. Any other column whose type differs between schemas becomes text.
     Folders named ``key=value`` below a path are columns, as Spark reads them.
+
+    ``address_column`` is the place of each row: the path of its file and its number in it, as
+    Spark's readers know them, so it costs no shuffle and does not depend on tasks. Ordered by it,
+    rows stand as in the files, files by path. Only parquet files number their rows; the rows of
+    other formats would need a pass in file order, so asking for their place raises ValueError.
     """
     types = types or {}
     by_format = paths if isinstance(paths, dict) else {"parquet": list(paths)}
+    if address_column and any(members for fmt, members in by_format.items() if fmt != "parquet"):
+        raise ValueError("rows have a place in parquet files only")
     scans = [scan for fmt, members in by_format.items() if members for scan in _scans(spark, fmt, members, sep)]
     if not scans:
         raise ValueError("no files to read")
@@ -173,6 +186,8 @@ def read_union(
         ]
         if file_column:
             cols.append(F.col("_metadata.file_name").alias(file_column))
+        if address_column:
+            cols.append(row_address().alias(address_column))
         return scan.select(*cols)
 
     out = conform(scans[0])

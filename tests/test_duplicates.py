@@ -94,6 +94,35 @@ def test_hot_key_keeps_every_row(spark):
     assert (split.clean.count(), split.quarantined.count()) == (6000, 3000)
 
 
+def test_first_rows_of_agreeing_keys_stay(spark, rows):
+    """Of a key whose rows all have copies the earliest stays; conflicting rows keep their own place."""
+    schema = "k string, v double, place struct<file: string, row: bigint>"
+    data = [
+        ("two", 9.0, ("a", 4)), ("two", 1.0, ("a", 7)), ("two", 9.0, ("b", 0)), ("two", 1.0, ("b", 1)),
+        ("same", 5.0, ("b", 2)), ("same", 5.0, ("a", 9)), ("lone", 3.0, ("a", 0)),
+        ("differ", 1.0, ("a", 2)), ("differ", 2.0, ("a", 1)),
+        ("mixed", 1.0, ("a", 5)), ("mixed", 1.0, ("a", 3)), ("mixed", 8.0, ("a", 6)),
+        (None, 7.0, ("c", 1)), (None, 6.0, ("c", 2)), (None, 6.0, ("c", 4)), (None, 7.0, ("c", 3)),
+        ("unplaced", 2.0, None), ("unplaced", 2.0, None), ("unplaced", 4.0, ("c", 9)), ("unplaced", 4.0, None),
+    ]
+    for parts in (1, 5):
+        df = spark.createDataFrame(data[::-1], schema).repartition(parts)
+        split = duplicates.split_duplicates(df, ["k"], policy=duplicates.FIRST, address="place")
+        assert split.clean.columns == df.columns
+        assert rows(split.clean.select("k", "v", "place.file", "place.row")) == sorted(
+            [("two", 9.0, "a", 4), ("same", 5.0, "a", 9), ("lone", 3.0, "a", 0), (None, 7.0, "c", 1), ("unplaced", 4.0, "c", 9)], key=repr
+        )
+        assert rows(split.quarantined.select("k", "v", "place.row")) == [("differ", 1.0, 2), ("differ", 2.0, 1), ("mixed", 8.0, 6)]
+        assert tuple(split.counts.first()) == (3 + 1 + 3 + 3, 3)
+
+
+def test_first_policy_and_address_belong_together(spark):
+    df = spark.createDataFrame([A], SCHEMA)
+    for options in ({"policy": duplicates.FIRST}, {"address": "filename"}):
+        with pytest.raises(ValueError, match="address"):
+            duplicates.split_duplicates(df, ["k"], **options)
+
+
 def test_unknown_policy(spark):
     with pytest.raises(ValueError):
         duplicates.split_duplicates(spark.createDataFrame([A], SCHEMA), ["k"], policy="other")

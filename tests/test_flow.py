@@ -296,3 +296,16 @@ def test_repeated_group_rows_surface_as_conflicts(spark, raw, flow):
     joined = silver.build(detail, groups, tables["registry"])
     treated = silver.treat(joined)
     assert (treated.silver().count(), treated.quarantine().count()) == (0, 2)
+
+
+def test_first_rows_through_the_whole_run(spark, raw, tmp_path, rows):
+    """The places of detail rows are carried to the split and are in no table of the result."""
+    tables = {p: medallion.silver_layer(spark, *raw, str(tmp_path / p), policy=p) for p in (duplicates.REFERENCE, duplicates.FIRST)}
+    reference, first = tables[duplicates.REFERENCE], tables[duplicates.FIRST]
+    assert silver.ADDRESS in first["joined"].columns and silver.ADDRESS not in reference["joined"].columns
+    for name in ("silver", "quarantine"):
+        assert first[name].columns == reference[name].columns and silver.ADDRESS not in first[name].columns
+        key = ["nome_spe_cv", "din_instante", "val_geracaoverificada"]
+        assert rows(first[name], *key) == rows(reference[name], *key)
+    placed = first["joined"].select(f"{silver.ADDRESS}.*")
+    assert placed.filter("file IS NULL OR row IS NULL").count() == 0

@@ -1,0 +1,98 @@
+"""Row groups that a project's readers skip, and places of rows in files."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from gustledger.operators import joins
+from gustledger.plans import analytics, medallion
+from gustledger.plans import domain as D
+from gustledger.sources import files
+from gustledger.sources.snapshots import Store
+
+FACT = "fato_geracao_spe"
+
+
+def scanned(df):
+    """Rows that the scans of ``df`` gave, after row groups were skipped; and its result."""
+    got = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())), got
+
+
+@pytest.fixture(scope="module")
+def facts(spark, tmp_path_factory):
+    """Two months of 2,000 assets, 20 instants each, in row groups of some thousand rows."""
+    instant = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-30 00:00:00")) + (F.col("id") % 20) * 21600).cast("timestamp_ntz")
+    raw = spark.range(40_000, numPartitions=4).select(
+        F.concat(F.lit("SPE"), F.lpad(F.expr("CAST((id DIV 20) * 2 AS STRING)"), 6, "0")).alias("spe"),
+        instant.alias("din_instante"),
+        *[F.rand(3).alias(c) for c in ("val_geracaoverificada", "val_geracaoestimada", "val_ventoverificado")],
+    )
+    old = {k: spark.conf.get(k, None) for k in ("parquet.block.size", "parquet.enable.dictionary")}
+    spark.conf.set("parquet.block.size", 65536)
+    spark.conf.set("parquet.enable.dictionary", "false")
+    try:
+        store = Store(spark, str(tmp_path_factory.mktemp("gold")))
+        written = store.write(medallion.by_month(raw.repartition(4)), FACT, D.MONTH, medallion.ORDER[FACT])
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return written
+
+
+def test_one_asset_reads_few_row_groups(facts):
+    assert facts.count() == 40_000
+    read, got = scanned(facts.filter(F.col("spe") == "SPE001234").select("din_instante"))
+    assert len(got) == 20 and read < 10_000
+    read, got = scanned(facts.filter(F.col("spe").isin("SPE000000", "SPE003998")).select("din_instante"))
+    assert len(got) == 40 and read < 20_000
+
+
+def test_bloom_filters_rule_out_an_asset_within_the_range(facts):
+    """Without dictionaries, statistics alone would read the row group in whose range the name lies."""
+    read, got = scanned(facts.filter(F.col("spe") == "SPE001235").select("din_instante"))
+    assert (read, got) == (0, [])
+
+
+def test_month_and_asset_prune_together(facts):
+    within = analytics.in_period(facts, dt.datetime(2024, 2, 1), None).filter(F.col("spe") == "SPE000010")
+    read, got = scanned(within.select("din_instante"))
+    assert len(got) == 12 and read < 10_000
+
+
+def test_generation_of_a_project_skips_row_groups(spark, facts):
+    dim = spark.createDataFrame([(f"SPE{2 * i:06d}", "P1" if i < 5 else "P2") for i in range(2000)], "spe string, projeto_cv string")
+    assets = dim.filter("projeto_cv = 'P1'").select("spe")
+    read, got = scanned(joins.filter_by_keys(facts, "spe", assets).select("spe", "val_ventoverificado"))
+    assert len(got) == 100 and read < 10_000
+    monthly = analytics.generation(facts, dim, "P1", "mensal").collect()
+    assert [r.qtd_spes_ativas for r in monthly] == [5, 5]
+    assert analytics.generation(facts, dim, "nobody", "mensal").collect() == []
+
+
+def test_many_keys_are_joined_with_the_same_rows(spark, facts, monkeypatch):
+    keys = spark.createDataFrame([("SPE000002",), ("SPE000004",), ("SPE000004",), (None,), ("other",)], "spe string")
+    listed = joins.filter_by_keys(facts, "spe", keys)
+    monkeypatch.setattr(joins, "LISTED_KEYS", 2)
+    joined = joins.filter_by_keys(facts, "spe", keys)
+    assert listed.count() == joined.count() == 40
+    assert joined.columns == facts.columns
+    assert joins.filter_by_keys(facts, "spe", keys.filter("spe = 'none'")).count() == 0
+
+
+def test_rows_have_the_place_they_stand_at(spark, tmp_path, rows):
+    for name, base in (("a", 100), ("b", 50)):
+        spark.range(base, base + 3, numPartitions=1).withColumn("x", F.lit(name)).write.parquet(str(tmp_path / name))
+    spark.range(7, 9, numPartitions=1).write.parquet(str(tmp_path / "c"))  # a schema of its own
+    df = files.read_union(spark, [str(tmp_path)], file_column=None, address_column="at").repartition(3)
+    got = [r["id"] for r in df.orderBy("at").collect()]
+    assert got == [100, 101, 102, 50, 51, 52, 7, 8]
+    assert rows(df.select("at.row", "id")) == sorted([(0, 100), (1, 101), (2, 102), (0, 50), (1, 51), (2, 52), (0, 7), (1, 8)], key=repr)
+
+
+def test_only_parquet_rows_have_a_place(spark, tmp_path):
+    spark.range(2).write.option("header", True).csv(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="parquet"):
+        files.read_union(spark, {"csv": [str(tmp_path / "t")]}, address_column="at")
