@@ -91,19 +91,21 @@ def gold_checks(gold: dict[str, DataFrame]) -> DataFrame:
 
 
 # Tables whose plan groups by their key: only a null key is possible there.
-GROUPED = ("dim_conjunto", "dim_tempo", "fato_geracao_conjunto")
-# How the rows of a fact's files are ordered: by what its readers ask for, within the month.
-ORDER = {"fato_geracao_spe": ("spe", "din_instante"), "fato_geracao_conjunto": ("id_ons_conjunto", "din_instante")}
+GROUPED = ("dim_conjunto", "dim_tempo")
 
 
 def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, DataFrame]:
     """Write the six Gold tables under ``out``; a broken key fails the run and leaves the old ones.
 
-    All tables are staged and checked, then written and published together. The facts lie in one
-    folder per month, sorted by asset or group so that a project's rows are found without reading the others; the tables are also views for SQL.
+    Dimensions are staged and checked first. The facts lie in one folder per month, in ranges of their
+    key: that one exchange arranges the rows so that a project's are found without reading the others, and
+    tells whether the key repeats. All tables are published together; they are also views for SQL.
     """
     staged = {}
     for name, table in star.build(clean, registry).items():
+        if name.startswith("fato"):
+            staged[name] = table
+            continue
         staged[name] = stage(table, name)
         key = D.GOLD_KEYS[name]
         if key and name in GROUPED:
@@ -112,8 +114,8 @@ def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, Dat
             keys.assert_key(staged[name], key, name)
     store, gold = Store(clean.sparkSession, out), {}
     for name, table in staged.items():
-        if name in ORDER:
-            gold[name] = store.write(by_month(table), name, D.MONTH, ORDER[name])
+        if name.startswith("fato"):
+            gold[name] = store.write(by_month(table), name, D.MONTH, tuple(D.GOLD_KEYS[name]))
         else:
             gold[name] = store.write(table, name)
     store.publish()

@@ -30,7 +30,7 @@ TABLES = [
 
 # --- generation ---------------------------------------------------------------------------
 
-def _event_facts(spark, d):
+def _event_facts(spark, d, *more):
     value, kind = F.col("value"), F.col("event_type")
     return table(spark, d, "events").select(
         F.col("user_id").alias("spe"),
@@ -38,6 +38,7 @@ def _event_facts(spark, d):
         value.alias("val_geracaoverificada"),
         F.when(kind == "error", value).alias("val_geracaoestimada"),
         C.soft_drop(value, 0, 40, kind == "error").alias("val_ventoverificado"),
+        *more,
     )
 
 
@@ -994,10 +995,10 @@ def table_sink(spark, d):
 
 @query("pruned_generation", _generation_sql("DATE_TRUNC('month', din)", _EVENT_FACTS))
 def pruned_generation(spark, d):
-    """The facts as Gold stores them, by month and sorted by asset, read for one project."""
-    path = folder(spark, "facts")
-    store = Store(spark, path)
-    facts = store.write(medallion.by_month(_event_facts(spark, d)), "fato_geracao_spe", D.MONTH, medallion.ORDER["fato_geracao_spe"])
+    """The facts as Gold stores them, by month and in ranges of their key, read for one project."""
+    store, name = Store(spark, folder(spark, "facts")), "fato_geracao_spe"
+    key = (*D.GOLD_KEYS[name], "event_id")  # a user may have several events at one time
+    facts = store.write(medallion.by_month(_event_facts(spark, d, "event_id")), name, D.MONTH, key)
     store.publish()
     return analytics.generation(facts, _customer_assets(spark, d), "BUILDING", C.MONTHLY)
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gustledger.operators import joins
+from gustledger.operators import joins, keys
 from gustledger.plans import analytics, medallion
 from gustledger.plans import domain as D
 from gustledger.sources import files
@@ -35,7 +35,7 @@ def facts(spark, tmp_path_factory):
     spark.conf.set("parquet.enable.dictionary", "false")
     try:
         store = Store(spark, str(tmp_path_factory.mktemp("gold")))
-        written = store.write(medallion.by_month(raw.repartition(4)), FACT, D.MONTH, medallion.ORDER[FACT])
+        written = store.write(medallion.by_month(raw.repartition(4)), FACT, D.MONTH, tuple(D.GOLD_KEYS[FACT]))
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -96,3 +96,47 @@ def test_only_parquet_rows_have_a_place(spark, tmp_path):
     spark.range(2).write.option("header", True).csv(str(tmp_path / "t"))
     with pytest.raises(ValueError, match="parquet"):
         files.read_union(spark, {"csv": [str(tmp_path / "t")]}, address_column="at")
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_one_exchange_arranges_and_checks(spark):
+    df = spark.range(100).selectExpr("id % 7 as m", "id % 50 as k", "id as v")
+    rows, _ = keys.clustered(df, ["k"], ["m"])
+    assert exchanges(rows) == 1
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_broken_keys_are_counted_as_rows_pass(spark, parts):
+    base = [(i, f"a{i % 40}") for i in range(400)]
+    for extra, broken in (([], 0), ([(5, "a5")], 1), ([(5, "a5")] * 300, 300), ([(None, "x"), (7, None), (None, "x")], 3)):
+        df = spark.createDataFrame(base + extra, "k int, a string").repartition(parts)
+        rows, seen = keys.clustered(df, ["a", "k"], [])
+        assert len(rows.collect()) == len(base) + len(extra)
+        assert rows.columns == ["k", "a"] and seen.get["broken"] == broken
+
+
+def test_an_empty_table_keeps_its_key(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    empty = store.write(spark.createDataFrame([], "k int, v string"), "t", None, ("k",))
+    store.publish()
+    assert empty.count() == 0 and Store(spark, str(tmp_path)).read()["t"].columns == ["k", "v"]
+
+
+def test_a_broken_key_is_named_and_not_published(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.write(spark.createDataFrame([("m", 1), ("m", 2)], "m string, k int"), "t", "m", ("k",))
+    assert store.publish() == 1
+    with pytest.raises(keys.KeyViolation, match="t: key.*'k': 8"):
+        store.write(spark.createDataFrame([("m", 8), ("m", 9), ("m", 8)], "m string, k int"), "t", "m", ("k",))
+    assert store.publish() == 1  # nothing new
+    assert Store(spark, str(tmp_path)).read()["t"].count() == 2
+
+
+def test_files_have_ranges_of_their_own(facts):
+    ranges = facts.groupBy(D.MONTH, F.input_file_name().alias("f")).agg(F.min(F.struct("spe", "din_instante")).alias("lo"), F.max(F.struct("spe", "din_instante")).alias("hi"))
+    for month in ("2024_01", "2024_02"):
+        found = sorted((tuple(r.lo), tuple(r.hi)) for r in ranges.filter(F.col(D.MONTH) == month).collect())
+        assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
