@@ -113,11 +113,15 @@ def gold_layer(clean: DataFrame, registry: DataFrame, out: str) -> dict[str, Dat
         elif key:
             keys.assert_key(staged[name], key, name)
     store, gold = Store(clean.sparkSession, out), {}
-    for name, table in staged.items():
-        if name.startswith("fato"):
-            gold[name] = store.write(by_month(table), name, D.MONTH, tuple(D.GOLD_KEYS[name]))
-        else:
-            gold[name] = store.write(table, name)
+    try:
+        for name, table in staged.items():
+            if name.startswith("fato"):
+                gold[name] = store.write(by_month(table), name, D.MONTH, tuple(D.GOLD_KEYS[name]))
+            else:
+                gold[name] = store.write(table, name)
+    except Exception:
+        store.discard()
+        raise
     store.publish()
     store.vacuum()
     sinks.register_views(gold)

@@ -131,6 +131,10 @@ def test_a_broken_key_is_named_and_not_published(spark, tmp_path):
     assert store.publish() == 1
     with pytest.raises(keys.KeyViolation, match="t: key.*'k': 8"):
         store.write(spark.createDataFrame([("m", 8), ("m", 9), ("m", 8)], "m string, k int"), "t", "m", ("k",))
+    assert len(list((tmp_path / "t").glob("snapshot-*"))) == 1
+    store.write(spark.range(3), "other")
+    store.discard()
+    assert not list((tmp_path / "other").glob("snapshot-*"))
     assert store.publish() == 1  # nothing new
     assert Store(spark, str(tmp_path)).read()["t"].count() == 2
 
