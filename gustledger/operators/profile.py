@@ -7,17 +7,45 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gustledger.functions import columns as C
 from gustledger.operators.cleaning import present
+from gustledger.session import stage
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+class Counter:
+    """Counters of rows on their way to a writer, which need no scan of their own.
+
+    They are taken in the tasks that write, where a repeated task counts once. ``metrics`` are
+    aggregates without DISTINCT; one counter serves one write.
+    """
+
+    def __init__(self, metrics: dict[str, Column]):
+        self.metrics, self._seen = metrics, Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *[c.cast("long").alias(n) for n, c in self.metrics.items()])
+
+    def row(self, spark: SparkSession) -> DataFrame:
+        """The counters as one row, once the write has ended."""
+        found = self._seen.get
+        row = tuple(found.get(n, 0) for n in self.metrics)
+        return spark.createDataFrame([row], ", ".join(f"`{n}` long" for n in self.metrics))
+
+
+def stage_counted(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """The staged table, and its counters as one row."""
+    counter = Counter(metrics)
+    stored = stage(counter.on(df), name)
+    return stored, counter.row(df.sparkSession)
+
+
 def count_by(df: DataFrame, *keys: str, name: str = "total_linhas", by_count: bool = False) -> DataFrame:
     """Rows per key, ordered by key or by falling count."""
     counts = df.groupBy(*keys).agg(F.count("*").alias(name))

@@ -36,11 +36,16 @@ def silver_layer(
     address = silver.ADDRESS if policy == duplicates.FIRST else None
     detail = files.read_union(spark, detail_paths, D.DETAIL_TYPES, sep=sep, address_column=address)
     groups = files.read_union(spark, group_paths, D.GROUP_TYPES, file_column=None, sep=sep)
-    joined = store.write(silver.build(detail, groups, registry, pattern), "joined")
+    rows = silver.build(detail, groups, registry, pattern)
+    raw = profile.Counter(report.raw_counters(rows))
+    joined = store.write(rows, "joined", counter=raw)
     treated = silver.treat(joined, policy)
 
-    clean = store.write(by_month(treated.silver()), "silver", D.MONTH).drop(D.MONTH)
-    quarantine = store.write(treated.quarantine(), "quarantine")
+    kept, rejected = treated.silver(), profile.Counter(report.rejected_counters())
+    good = profile.Counter(report.clean_counters(kept))
+    clean = store.write(by_month(kept), "silver", D.MONTH, counter=good).drop(D.MONTH)
+    quarantine = store.write(treated.quarantine(), "quarantine", counter=rejected)
+    counts = report.Counts(raw.row(spark), good.row(spark), rejected.row(spark))
     store.publish()
     sinks.write_json_lines(treated.anomalies(), f"{out}/anomalies")
 
@@ -54,9 +59,7 @@ def silver_layer(
         completeness.assets_without_data(assets, "projeto_cv", "nome_spe_cv"), f"{out}/assets_without_data"
     )
     as_of = F.current_timestamp() if as_of is None else as_of
-    summary = report.quality_report(
-        joined, clean, quarantine, treated.duplicate_counts(), registry, as_of, f"{out}/quarantine"
-    )
+    summary = report.quality_report(clean, counts, treated.duplicate_counts(), registry, as_of, f"{out}/quarantine")
     summary.write.mode("overwrite").text(f"{out}/report")
     sinks.write_json_lines(source_checks(detail, groups), f"{out}/checks_silver")
     return {"silver": clean, "quarantine": quarantine, "joined": joined, "registry": registry}

@@ -6,13 +6,20 @@ tables of its own; the JSON holds the sections whose size is fixed.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustledger.operators import completeness, distribution, profile
+from gustledger.functions import columns as C
+from gustledger.operators import completeness, distribution
+from gustledger.operators.cleaning import present
 from gustledger.plans import domain as D
 from gustledger.sources.sinks import json_records
 
+# Counters of NULL cells: this and the metric's name.
+_NULLS = "nulls_"
+
 
 def _missing(c: str) -> Column:
     return F.count_if(F.col(c).isNull())
@@ -26,53 +33,75 @@ def _scalar(df: DataFrame, c: str) -> Column:
     return df.select(c).scalar()
 
 
-def volumetry(joined: DataFrame, silver: DataFrame, quarantine: DataFrame, duplicate_counts: DataFrame) -> DataFrame:
-    """One row of counters, one pass over each table."""
-    after = silver.agg(
-        F.count("*").alias("registros_limpos"),
-        _missing("val_ventoverificado").alias("vento_nulo"),
-        _missing("val_geracao_conjunto").alias("geracao_conj_anulada_soft_drop"),
-        _equals("flg_alerta_limitada", 1).alias("alertas_limitada_flag"),
-    )
-    rejected = quarantine.agg(
-        F.count("*").alias("total_em_quarentena"),
-        _equals(D.STAGE, D.CONTRACT_STAGE).alias("hard_drops_pandera"),
-    )
-    before = joined.agg(
-        F.count("*").alias("total_registros_brutos"),
-        F.count_if((F.col("aud_vento_fora_faixa") == 1) | (F.col("aud_vento_flag") == 1)).alias("vento_soft_drop"),
-    )
-    return after.select(
-        _scalar(before, "total_registros_brutos").alias("total_registros_brutos"),
+def raw_counters(joined: DataFrame) -> dict[str, Column]:
+    """What the report counts in the joined rows."""
+    return {
+        "rows": F.count("*"),
+        "vento_soft_drop": F.count_if((F.col("aud_vento_fora_faixa") == 1) | (F.col("aud_vento_flag") == 1)),
+        **{c: _equals(c, 1) for c in ("aud_geracao_negativa", "aud_vento_fora_faixa", "aud_vento_flag")},
+        **{f"{_NULLS}{m}": _missing(m) for m in present(joined, D.METRICS)},
+    }
+
+
+def clean_counters(silver: DataFrame) -> dict[str, Column]:
+    """What the report counts in Silver."""
+    flag = "flg_dadoventoinvalido"
+    return {
+        "rows": F.count("*"),
+        "alertas": _equals("flg_alerta_limitada", 1),
+        "vento_nulo": _missing("val_ventoverificado"),
+        "geracao_nula": _missing("val_geracao_conjunto"),
+        "sem_conjunto": _missing("id_ons_conjunto"),
+        "flag_1": _equals(flag, 1),
+        "flag_null": _missing(flag),
+        **{f"{_NULLS}{m}": _missing(m) for m in present(silver, D.METRICS)},
+    }
+
+
+def rejected_counters() -> dict[str, Column]:
+    """What the report counts in the quarantine."""
+    return {"rows": F.count("*"), "hard_drops": _equals(D.STAGE, D.CONTRACT_STAGE)}
+
+
+@dataclass(frozen=True)
+class Counts:
+    """The counters of the three tables, one row each; taken as the tables are written."""
+
+    raw: DataFrame
+    clean: DataFrame
+    rejected: DataFrame
+
+
+def volumetry(counts: Counts, duplicate_counts: DataFrame) -> DataFrame:
+    """One row of counters."""
+    raw, rejected = counts.raw, counts.rejected
+    return counts.clean.select(
+        _scalar(raw, "rows").alias("total_registros_brutos"),
         _scalar(duplicate_counts, "identical_removed").alias("duplicatas_identicas_removidas"),
         _scalar(duplicate_counts, "conflicting").alias("duplicatas_conflitantes_para_quarentena"),
-        _scalar(rejected, "hard_drops_pandera").alias("hard_drops_pandera"),
-        _scalar(rejected, "total_em_quarentena").alias("total_em_quarentena"),
-        "registros_limpos",
+        _scalar(rejected, "hard_drops").alias("hard_drops_pandera"),
+        _scalar(rejected, "rows").alias("total_em_quarentena"),
+        F.col("rows").alias("registros_limpos"),
         F.col("vento_nulo").alias("vento_anulado_soft_drop"),
-        _scalar(before, "vento_soft_drop").alias("vento_anulado_na_origem_bruta"),
-        "geracao_conj_anulada_soft_drop",
-        "alertas_limitada_flag",
+        _scalar(raw, "vento_soft_drop").alias("vento_anulado_na_origem_bruta"),
+        F.col("geracao_nula").alias("geracao_conj_anulada_soft_drop"),
+        F.col("alertas").alias("alertas_limitada_flag"),
     )
 
 
-def integrity(silver: DataFrame, registry: DataFrame) -> DataFrame:
-    return silver.agg(
-        F.count_distinct("nome_spe_cv").alias("spes_com_dados"),
-        _missing("id_ons_conjunto").alias("registros_sem_conjunto_apos_join"),
-    ).select(
+def integrity(silver: DataFrame, counts: Counts, registry: DataFrame) -> DataFrame:
+    return silver.agg(F.count_distinct("nome_spe_cv").alias("spes_com_dados")).select(
         _scalar(registry.agg(F.count("*").alias("n")), "n").alias("spes_esperadas"),
         "spes_com_dados",
-        "registros_sem_conjunto_apos_join",
+        _scalar(counts.clean, "sem_conjunto").alias("registros_sem_conjunto_apos_join"),
     )
 
 
-def wind_states(silver: DataFrame) -> DataFrame:
-    flag = "flg_dadoventoinvalido"
-    return silver.agg(
-        (F.count("*") - _equals(flag, 1) - _missing(flag)).alias("valido_flag_0"),
-        _equals(flag, 1).alias("invalido_flag_1_estimativa_por_historico"),
-        _missing(flag).alias("sem_dado_flag_null"),
+def wind_states(counts: Counts) -> DataFrame:
+    return counts.clean.select(
+        (F.col("rows") - F.col("flag_1") - F.col("flag_null")).alias("valido_flag_0"),
+        F.col("flag_1").alias("invalido_flag_1_estimativa_por_historico"),
+        F.col("flag_null").alias("sem_dado_flag_null"),
     )
 
 
@@ -86,33 +115,34 @@ RULE_ACTIONS = {
 }
 
 
-def business_rules(joined: DataFrame, silver: DataFrame) -> DataFrame:
+def _as_rows(row: DataFrame, names: dict[str, str]) -> DataFrame:
+    """(regra, falhas) from the counters of a row; ``names`` are rules and their counters."""
+    return row.select(*[F.col(c).alias(rule) for rule, c in names.items()]).unpivot([], list(names), "regra", "falhas")
+
+
+def business_rules(counts: Counts) -> DataFrame:
     """(regra, falhas, acao): raw violations from the audit columns, the others from Silver."""
-    raw = profile.long_metrics(
-        joined,
-        {
-            "geracao_negativa_bruta": _equals("aud_geracao_negativa", 1),
-            "vento_fora_faixa_0_40ms": _equals("aud_vento_fora_faixa", 1),
-            "vento_flag_invalido": _equals("aud_vento_flag", 1),
-        },
-        "regra",
-        "falhas",
-    )
-    treated = profile.long_metrics(
-        silver,
-        {
-            "limitada_maior_referencia": _equals("flg_alerta_limitada", 1),
-            "geracao_conj_nula_pos_join": _missing("val_geracao_conjunto"),
-        },
-        "regra",
-        "falhas",
-    )
+    raw = {
+        "geracao_negativa_bruta": "aud_geracao_negativa",
+        "vento_fora_faixa_0_40ms": "aud_vento_fora_faixa",
+        "vento_flag_invalido": "aud_vento_flag",
+    }
+    treated = {"limitada_maior_referencia": "alertas", "geracao_conj_nula_pos_join": "geracao_nula"}
     actions = F.create_map(*[F.lit(x) for pair in RULE_ACTIONS.items() for x in pair])
-    return raw.unionByName(treated).withColumn("acao", actions[F.col("regra")])
+    rules = _as_rows(counts.raw, raw).unionByName(_as_rows(counts.clean, treated))
+    return rules.withColumn("acao", actions[F.col("regra")])
 
 
-def null_profile(joined: DataFrame, silver: DataFrame) -> DataFrame:
-    return profile.null_profile(joined, silver, D.METRICS)
+def null_profile(counts: Counts) -> DataFrame:
+    """(coluna, antes_pct, depois_pct) of the metrics that Silver has."""
+
+    def shares(row: DataFrame, name: str) -> DataFrame:
+        metrics = [c.removeprefix(_NULLS) for c in row.columns if c.startswith(_NULLS)]
+        cells = [C.percent(F.col(f"{_NULLS}{m}"), F.col("rows"), 2).alias(m) for m in metrics]
+        return row.select(*cells).unpivot([], metrics, "coluna", name)
+
+    both = shares(counts.clean, "depois_pct").join(shares(counts.raw, "antes_pct"), "coluna", "left")
+    return both.select("coluna", F.coalesce("antes_pct", F.lit(0.0)).alias("antes_pct"), "depois_pct")
 
 
 def metric_distribution(silver: DataFrame) -> DataFrame:
@@ -143,33 +173,31 @@ def _one_row(df: DataFrame) -> DataFrame:
 
 
 def quality_report(
-    joined: DataFrame,
     silver: DataFrame,
-    quarantine: DataFrame,
+    counts: Counts,
     duplicate_counts: DataFrame,
     registry: DataFrame,
     as_of: Column,
     quarantine_path: str | None = None,
 ) -> DataFrame:
-    """One row, one column ``json``. The inputs should be stored tables."""
+    """One row, one column ``json``. ``silver`` should be a stored table; the others are small."""
     spark = silver.sparkSession
     period = completeness.data_period(silver, "din_instante").select(
         F.coalesce("inicio", F.lit("N/A")).alias("inicio"), F.coalesce("fim", F.lit("N/A")).alias("fim")
     )
-    rejected = quarantine.agg(F.count("*").alias("total")).withColumn(
-        "arquivo", F.when(F.col("total") > 0, F.lit(quarantine_path))
-    )
+    total = F.col("rows").alias("total")
+    rejected = counts.rejected.select(total, F.when(F.col("rows") > 0, F.lit(quarantine_path)).alias("arquivo"))
     one_row = {
         "periodo_dados": period,
-        "volumetria": volumetry(joined, silver, quarantine, duplicate_counts),
-        "integridade_referencial": integrity(silver, registry),
-        "estados_vento": wind_states(silver),
+        "volumetria": volumetry(counts, duplicate_counts),
+        "integridade_referencial": integrity(silver, counts, registry),
+        "estados_vento": wind_states(counts),
         "freshness": completeness.freshness(silver, "din_instante", as_of),
         "quarentena": rejected,
     }
     by_name = {
-        "regras_negocio": (business_rules(joined, silver), "regra"),
-        "nulos_por_coluna": (null_profile(joined, silver), "coluna"),
+        "regras_negocio": (business_rules(counts), "regra"),
+        "nulos_por_coluna": (null_profile(counts), "coluna"),
         "distribuicao_numerica": (metric_distribution(silver), "coluna"),
     }
     report = spark.range(1).select(

@@ -98,6 +98,17 @@ def _treated(spark, d, policy=duplicates.DOCUMENTED):
     return joined, silver.treat(joined, policy)
 
 
+def _counted(spark, d):
+    """Silver, the counters of all three tables as they were written, and the split."""
+    rows = silver.build(detail(spark, d), groups(spark, d), registry(spark, d), PATTERN)
+    joined, raw = profile.stage_counted(rows, "joined", report.raw_counters(rows))
+    treated = silver.treat(joined)
+    kept = treated.silver()
+    clean, good = profile.stage_counted(kept, "silver", report.clean_counters(kept))
+    _, rejected = profile.stage_counted(treated.quarantine(), "quarantine", report.rejected_counters())
+    return clean, report.Counts(raw, good, rejected), treated
+
+
 def _silver(spark, d):
     return stage(_treated(spark, d)[1].silver(), "silver")
 
@@ -302,8 +313,8 @@ _VOLUMETRY = """
 
 @query("volumetry", _pick(_SPLIT, _VOLUMETRY))
 def volumetry(spark, d):
-    joined, treated = _treated(spark, d)
-    return report.volumetry(joined, treated.silver(), treated.quarantine(), treated.duplicate_counts())
+    _, counts, treated = _counted(spark, d)
+    return report.volumetry(counts, treated.duplicate_counts())
 
 
 _INTEGRITY = """
@@ -313,7 +324,8 @@ _INTEGRITY = """
 
 @query("integrity", _pick(_SPLIT, _INTEGRITY))
 def integrity(spark, d):
-    return report.integrity(_treated(spark, d)[1].silver(), registry(spark, d))
+    clean, counts, _ = _counted(spark, d)
+    return report.integrity(clean, counts, registry(spark, d))
 
 
 _STATES = """
@@ -324,7 +336,7 @@ _STATES = """
 
 @query("wind_states", _pick(_SPLIT, _STATES))
 def wind_states(spark, d):
-    return report.wind_states(_treated(spark, d)[1].silver())
+    return report.wind_states(_counted(spark, d)[1])
 
 
 _RULES = """
@@ -342,8 +354,7 @@ _RULES = """
 
 @query("business_rules", _pick(_SPLIT, _RULES))
 def business_rules(spark, d):
-    joined, treated = _treated(spark, d)
-    return report.business_rules(joined, treated.silver())
+    return report.business_rules(_counted(spark, d)[1])
 
 
 _PERIOD = """
@@ -414,10 +425,9 @@ def _sections(text):
 
 
 def _report(spark, d):
-    joined, treated = _treated(spark, d)
-    clean, quarantine = stage(treated.silver(), "silver"), stage(treated.quarantine(), "quarantine")
+    clean, counts, treated = _counted(spark, d)
     as_of = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
-    return report.quality_report(joined, clean, quarantine, treated.duplicate_counts(), registry(spark, d), as_of, "quarantine")
+    return report.quality_report(clean, counts, treated.duplicate_counts(), registry(spark, d), as_of, "quarantine")
 
 
 @query("quality_report", _report_sql())
