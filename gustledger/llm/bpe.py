@@ -6,7 +6,8 @@ matrices: pieces of like length are rows, every round merges the leftmost pair o
 every row, finished rows leave.
 
 Nulls encode as the empty text. Ties in rank fall to the leftmost pair. Repeated rows are encoded
-like any other. An empty table stays empty. Other columns are kept; a column that has the name of
+like any other. A very long text is encoded whole, and so is a piece without spaces, however long.
+An empty table stays empty. Other columns are kept; a column that has the name of
 the result is replaced.
 """
 

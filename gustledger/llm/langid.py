@@ -8,7 +8,8 @@ A text has the language with most letters; the score is its share of them.
 The counts come from a bounded sample: about ``sample`` documents a language, those with the lowest
 hash of id and text, or all where there are fewer. The model's size is fixed by the number of
 buckets and languages. A null text and a text without letters give ``und`` and score 0, as does
-any text when nothing was learned. Equal scores fall to the language first by code point. Repeated
+any text when nothing was learned. A very long text is read whole, and an empty table gives an empty
+result. Equal scores fall to the language first by code point. Repeated
 rows get equal results, other columns are kept unless named like the results.
 """
 

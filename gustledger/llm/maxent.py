@@ -20,8 +20,8 @@ which the tables keep 56 bits.
 
 A null text has only its end token. An end is a token of its own and can't be a word. Rows that
 repeat are documents of their own, a null id counts as the empty text when documents are held out.
-Without training tokens all scores come from the uniform start. An empty table gives an empty
-result. Frequent words of equal counts go by the text. Other columns are not looked at.
+Without training tokens all scores come from the uniform start. A very long text is read whole, and
+is not divided between blocks. An empty table gives an empty result. Frequent words of equal counts go by the text. Other columns are not looked at.
 """
 
 from __future__ import annotations

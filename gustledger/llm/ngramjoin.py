@@ -12,8 +12,9 @@ links that are checked exactly on the sets, and these into components. Shingles
 by 64-bit hashes.
 
 Texts without words and null texts have empty sets and link with nothing, so do rows of a null id,
-whose component is null. Rows that share an id are one document for the ids of components. An
-empty table gives an empty result; other columns are not looked at.
+whose component is null. Rows that share an id are one document for the ids of components. A very
+long text is one set like any other, whole, which a task holds in memory; pairs of exactly the
+least similarity link. An empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
