@@ -1,7 +1,8 @@
 """Quality by the perplexity under an interpolated modified Kneser-Ney model of characters.
 
-The model's n-grams are of characters within words, marks at both ends included. It is counted on
-a bounded sample of trusted documents: n-gram tables of every order, their contexts and discounts
+The model's n-grams are of characters within words, marks at both ends included. Four
+fifths of the trusted documents, by their id, are counted, however many there are; the last fifth
+sets the thresholds. N-gram tables of every order, their contexts and discounts
 are DataFrames, dealt by n-gram. The distinct n-grams of all documents are joined to the counts of
 every order, which gives each its probability. Where these fit the bound of MAX_SENT rows they go
 to the tasks that read the documents; beyond it they are joined to the distinct words of blocks of
@@ -29,7 +30,7 @@ from gustledger.llm.blocks import list_of, per_block, word_blocks, words_of
 from gustledger.llm.common import as_binary, ship, slices, stage, text_of
 
 ORDER = 5
-SAMPLE = 20_000        # trusted documents that the model is counted on, about
+TAUGHT = 0.8           # share of the trusted documents that is counted; the others set the thresholds
 MAX_SENT = 4_000_000   # n-grams that are sent to every task at most
 QUANTILE = 0.99
 FLUSH = 300_000        # distinct words that a task holds
@@ -116,7 +117,7 @@ def _scores(sent):
                 if len(known) > FLUSH:
                     known = {}
                 split = [t.split() for t in as_binary(part.column(0)).to_pylist()]
-                for w in {w for own in split for w in own}.difference(known):
+                for w in set().union(*split).difference(known):
                     own = _grams(w.decode())
                     known[w] = sum(map(table.__getitem__, own)), len(own)
                 for own in split:
@@ -147,7 +148,7 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for part in slices(batch, 0):
-            new = {w for t in as_binary(part.column(0)).to_pylist() for w in t.split()}.difference(seen)
+            new = set().union(*(t.split() for t in as_binary(part.column(0)).to_pylist())).difference(seen)
             for w in new:
                 grams.update(_grams(w.decode()))
             seen |= new
@@ -186,20 +187,18 @@ def perplexities(docs: DataFrame, trusted: DataFrame, max_sent: int = MAX_SENT)
     return found.select("row_id", "lang", F.when(F.col("n") > 0, F.exp(-F.col("logs") / F.col("n"))).alias("perplexity"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sample: int = SAMPLE, max_sent: int = MAX_SENT) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, max_sent: int = MAX_SENT) -> DataFrame:
     """doc_id, lang, perplexity, threshold and kept of every document.
 
-    ``labels`` has doc_id and quality, 1 for trusted documents. At most four fifths of them, and
-    about ``sample``, are counted; the others set the thresholds.
+    ``labels`` has doc_id and quality, 1 for trusted documents. All of these take part: TAUGHT of
+    them are counted, the others set the thresholds.
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
-    good = stage(good, "trusted")
-    n = good.count()
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    good = stage(good.withColumn("taught", draw < min(0.8, sample / max(n, 1))), "trusted")
-    taught = good.filter("taught").select("id")  # about ``sample`` numbers, so they can go to every task
+    taught = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 30)) / float(1 << 30) < TAUGHT
+    good = stage(good.withColumn("taught", taught("id")), "trusted")
     rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    texts = rows.join(F.broadcast(taught), F.col("row_id") == F.col("id"), "left_semi")
+    # The trusted numbers go to every task where Spark finds them small; else only texts that may be counted move.
+    texts = rows.filter(taught("row_id")).join(good.select("id"), F.col("row_id") == F.col("id"), "left_semi")
     found = stage(perplexities(rows, texts, max_sent), "perplexities")
     marked = found.join(good, F.col("row_id") == F.col("id"), "left")
     at = lambda c: F.percentile_approx(F.when(c, F.col("perplexity")), quantile, 10_000)

@@ -198,3 +198,14 @@ def test_quality_keeps_clean_texts(spark, corpus):
     assert not got[2000]["kept"] and got[2001]["perplexity"] is None and got[2002]["kept"]
     assert kneser.quality(docs.limit(0), labels).count() == 0
     assert kneser.quality(docs, labels.limit(0)).count() == docs.count()
+
+
+def test_quality_counts_trusted_documents_however_many_there_are(spark, corpus):
+    """Labels of 60,000 documents that are not there change nothing: no bound makes the counted share smaller."""
+    docs = spark.createDataFrame([r for part in corpus for r in part], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in corpus[0]], "doc_id long, quality int")
+    others = spark.range(100_000, 160_000).selectExpr("id AS doc_id", "1 AS quality")
+    few, many = (sorted(map(tuple, kneser.quality(docs, x).collect()), key=repr) for x in (labels, labels.unionByName(others)))
+    for a, b in zip(few, many, strict=True):
+        assert a[:2] == b[:2] and a[4] == b[4]
+        assert [v if v is None else pytest.approx(v, rel=1e-9) for v in a[2:4]] == list(b[2:4])
