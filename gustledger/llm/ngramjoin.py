@@ -34,7 +34,7 @@ from gustledger.llm.similarity import linked_components, with_pivots
 KEPT = 500_000   # distinct words that a task remembers before it starts anew
 SUBSETS_UP_TO = 12  # differing shingles up to which partitions have three parts
 LIGHT = 2        # shingles that a signature should have
-BUCKETS = 128    # of a sketch
+BITS = 4         # of a sketch for each shingle, at least
 
 
 class Shingles:
@@ -148,7 +148,7 @@ class Bands:
 
 
 def _sets(words: int, rows: str, percent: int = 0):
-    """For each document: its digest and size, its set, or the signatures of each distinct set of the task."""
+    """For each document: its digest and size, its set, its sketch, or the signatures of each distinct set of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands, seen = Shingles(words), Bands(percent), set()
@@ -161,11 +161,9 @@ def _sets(words: int, rows: str, percent: int = 0):
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), keys], ["doc_id", "n_shingles", "id"])
                     continue
                 offsets = np.r_[0, np.cumsum(sizes)]
-                if rows == "sets":
-                    blobs = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                    sketches = [x.tobytes() for x in _sketches(hashes, sizes)]
-                    columns = [pa.array(digests), pa.array(blobs, pa.binary()), pa.array(sketches, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "blob", "sketch"])
+                if rows in ("sets", "sketches"):
+                    each = _sketches(hashes, sizes) if rows == "sketches" else (hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array([x.tobytes() for x in each], pa.binary())], ["id", "data"])
                     continue
                 new = []
                 for i, d in enumerate(digests.tolist()):
@@ -180,32 +178,66 @@ def _sets(words: int, rows: str, percent: int = 0):
     return run
 
 
-def _sketches(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The size of each set, and its shingles by bucket: what two sketches differ by, the sets differ by at least."""
-    at = np.repeat(np.arange(len(sizes)), sizes) * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
-    return np.concatenate([sizes[:, None], np.bincount(at, minlength=len(sizes) * BUCKETS).reshape(-1, BUCKETS)], 1).astype(np.int32)
+def _sketches(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The size of each set, and for each bucket of its shingles whether they are odd in number.
 
+    Two sets differ by at least as many shingles as their buckets of other parity. The number of
+    buckets grows with the set, so unrelated sets of any size are told apart; sketches of different
+    lengths are compared at the shorter one, to which the longer folds.
+    """
+    out, ends = [], np.cumsum(sizes)
+    for end, n in zip(ends.tolist(), sizes.tolist(), strict=True):
+        width = max(256, BITS << max(0, n - 1).bit_length())
+        odd = np.bincount((hashes[end - n : end] & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+        out.append(np.r_[np.uint64(n), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)])
+    return out
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, the last axis being their words, as they are with ``width`` words."""
+    return bits if bits.shape[-1] == width else np.bitwise_xor.reduce(bits.reshape(*bits.shape[:-1], -1, width), axis=-2)
 
-def _bounds(sketches: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), np.int32).reshape(-1, BUCKETS + 1)
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
 
 
 def at_least(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """What each pair's distance is at least."""
-    x, y = _bounds(left), _bounds(right)
-    apart = np.abs(x[:, 1:] - y[:, 1:]).sum(1)
-    return 2 * apart / np.maximum(x[:, 0] + y[:, 0] + apart, 1)
+    out = np.zeros(len(left))
+    for i, (a, b) in enumerate(zip(left, right, strict=True)):
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        n, m, width = int(x[0]), int(y[0]), min(len(x), len(y)) - 1
+        apart = max(abs(n - m), int(_apart(_folded(x[1:], width), _folded(y[1:], width))))
+        out[i] = 2 * apart / max(n + m + apart, 1)
+    return out
 
 
 def may_link(most: float):
     """Whether pairs of a block may be within a distance, from their sketches."""
 
+    def by_width(sketches: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each width: the places, sizes and bits of its sketches."""
+        widths = np.array([len(s) // 8 - 1 for s in sketches])
+        found = {}
+        for width in np.unique(widths).tolist():
+            at = np.flatnonzero(widths == width)
+            own = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(-1, width + 1)
+            found[width] = at, own[:, 0].astype(np.int64), own[:, 1:]
+        return found
+
     def blockwise(left: list[bytes], right: list[bytes]) -> np.ndarray:
-        x, y = _bounds(left), _bounds(right)
-        out = np.zeros((len(x), len(y)), bool)
-        for i, row in enumerate(x):
-            apart = np.abs(y[:, 1:] - row[1:]).sum(1)
-            out[i] = 2 * apart <= (most + 1e-9) * (y[:, 0] + row[0] + apart)
+        out = np.zeros((len(left), len(right)), bool)
+        others = by_width(right)
+        for w, (at_x, nx, bits_x) in by_width(left).items():
+            for v, (at_y, ny, bits_y) in others.items():
+                width = min(w, v)
+                x, y = _folded(bits_x, width), _folded(bits_y, width)
+                for i, n in enumerate(nx):
+                    gap = np.abs(ny - n)
+                    near = np.flatnonzero(2 * gap <= (most + 1e-9) * (ny + n + gap))  # by their sizes alone
+                    apart = np.maximum(gap[near], _apart(y[near], x[i]))
+                    out[at_x[i], at_y[near]] = 2 * apart <= (most + 1e-9) * (ny[near] + n + apart)
         return out
 
     return blockwise
@@ -269,11 +301,19 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, doc_i
     wanted = members.select("id").distinct()
     owners = sized.filter("doc_id IS NOT NULL").join(wanted, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
     owners = stage(owners, "set-owners")
-    sets = known.join(owners.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(words, "sets"), "id long, blob binary, sketch binary")
-    # An id that several rows share may bring other sets along; equal sets are taken once.
-    sets = stage(sets.join(owners.select("id"), "id", "left_semi").withColumn("weight", F.lit(1)), "sets")
+
+    def read(ids: DataFrame, what: str) -> DataFrame:
+        # An id that several rows share may bring other sets along; equal sets are taken once.
+        found = known.join(ids.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(words, what), "id long, data binary")
+        return stage(found.join(ids.select("id"), "id", "left_semi").withColumn("weight", F.lit(1)), what)
+
+    def contents(ids: DataFrame) -> DataFrame:
+        chosen = stage(owners.join(ids, "id", "left_semi"), "set-owners")
+        return read(chosen, "sets").withColumnRenamed("data", "blob")
+
+    sketches = read(owners, "sketches").withColumnRenamed("data", "sketch")
     t = 1 - percent / 100
-    linked = linked_components(members, sets, t, *_measures(percent), at_least, may_link(t))
+    linked = linked_components(members, sketches, contents, t, *_measures(percent), at_least, may_link(t))
     tops = sized.filter("doc_id IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
     tops = stage(tops.join(linked, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "least"), "tops")
     least = stage(tops.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")

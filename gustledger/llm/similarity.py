@@ -101,6 +101,7 @@ def compared(groups: DataFrame, blobs: DataFrame, measure: Blockwise, count: boo
     dealt = dealt.select(
         "gid", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "part"
     )
+    dealt = stage(dealt, "dealt")  # so that few rows are seen to be few, and go to the contents
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         lo, hi = key[1].as_py(), key[2].as_py()
@@ -156,18 +157,20 @@ def mixed_groups(rows: DataFrame) -> DataFrame:
 
 
 def linked_components(
-    members: DataFrame, blobs: DataFrame, t: float, pairwise: Pairwise, blockwise: Blockwise,
+    members: DataFrame, sketches: DataFrame, contents: Callable[[DataFrame], DataFrame], t: float, pairwise: Pairwise, blockwise: Blockwise,
     bound: Callable[[list[bytes], list[bytes]], np.ndarray], able: Blockwise,
 ) -> DataFrame:
     """id and component of all that have a link; ``members`` (key, id, pivot) are staged rows of with_pivots().
 
-    ``blobs`` has id, blob, sketch and weight. ``bound`` gives what distances are at least, ``able`` which pairs of
+    ``sketches`` has id, sketch and weight, and ``contents`` gives id, blob and weight of the ids that
+    their sketches can't rule out. ``bound`` gives what distances are at least, ``able`` which pairs of
     blocks may be within ``t``, both from sketches.
     """
-    sketches = blobs.select("id", F.col("sketch"), "weight")
     star = members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     star = stage(bounded(star, sketches, bound), "star-bounds")
-    near = stage(verified(star.filter(F.col("least") <= 3 * t + EPS).select("a", "b"), blobs, pairwise), "star")
+    close = star.filter(F.col("least") <= 3 * t + EPS).select("a", "b")
+    blobs = contents(close.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    near = stage(verified(close, blobs, pairwise), "star")
     links = near.filter("linked").select("a", "b")
     found = components(links)
     clusters = components(near.filter(F.col("distance") <= 3 * t + EPS).select("a", "b"))
@@ -182,5 +185,5 @@ def linked_components(
     outer = mixed_groups(outer.select("gid", "id", F.coalesce("part", "id").alias("part")))
     outer = compared(outer, sketches.withColumnRenamed("sketch", "blob"), able, members=True)
     outer = mixed_groups(stage(outer.distinct(), "able"))
-    outside = stage(compared(outer, blobs, blockwise), "links").select("a", "b")
+    outside = stage(compared(outer, contents(outer.select("id").distinct()), blockwise), "links").select("a", "b")
     return components(links.unionByName(inside).unionByName(outside))

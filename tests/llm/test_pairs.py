@@ -252,6 +252,16 @@ def test_sketches_bound_distances_from_below():
             assert ngramjoin.may_link(distance)([sketches[i]], [sketches[j]])[0, 0]
 
 
+@pytest.mark.parametrize("n", [30, 550, 1000, 6000, 40_000])
+def test_sketches_tell_unrelated_sets_apart(n):
+    """Of any size: their bound is beyond three radii, so their contents are not fetched."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(2)]
+    x, y = (s.tobytes() for s in ngramjoin._sketches(np.concatenate(sets), np.array([len(s) for s in sets])))
+    assert ngramjoin.at_least([x], [y])[0] > 3 * 0.2
+    assert not ngramjoin.may_link(0.2)([x], [y])[0, 0]
+
+
 def test_links_at_every_distance_from_a_pivot(spark):
     """Chains of sets whose neighbours link, so that members lie on both sides of the balls around their pivot."""
     rng = random.Random(5)
