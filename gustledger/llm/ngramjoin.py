@@ -148,7 +148,7 @@ class Bands:
 
 
 def _sets(words: int, rows: str, percent: int = 0):
-    """For each document: its digest and size, its set, its sketch, or the signatures of each distinct set of the task."""
+    """For each document: its size, digest and sketch, its set, or the signatures of each distinct set of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands, seen = Shingles(words), Bands(percent), set()
@@ -157,13 +157,14 @@ def _sets(words: int, rows: str, percent: int = 0):
                 hashes, sizes = shingles.sets(as_binary(part.column(1)).to_pylist())
                 digests = _digests(hashes, sizes)
                 if rows == "sizes":
-                    keys = pa.array(digests, mask=sizes == 0)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), keys], ["doc_id", "n_shingles", "id"])
+                    keys, sketches = pa.array(digests, mask=sizes == 0), pa.array([x.tobytes() for x in _sketches(hashes, sizes)], pa.binary())
+                    columns = [part.column(0), pa.array(sizes, pa.int64()), keys, sketches]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "id", "sketch"])
                     continue
                 offsets = np.r_[0, np.cumsum(sizes)]
-                if rows in ("sets", "sketches"):
-                    each = _sketches(hashes, sizes) if rows == "sketches" else (hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array([x.tobytes() for x in each], pa.binary())], ["id", "data"])
+                if rows == "sets":
+                    blobs = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array(blobs, pa.binary())], ["id", "blob"])
                     continue
                 new = []
                 for i, d in enumerate(digests.tolist()):
@@ -295,23 +296,22 @@ def _intersections(hx: np.ndarray, rx: np.ndarray, hy: np.ndarray, ry: np.ndarra
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable by links, of every document."""
     rows = ship(docs).select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    sized = stage(rows.mapInArrow(_sets(words, "sizes"), "doc_id long, n_shingles long, id long"), "set-sizes")
+    sized = stage(rows.mapInArrow(_sets(words, "sizes"), "doc_id long, n_shingles long, id long, sketch binary"), "set-sizes")
     known = rows.filter(F.col("doc_id").isNotNull())
     members = stage(with_pivots(known.mapInArrow(_sets(words, "signatures", percent), "key long, id long")), "buckets")
     wanted = members.select("id").distinct()
     owners = sized.filter("doc_id IS NOT NULL").join(wanted, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
     owners = stage(owners, "set-owners")
 
-    def read(ids: DataFrame, what: str) -> DataFrame:
-        # An id that several rows share may bring other sets along; equal sets are taken once.
-        found = known.join(ids.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(words, what), "id long, data binary")
-        return stage(found.join(ids.select("id"), "id", "left_semi").withColumn("weight", F.lit(1)), what)
-
     def contents(ids: DataFrame) -> DataFrame:
+        # An id that several rows share may bring other sets along; equal sets are taken once.
         chosen = stage(owners.join(ids, "id", "left_semi"), "set-owners")
-        return read(chosen, "sets").withColumnRenamed("data", "blob")
+        found = known.join(chosen.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(words, "sets"), "id long, blob binary")
+        return stage(found.join(chosen.select("id"), "id", "left_semi").withColumn("weight", F.lit(1)), "sets")
 
-    sketches = read(owners, "sketches").withColumnRenamed("data", "sketch")
+    # The sketches come with the sizes of all documents: they move instead of the texts.
+    sketches = sized.join(owners, ["id", "doc_id"], "left_semi").select("id", "sketch", F.lit(1).alias("weight"))
+    sketches = stage(sketches, "sketches")
     t = 1 - percent / 100
     linked = linked_components(members, sketches, contents, t, *_measures(percent), at_least, may_link(t))
     tops = sized.filter("doc_id IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
