@@ -23,17 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustledger.llm.blocks import list_of, per_block, word_blocks, words_of
-from gustledger.llm.common import as_binary, ship, slices, stage, text_of
+from gustledger.llm.common import SPACE, as_binary, offsets, ship, slices, stage, text_of
 
 ORDER = 5
 TAUGHT = 0.8           # share of the trusted documents that is counted; the others set the thresholds
 MAX_SENT = 4_000_000   # n-grams that are sent to every task at most
 QUANTILE = 0.99
 FLUSH = 300_000        # distinct words that a task holds
+SOME = 1 << 15         # words whose n-grams are made at a time
 FIRST, LAST = "\x02", "\x03"
 
 
@@ -42,14 +44,72 @@ def _grams(word: str) -> list[str]:
     return [s[i : i + ORDER] for i in range(len(s) - ORDER + 1)]
 
 
+def _points(text: bytes) -> np.ndarray:
+    return np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+
+
+class Codes:
+    """The n-grams of the highest order over some characters as numbers, each of which is one n-gram."""
+
+    def __init__(self, points: np.ndarray):
+        self.alphabet = np.flatnonzero(np.bincount(points)).astype(np.uint32)
+        self.bits = max(1, (len(self.alphabet) - 1).bit_length())
+        self.fits = ORDER * self.bits <= 64
+        self.at = np.zeros(int(self.alphabet[-1]) + 1 if len(self.alphabet) else 1, np.uint64)
+        self.at[self.alphabet] = np.arange(len(self.alphabet))
+
+    def rolled(self, points: np.ndarray) -> np.ndarray:
+        """The number of the n-gram at every place."""
+        own = self.at[points]
+        out = own[: len(own) - ORDER + 1].copy()
+        for j in range(1, ORDER):
+            out <<= np.uint64(self.bits)
+            out |= own[j : len(own) - ORDER + 1 + j]
+        return out
+
+    def texts(self, keys: np.ndarray) -> list[str]:
+        shifts = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(self.bits)
+        own = self.alphabet[(keys[:, None] >> shifts) & np.uint64((1 << self.bits) - 1)]
+        joined = own.astype("<u4").tobytes().decode("utf-32-le")
+        return [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
+
+
+def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of all words with their marks, the places where n-grams begin, and how many each word has."""
+    lead, last = (FIRST * (ORDER - 1)).encode(), LAST.encode()
+    joined = lead + (last + lead).join(words) + last
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + ORDER)
+    chars = np.cumsum((np.frombuffer(joined, np.uint8) & 0xC0) != 0x80)[ends - 1]
+    begins = np.ones(int(chars[-1]), bool)  # the last places of a word would reach into the next
+    for j in range(1, ORDER):
+        begins[chars - j] = False
+    return _points(joined), np.flatnonzero(begins), np.diff(chars, prepend=0) - ORDER + 1
+
+
+def _counted(words: list[bytes], counts: list[int] | None = None) -> dict[str, int]:
+    """The distinct n-grams of the words, and how often they are there if each word is there so many times."""
+    grams: Counter = Counter()
+    for at in range(0, len(words), SOME):
+        some = words[at : at + SOME]
+        points, begins, sizes = _padded(some)
+        codes = Codes(points)
+        times = np.array(counts[at : at + SOME], np.int64) if counts else np.ones(len(some), np.int64)
+        if codes.fits:
+            keys, where = np.unique(codes.rolled(points)[begins], return_inverse=True)
+            n = np.bincount(where, np.repeat(times, sizes), len(keys)).astype(np.int64)
+            grams.update(dict(zip(codes.texts(keys), n.tolist(), strict=True)))
+            continue
+        for w, n in zip(some, times.tolist(), strict=True):
+            for g in _grams(w.decode()):
+                grams[g] += n
+    return grams
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams, as far as the task has seen when it lets go of them."""
 
     def out(words: Counter) -> pa.RecordBatch:
-        grams: Counter = Counter()
-        for w, n in words.items():
-            for g in _grams(w.decode()):
-                grams[g] += n
+        grams = _counted(list(words), list(words.values()))
         return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["g", "n"])
 
     words: Counter = Counter()
@@ -104,26 +164,50 @@ def gram_logs(needed: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> D
     return rows.select("g", F.log(F.greatest("q", F.lit(1e-30))).alias("log"))
 
 
+class Logs:
+    """Sums of the logarithms of words' n-grams."""
+
+    def __init__(self, grams: pa.Array, logs: pa.Array):
+        own = offsets(grams)
+        points = _points(as_binary(grams).buffers()[2].to_pybytes()[own[0] : own[-1]]) if len(grams) else np.zeros(0, np.uint32)
+        self.codes = Codes(points)
+        if self.codes.fits:
+            keys = self.codes.rolled(points)[::ORDER]
+            order = np.argsort(keys)
+            self.keys, self.logs = keys[order], logs.to_numpy()[order]
+        else:
+            self.table = dict(zip(grams.to_pylist(), logs.to_pylist(), strict=True))
+
+    def of(self, words: list[bytes]) -> list[float]:
+        if not self.codes.fits:
+            return [sum(map(self.table.__getitem__, _grams(w.decode()))) for w in words]
+        out = []
+        for at in range(0, len(words), SOME):
+            points, begins, sizes = _padded(words[at : at + SOME])
+            found = self.logs[np.searchsorted(self.keys, self.codes.rolled(points)[begins])]
+            out += np.add.reduceat(found, np.cumsum(sizes) - sizes).tolist()
+        return out
+
+
 def _scores(sent):
     """Sum of logarithms and number of n-grams of each text."""
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        grams, logs = sent.value
-        table = dict(zip(grams.to_pylist(), logs.to_pylist(), strict=True))
-        known: dict[bytes, tuple[float, int]] = {}
+        logs = Logs(*sent.value)
+        known: dict[bytes, float] = {}
         for column in columns:
             sums, sizes = [], []
             for part in slices(pa.RecordBatch.from_arrays([column], ["t"]), 0):
                 if len(known) > FLUSH:
                     known = {}
-                split = [t.split() for t in as_binary(part.column(0)).to_pylist()]
-                for w in set().union(*split).difference(known):
-                    own = _grams(w.decode())
-                    known[w] = sum(map(table.__getitem__, own)), len(own)
-                for own in split:
-                    found = list(map(known.__getitem__, own))
-                    sums.append(sum(f[0] for f in found))
-                    sizes.append(sum(f[1] for f in found))
+                texts = as_binary(part.column(0)).to_pylist()
+                split = [t.split() for t in texts]
+                new = list(set().union(*split).difference(known))
+                known.update(zip(new, logs.of(new), strict=True))
+                sums += [sum(map(known.__getitem__, own)) for own in split]
+                # A word has one n-gram more than characters.
+                chars = pc.utf8_length(part.column(0)).to_pylist()
+                sizes += [n - len(t) + len(t.translate(None, SPACE)) + len(own) for n, t, own in zip(chars, texts, split, strict=True)]
             yield pa.StructArray.from_arrays([pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())], ["logs", "n"])
 
     return run
@@ -139,22 +223,18 @@ def _block_scores(payload: pa.Table, values: dict[str, np.ndarray]) -> pa.Table:
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct n-grams of the texts, as far as the task has seen when it lets go of them."""
     seen: set[bytes] = set()
-    grams: set[str] = set()
 
     def out() -> Iterator[pa.RecordBatch]:
-        listed = list(grams)
+        listed = list(_counted(list(seen)))
         for at in range(0, len(listed), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(listed[at : at + (1 << 16)], pa.string())], ["g"])
 
     for batch in batches:
         for part in slices(batch, 0):
-            new = set().union(*(t.split() for t in as_binary(part.column(0)).to_pylist())).difference(seen)
-            for w in new:
-                grams.update(_grams(w.decode()))
-            seen |= new
+            seen.update(*(t.split() for t in as_binary(part.column(0)).to_pylist()))
             if len(seen) > FLUSH:
                 yield from out()
-                seen, grams = set(), set()
+                seen = set()
     yield from out()
 
 

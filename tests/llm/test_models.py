@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -209,3 +210,32 @@ def test_quality_counts_trusted_documents_however_many_there_are(spark, corpus):
     for a, b in zip(few, many, strict=True):
         assert a[:2] == b[:2] and a[4] == b[4]
         assert [v if v is None else pytest.approx(v, rel=1e-9) for v in a[2:4]] == list(b[2:4])
+
+
+WIDE = [chr(c) for c in range(0x4E00, 0x4E00 + 6000)]  # too many characters for numbers of 64 bits
+
+
+@pytest.mark.parametrize("alphabet", ["abcdeÄß語😀\x02\x03", WIDE])
+def test_quality_makes_no_string_for_each_n_gram(monkeypatch, alphabet):
+    """What the tasks count, need and score is as with a string for each n-gram, which only wide alphabets take."""
+    rng = random.Random(5)
+    words = lambda n: ["".join(rng.choices(alphabet, k=rng.randint(1, 9))) for _ in range(n)]
+    texts = ["", " \n", "".join(alphabet)] + [rng.choice([" ", "\t\n", "\x0b"]).join(words(rng.choice([1, 3, 40]))) for _ in range(100)]
+    own = [[g for w in t.encode().split() for g in kneser._grams(w.decode())] for t in texts]
+    want = Counter(g for grams in own for g in grams)
+    log = {g: -rng.random() for g in want}
+    if alphabet is not WIDE:
+        monkeypatch.setattr(kneser, "_grams", lambda word: pytest.fail("a string for each n-gram"))
+    monkeypatch.setattr(kneser, "FLUSH", 50)
+    monkeypatch.setattr(kneser, "SOME", 16, raising=False)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 20])], ["t"]) for i in range(0, len(texts), 20)]
+    got = Counter()
+    for part in kneser._word_counts(iter(batches)):
+        for g, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            got[g] += n
+    assert got == want
+    assert {g for part in kneser._needed(iter(batches)) for g in part.column(0).to_pylist()} == set(want)
+    sent = SimpleNamespace(value=(pa.array(list(log)), pa.array(list(log.values()))))
+    scored = [r for part in kneser._scores(sent)(b.column(0) for b in batches) for r in part.to_pylist()]
+    assert [r["n"] for r in scored] == [len(grams) for grams in own]
+    assert [r["logs"] for r in scored] == [pytest.approx(sum(log[g] for g in grams), rel=1e-12) for grams in own]
