@@ -35,6 +35,7 @@ KEPT = 500_000   # distinct words that a task remembers before it starts anew
 SUBSETS_UP_TO = 12  # differing shingles up to which partitions have three parts
 LIGHT = 2        # shingles that a signature should have
 BITS = 4         # of a sketch for each shingle, at least
+COARSE = 1       # the same of the sketches that tell only whether two sets may be similar
 
 
 class Shingles:
@@ -157,9 +158,10 @@ def _sets(words: int, rows: str, percent: int = 0):
                 hashes, sizes = shingles.sets(as_binary(part.column(1)).to_pylist())
                 digests = _digests(hashes, sizes)
                 if rows == "sizes":
-                    keys, sketches = pa.array(digests, mask=sizes == 0), pa.array([x.tobytes() for x in _sketches(hashes, sizes)], pa.binary())
-                    columns = [part.column(0), pa.array(sizes, pa.int64()), keys, sketches]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "id", "sketch"])
+                    keys, fine = pa.array(digests, mask=sizes == 0), _sketches(hashes, sizes)
+                    sketches = [pa.array([x.tobytes() for x in each], pa.binary()) for each in (fine, map(_coarse, fine))]
+                    columns = [part.column(0), pa.array(sizes, pa.int64()), keys, *sketches]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "id", "sketch", "coarse"])
                     continue
                 offsets = np.r_[0, np.cumsum(sizes)]
                 if rows == "sets":
@@ -184,7 +186,8 @@ def _sketches(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
 
     Two sets differ by at least as many shingles as their buckets of other parity. The number of
     buckets grows with the set, so unrelated sets of any size are told apart; sketches of different
-    lengths are compared at the shorter one, to which the longer folds.
+    lengths are compared at the shorter one, to which the longer folds. Whether sets are within three
+    radii takes BITS buckets for each shingle; whether they may link, COARSE of them.
     """
     out, ends = [], np.cumsum(sizes)
     for end, n in zip(ends.tolist(), sizes.tolist(), strict=True):
@@ -199,6 +202,11 @@ def _folded(bits: np.ndarray, width: int) -> np.ndarray:
     return bits if bits.shape[-1] == width else np.bitwise_xor.reduce(bits.reshape(*bits.shape[:-1], -1, width), axis=-2)
 
 
+def _coarse(sketch: np.ndarray) -> np.ndarray:
+    """A sketch with COARSE instead of BITS buckets for each shingle."""
+    return np.r_[sketch[:1], _folded(sketch[1:], max(1, (len(sketch) - 1) * COARSE // BITS))]
+
+
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
 
@@ -296,7 +304,7 @@ def _intersections(hx: np.ndarray, rx: np.ndarray, hy: np.ndarray, ry: np.ndarra
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable by links, of every document."""
     rows = ship(docs).select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    sized = stage(rows.mapInArrow(_sets(words, "sizes"), "doc_id long, n_shingles long, id long, sketch binary"), "set-sizes")
+    sized = stage(rows.mapInArrow(_sets(words, "sizes"), "doc_id long, n_shingles long, id long, sketch binary, coarse binary"), "set-sizes")
     known = rows.filter(F.col("doc_id").isNotNull())
     members = stage(with_pivots(known.mapInArrow(_sets(words, "signatures", percent), "key long, id long")), "buckets")
     wanted = members.select("id").distinct()
@@ -310,7 +318,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, doc_i
         return stage(found.join(chosen.select("id"), "id", "left_semi").withColumn("weight", F.lit(1)), "sets")
 
     # The sketches come with the sizes of all documents: they move instead of the texts.
-    sketches = sized.join(owners, ["id", "doc_id"], "left_semi").select("id", "sketch", F.lit(1).alias("weight"))
+    sketches = sized.join(owners, ["id", "doc_id"], "left_semi").select("id", "sketch", "coarse", F.lit(1).alias("weight"))
     sketches = stage(sketches, "sketches")
     t = 1 - percent / 100
     linked = linked_components(members, sketches, contents, t, *_measures(percent), at_least, may_link(t))

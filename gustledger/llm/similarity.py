@@ -162,9 +162,9 @@ def linked_components(
 ) -> DataFrame:
     """id and component of all that have a link; ``members`` (key, id, pivot) are staged rows of with_pivots().
 
-    ``sketches`` has id, sketch and weight, and ``contents`` gives id, blob and weight of the ids that
-    their sketches can't rule out. ``bound`` gives what distances are at least, ``able`` which pairs of
-    blocks may be within ``t``, both from sketches.
+    ``sketches`` has id, sketch, coarse and weight, and ``contents`` gives id, blob and weight of the ids that
+    their sketches can't rule out. ``bound`` gives what distances are at least, from sketches, ``able`` which
+    pairs of blocks may be within ``t``, from coarse ones.
     """
     star = members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     star = stage(bounded(star, sketches, bound), "star-bounds")
@@ -183,7 +183,8 @@ def linked_components(
     outer = members.select("key", "id", "pivot").join(away, ["id", "pivot"], "left_semi").select(F.col("key").alias("gid"), "id")
     outer = outer.join(clusters.select("id", F.col("component").alias("part")), "id", "left")
     outer = mixed_groups(outer.select("gid", "id", F.coalesce("part", "id").alias("part")))
-    outer = compared(outer, sketches.withColumnRenamed("sketch", "blob"), able, members=True)
+    # A thing is in many of these groups and its sketch moves to each, so the coarse one does.
+    outer = compared(outer, sketches.withColumnRenamed("coarse", "blob"), able, members=True)
     outer = mixed_groups(stage(outer.distinct(), "able"))
     outside = stage(compared(outer, contents(outer.select("id").distinct()), blockwise), "links").select("a", "b")
     return components(links.unionByName(inside).unionByName(outside))

@@ -262,6 +262,21 @@ def test_sketches_tell_unrelated_sets_apart(n):
     assert not ngramjoin.may_link(0.2)([x], [y])[0, 0]
 
 
+@pytest.mark.parametrize("n", [30, 64, 550, 1000, 6000, 40_000])
+def test_coarse_sketches_are_smaller_and_rule_out_no_link(n):
+    """What moves to every group is a quarter of a sketch; unrelated sets don't pass, similar ones always do."""
+    rng = np.random.default_rng(4)
+    x, y = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(2))
+    near = np.sort(np.r_[x[: len(x) * 9 // 10], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])
+    sets = [x, y, near]
+    fine = ngramjoin._sketches(np.concatenate(sets), np.array([len(s) for s in sets]))
+    coarse = [ngramjoin._coarse(s) for s in fine]
+    assert all(len(c) - 1 == (len(f) - 1) // 4 and c[0] == f[0] for c, f in zip(coarse, fine, strict=True))
+    distance = 1 - len(np.intersect1d(x, near)) / len(np.union1d(x, near))
+    passed = ngramjoin.may_link(max(0.2, distance))([c.tobytes() for c in coarse[:1]], [c.tobytes() for c in coarse])
+    assert passed.tolist() == [[True, False, True]]
+
+
 def test_links_at_every_distance_from_a_pivot(spark):
     """Chains of sets whose neighbours link, so that members lie on both sides of the balls around their pivot."""
     rng = random.Random(5)
