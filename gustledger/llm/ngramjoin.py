@@ -4,8 +4,10 @@ Sets are put into bands of like size. In a band a similar pair differs in at mos
 shingle domain is partitioned by hash so that any such pair agrees on whole partitions, or, among
 the three parts of a partition, on two of them: the subsets of parts are enumerated, and each
 subset's content is a signature. A set is in the band of its size and in the next, so similar sets
-of neighbouring sizes meet as well. Long sets have whole partitions as signatures. Signatures of
-fewer than two shingles are left out unless a set has so many that a partner might share no other.
+of neighbouring sizes meet as well. Long sets have whole partitions as signatures, of which similar
+sets share several: every set leaves out one fewer, those of the fewest shingles first. The order is
+the same for all sets, so the last signature that two of them share is kept by both, and empty and
+nearly empty partitions, which unrelated sets share, are not.
 
 Equal sets are one from the start. Shared signatures make buckets; similarity.py turns them into
 links that are checked exactly on the sets, and these into components. Shingles and sets are known
@@ -33,7 +35,6 @@ from gustledger.llm.similarity import linked_components, with_pivots
 
 KEPT = 500_000   # distinct words that a task remembers before it starts anew
 SUBSETS_UP_TO = 12  # differing shingles up to which partitions have three parts
-LIGHT = 2        # shingles that a signature should have
 BITS = 4         # of a sketch for each shingle, at least
 COARSE = 1       # the same of the sketches that tell only whether two sets may be similar
 
@@ -113,7 +114,7 @@ class Bands:
         return k + 1 + spare, 1, 1 + spare
 
     def signatures(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All signatures of the sets, and the set each belongs to."""
+        """The signatures of the sets but for the lightest that each can spare, and the set each belongs to."""
         found, owners = [], []
         mixed = mix64(hashes ^ np.uint64(0x5851F42D4C957F2D))
         value = mix64(mixed + np.uint64(0x14057B7EF767814F))
@@ -139,12 +140,12 @@ class Bands:
                 whole = lambda v: v[head] + v[head + 1] + v[head + 2]  # noqa: E731, B023
                 rest_s, rest_n = whole(sums) - sums[place], whole(counts) - counts[place]
                 sums[place], counts[place] = rest_s, rest_n
-            light = counts < LIGHT
-            n_light = np.bincount(owner[light], minlength=len(sizes))
-            keep = ~light | (n_light >= shapes[:, 2])[owner]
             label = mix64(bands[owner].astype(np.uint64) * np.uint64(1 << 32) + inside.astype(np.uint64))
-            found.append(mix64(sums + label)[keep])
-            owners.append(owner[keep])
+            keys = mix64(sums + label)
+            order = np.lexsort((keys, counts, owner))  # inside of each set, as owner ascends
+            kept = order[inside >= (shapes[:, 2] - 1)[owner]]
+            found.append(keys[kept])
+            owners.append(owner[kept])
         return np.concatenate(found).view(np.int64), np.concatenate(owners)
 
 

@@ -296,3 +296,28 @@ def test_links_at_every_distance_from_a_pivot(spark):
         links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
         assert got == closed(sets, links)
         assert len(set(got.values())) < len(got)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_least_similar_sets_share_a_kept_signature(percent):
+    """Of all sizes, also where a set leaves several of its signatures out."""
+    rng = np.random.default_rng(11)
+    bands = ngramjoin.Bands(percent)
+    for n in np.r_[np.arange(1, 60), rng.integers(60, 3000, 120)].tolist():
+        a = rng.integers(0, 2**64, n, dtype=np.uint64)
+        gone = n * (100 - percent) // (100 + percent)  # as many shingles go as come: 100 (n - gone) >= percent (n + gone)
+        b = np.r_[rng.permutation(a)[: n - gone], rng.integers(0, 2**64, gone, dtype=np.uint64)]
+        c = rng.permutation(a)[: -(-n * percent // 100)]
+        own, *others = (set(bands.signatures(np.sort(s), np.array([len(s)]))[0].tolist()) for s in (a, b, c))
+        assert all(own & other for other in others), n
+
+
+def test_unrelated_sets_share_no_signature():
+    """Not even by partitions without a shingle, which nearly all sets of some size have."""
+    rng = np.random.default_rng(13)
+    sizes = rng.integers(400, 440, 500)
+    hashes = np.concatenate([np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in sizes])
+    keys, owners = ngramjoin.Bands(80).signatures(hashes, sizes)
+    rows = np.unique(np.stack([keys, owners], 1), axis=0)
+    n = np.unique(rows[:, 0], return_counts=True)[1]
+    assert n[n > 1].sum() < len(sizes) / 100
