@@ -184,11 +184,6 @@ def _ranks(data: bytes) -> Ranks:
     return Ranks.parse(data)
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(data: bytes, pattern: str) -> Encoder:
-    return Encoder(_ranks(data), pattern)
-
-
 class Encoder:
     """Encodes texts and remembers the ids of the cuts it has seen, up to a bound."""
 
@@ -255,7 +250,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", to: str
 
     @F.arrow_udf("array<int>")
     def ids_of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = _encoder(data.value, pattern)
+        encoder = Encoder(_ranks(data.value), pattern)  # goes with its task: what it remembers would stay beside later stages
         for column in columns:
             parts = []
             for part in _chunks(column):

@@ -79,3 +79,11 @@ def test_decoded_digests(stages):
 def test_run_gives_the_same(spark, stages):
     got = Counter((r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, FOLDER).collect())
     assert sum(got.values()) > 0 and {i for i, _ in got} <= {r["doc_id"] for r in stages[0].collect()}
+
+
+def test_token_ids_take_one_python_worker_a_task(spark):
+    """Encoding and decoding in one task would leave an executor with twice as many workers."""
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    out = corpus_pipeline.token_ids(spark, docs, "")
+    assert str(out._jdf.queryExecution().optimizedPlan()).count("ArrowEvalPython") == 1
+    assert {r["doc_id"]: r["decoded_sha256"] for r in out.collect()} == {1: hashlib.sha256(b"one two").hexdigest(), 2: hashlib.sha256(b"").hexdigest()}
