@@ -16,10 +16,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gustledger import session
 from gustledger.llm.common import as_binary, offsets, ship, stage
 
 BLOCK_BYTES = 6 << 20
 SCHEMA = "block long, payload binary, word string, at int, n long"
+LISTED = "block long, payload binary, vocab binary, size long"
 
 
 def pack(table: pa.Table) -> bytes:
@@ -40,7 +42,7 @@ def list_of(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(own), column.values.to_numpy()[own[0] : own[-1]]
 
 
-def _blocked(size: int, lower: bool, more: list[str]):
+def _blocked(size: int, lower: bool, more: list[str], listed: bool = False):
     """Input columns: doc_id, text, counted and more. A payload has them, but the list of word numbers for the text."""
 
     def made(block: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,11 +60,16 @@ def _blocked(size: int, lower: bool, more: list[str]):
         ids = pa.chunked_array([r.column(0) for r in rows])
         rest = {c: pa.chunked_array([r.column(3 + i) for r in rows]) for i, c in enumerate(more)}
         payload = pack(pa.table({"doc_id": ids, "counted": pa.array(counted), "words": words, **rest}))
+        if listed:
+            vocab = pack(pa.table({"word": pa.array(list(at), pa.binary()), "n": pa.array(n.astype(np.int64))}))
+            columns = [pa.array([v], k) for v, k in ((block, pa.int64()), (payload, pa.binary()), (vocab, pa.binary()), (len(at), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "payload", "vocab", "size"])
+            return
         yield _rows(block, payload=[payload])
-        listed = [w.decode() for w in at]
-        for start in range(0, len(listed), 1 << 16):
-            stop = min(len(listed), start + (1 << 16))
-            yield _rows(block, word=listed[start:stop], at=np.arange(start, stop, dtype=np.int32), n=n[start:stop])
+        names = [w.decode() for w in at]
+        for start in range(0, len(names), 1 << 16):
+            stop = min(len(names), start + (1 << 16))
+            yield _rows(block, word=names[start:stop], at=np.arange(start, stop, dtype=np.int32), n=n[start:stop])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, rows, held = TaskContext.get().partitionId() << 32, [], 0
@@ -97,12 +104,23 @@ def word_blocks(docs: DataFrame, size: int | None = None, lower: bool = True) ->
     ``docs`` has doc_id, text, counted and what else the payload shall hold; words are split at ASCII
     white space, with ``lower`` lower-cased in A-Z, ``at`` is the word's number in the payload, n how often counted documents of the block have it.
     """
+    whole, more = _whole(docs)
+    return stage(ship(whole).mapInArrow(_blocked(size or BLOCK_BYTES, lower, more), SCHEMA), "word-blocks")
+
+
+def listed_blocks(docs: DataFrame, size: int | None = None, lower: bool = True) -> DataFrame:
+    """Staged rows as of ``word_blocks``, one for each block: its words are a packed list (word, n), ``size`` is their number."""
+    whole, more = _whole(docs)
+    made = ship(whole).mapInArrow(_blocked(size or BLOCK_BYTES, lower, more, listed=True), LISTED)
+    return session.stage(made, "listed-blocks", "uncompressed")  # what is packed doesn't shrink again
+
+
+def _whole(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     more = [c for c in docs.columns if c not in ("doc_id", "text", "counted")]
-    whole = docs.select(
+    return docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce("counted", F.lit(False)).alias("counted"), *more,
-    )
-    return stage(ship(whole).mapInArrow(_blocked(size or BLOCK_BYTES, lower, more), SCHEMA), "word-blocks")
+    ), more
 
 
 def words_of(blocks: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -22,6 +23,7 @@ from gustledger.session import staging_root
 
 SPACE = b" \t\n\x0b\x0c\r"
 BATCH_ROWS, TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TEXT_CHUNK = 4 << 20  # characters that a Python step handles at a time
 
 
@@ -56,6 +58,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return session.stage(df, name, "zstd")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """What runs inside leaves no shuffle files behind; otherwise they stay until the driver's garbage is collected."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -134,5 +150,5 @@ def partitions_for(rows: int, rows_per_task: int) -> int:
 
 __all__ = [
     "DataFrame", "SPACE", "as_binary", "crc_part", "free_name", "fresh_path", "has_letter", "mix64", "offsets", "partitions_for",
-    "ragged", "ship", "slices", "stage", "text_of",
+    "ragged", "ship", "shuffles_removed", "slices", "stage", "text_of",
 ]

@@ -27,16 +27,18 @@ is not divided between blocks. An empty table gives an empty result. Frequent wo
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustledger.llm.blocks import list_of, pack, unpack, word_blocks, words_of
-from gustledger.llm.common import crc_part, mix64, ship, stage
+from gustledger import session
+from gustledger.llm.blocks import list_of, listed_blocks, pack, unpack
+from gustledger.llm.common import crc_part, mix64, shuffles_removed, stage
 
 HEAD = 256          # the end token and the most frequent words, which features tell apart
 ENDINGS = 1024      # buckets of the endings of all other words
@@ -45,7 +47,6 @@ SIZE = HEAD // CLASSES
 END = HEAD - 1                # code of the end token
 START = HEAD + ENDINGS        # what stands before the first token
 CODES = START + 1
-PACK = 1 << 11      # more than there are codes
 CONTEXTS = 64       # most frequent words that the classes look at
 PAIRS = 4096        # buckets of word pairs
 ROWS = 2 * CODES + PAIRS
@@ -54,7 +55,8 @@ PARTS = 4           # rounds, each over a part of the training texts
 BATCH = 1 << 14
 RATE = 0.4
 KINDS = 3           # of counted features: the word before the last, the word before, the pair
-SHARD_TOKENS = 1 << 21
+WORDS = 2           # level of the counts of words; contexts are of level 1, contexts with their words of level 0
+SHARD_TOKENS, SHARD_WORDS = 1 << 21, 1 << 20
 END_HASH, START_HASH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -207,27 +209,103 @@ def _classes(before: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return classes, places
 
 
-# --- passes over the documents ------------------------------------------------------------------
+# --- counts of words ----------------------------------------------------------------------------
+
+ASKED_WORDS = "block long, shard int, size int, words binary, n binary"
+WORD_COUNTS = "of_block long, shard int, n binary, word binary, code int, c long, v long"
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers as their bytes by place, the lowest of all first, as many as the largest has, compressed; their count comes first."""
+    values = np.ascontiguousarray(values, np.uint64)
+    width = (int(values.max(initial=0)).bit_length() + 7) // 8
+    planes = values.astype(np.uint8) if width == 1 else values.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if width else b"")
+
+
+def _loose(data: bytes, size: int) -> np.ndarray:
+    width = data[0]
+    out = np.zeros((size, 8), np.uint8)
+    if width:
+        out[:, :width] = np.frombuffer(pa.decompress(data[1:], size * width, "zstd", asbytes=True), np.uint8).reshape(width, size).T
+    return out.view(np.uint64)[:, 0]
+
+
+def _hash_of(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, the same in every worker."""
+    import pandas as pd
+
+    return pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False).astype(np.uint64)
+
+
+def _endings(words: pa.Array) -> np.ndarray:
+    """Codes of words by their last two letters."""
+    import pyarrow.compute as pc
+
+    last = pc.utf8_slice_codeunits(words.cast(pa.string()), -2).dictionary_encode()
+    codes = [HEAD + zlib.crc32(w.encode()) % ENDINGS for w in last.dictionary.to_pylist()]
+    return np.array(codes, np.int64)[last.indices.to_numpy()]
+
+
+def _words(vocab: bytes) -> tuple[pa.Array, np.ndarray]:
+    """A block's words, and how often its training texts have them."""
+    table = unpack(vocab)
+    return pa.concat_arrays([pa.array([], pa.binary()), *table.column("word").chunks]), table.column("n").to_numpy()
+
 
-def _coded(key: tuple, payloads: pa.Table, values: pa.Table) -> pa.Table:
-    """A block's documents with the sums of logarithms of their words, and the code, count and hash of each of its words."""
-    order = np.argsort(values.column("at").to_numpy())
-    packed, hashes = (values.column(c).to_numpy()[order] for c in ("c_code", "hash"))
-    count, code = packed // PACK, packed % PACK
-    vocab = pack(pa.table({"code": pa.array(code.astype(np.int16)), "count": pa.array(count), "hash": pa.array(hashes)}))
-    out = []
-    for data in payloads.column("payload"):
-        payload = unpack(data.as_py())
-        sizes, at = list_of(payload, "words")
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        known = (count[at] > 0) if len(at) else np.zeros(0, bool)
-        logs = np.log10(count[at] + 0.1) if len(at) else np.zeros(0)
-        payload = payload.append_column("n_known", pa.array(np.bincount(rows, known, len(sizes)).astype(np.int64)))
-        out.append(pack(payload.append_column("all_logs", pa.array(np.bincount(rows, logs, len(sizes))))))
-    columns = [pa.array([key[0].as_py()] * len(out), pa.int64()), pa.array(out, pa.binary()), pa.array([vocab] * len(out), pa.binary())]
-    return pa.table(columns, ["block", "payload", "vocab"])
+def _by_hash(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order of hashes, and for each shard that has some, its number and the part of the order that is in it."""
+    order = np.argsort(hashes, kind="stable")
+    cuts = np.r_[0, np.cumsum(np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits))]
+    return order, [(int(i), slice(cuts[i], cuts[i + 1])) for i in np.flatnonzero(np.diff(cuts))]
 
 
+def _asked_words(bits: int):
+    """Every block's words by shard, in the order of their hashes, with how often its training texts have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, vocab in zip(*batch.columns, strict=True):
+                words, n = _words(vocab.as_py())
+                order, parts = _by_hash(_hash_of(words), bits)
+                words, n = words.take(pa.array(order)), n[order]
+                rows = [(block.as_py(), i, p.stop - p.start, pack(pa.table({"word": words[p.start : p.stop]})), _squeezed(n[p])) for i, p in parts]
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds, strict=True)], ["block", "shard", "size", "words", "n"])
+
+    return run
+
+
+def _word_totals(key: tuple, cells: pa.Table) -> pa.Table:
+    """The counts of a shard's words for each block that asked, in its order; then training words by ending, and the most frequent ones."""
+    sizes, shard = cells.column("size").to_numpy(), key[0].as_py()
+    ends = np.cumsum(sizes)
+    words = pa.concat_arrays([c for v in cells.column("words") for c in unpack(v.as_py()).column("word").chunks]).dictionary_encode()
+    at, words = words.indices.to_numpy(), words.dictionary
+    n = np.concatenate([_loose(v.as_py(), s) for v, s in zip(cells.column("n"), sizes, strict=True)])
+    c = np.bincount(at, n, len(words)).astype(np.int64)
+    answers = [_squeezed(c[at[e - s : e]]) for s, e in zip(sizes, ends, strict=True)]
+    trained = np.flatnonzero(c)
+    codes = _endings(words.take(pa.array(trained)))
+    v = np.bincount(codes, minlength=START)
+    sums = np.bincount(codes, c[trained], START).astype(np.int64)
+    some = np.flatnonzero(v)
+    least = np.partition(c[trained], -END)[-END] if len(trained) > END else 0
+    top = np.flatnonzero(c[trained] >= max(least, 1))
+    listed = sorted((-int(c[trained[i]]), words[int(trained[i])].as_py(), int(codes[i])) for i in top)[:END]
+    a, b, d = len(answers), len(some), len(listed)
+    columns = {
+        "of_block": [*cells.column("block").to_pylist(), *[None] * (b + d)], "shard": [shard] * (a + b + d), "n": answers + [None] * (b + d),
+        "word": [None] * (a + b) + [w for _, w, _ in listed], "code": [None] * a + some.tolist() + [k for *_, k in listed],
+        "c": [None] * a + sums[some].tolist() + [-m for m, *_ in listed], "v": [None] * a + v[some].tolist() + [None] * d,
+    }
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64())
+    return pa.table([pa.array(x, k) for x, k in zip(columns.values(), kinds, strict=True)], list(columns))
+
+
+# --- passes over the documents ------------------------------------------------------------------
+
 def _with_ends(sizes: np.ndarray, inner: np.ndarray, end) -> np.ndarray:
     """Values of all tokens, with that of the end after each document; ``sizes`` count the ends."""
     ends = np.cumsum(sizes)
@@ -238,43 +316,53 @@ def _with_ends(sizes: np.ndarray, inner: np.ndarray, end) -> np.ndarray:
     return out
 
 
-def _text(payload: bytes, vocab: bytes) -> tuple[pa.Table, pa.Table, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's table, its words, their numbers in the documents, the codes with the end tokens, and the tokens of each document."""
-    table, words = unpack(payload), unpack(vocab)
+def _text(payload: bytes, vocab: bytes) -> tuple[pa.Table, pa.Array, np.ndarray, np.ndarray]:
+    """A block's table, its words, their numbers in the documents, and the tokens of each document."""
+    table = unpack(payload)
     sizes, at = list_of(table, "words")
-    codes = _with_ends(sizes + 1, words.column("code").to_numpy().astype(np.int64)[at], END)
-    return table, words, at, codes, sizes + 1
+    return table, _words(vocab)[0], at, sizes + 1
+
 
+def _codes(words: pa.Array, at: np.ndarray, sizes: np.ndarray, top: list[bytes]) -> np.ndarray:
+    """The codes of a block's tokens, those of the frequent words ``top`` by their places in it."""
+    import pyarrow.compute as pc
+
+    head = pc.fill_null(pc.index_in(words, pa.array(top, pa.binary())), -1).to_numpy(zero_copy_only=False)
+    return _with_ends(sizes, np.where(head >= 0, head, _endings(words))[at], END)
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+
+def _texts(batches: Iterator[pa.RecordBatch], top: list[bytes]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
     """Each block's table, its codes with the end tokens, and the tokens of each document."""
     for batch in batches:
         for payload, vocab in zip(batch.column(0), batch.column(1), strict=True):
-            table, _, _, codes, sizes = _text(payload.as_py(), vocab.as_py())
-            yield table, codes, sizes
+            table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
+            yield table, _codes(words, at, sizes, top), sizes
 
 
 def _trained(table: pa.Table, sizes: np.ndarray) -> np.ndarray:
     return table.column("counted").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
 
 
-def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(CODES * CONTEXTS)
-    for table, codes, sizes in _texts(batches):
-        one, two = _context(codes, sizes)
-        use = np.repeat(_trained(table, sizes), sizes)
-        for c in (one, two):
-            ok = use & (c < CONTEXTS)
-            total += np.bincount(codes[ok] * CONTEXTS + c[ok], minlength=CODES * CONTEXTS)
-    yield from _pieces(total)
+def _before(top: list[bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CODES * CONTEXTS)
+        for table, codes, sizes in _texts(batches, top):
+            one, two = _context(codes, sizes)
+            use = np.repeat(_trained(table, sizes), sizes)
+            for c in (one, two):
+                ok = use & (c < CONTEXTS)
+                total += np.bincount(codes[ok] * CONTEXTS + c[ok], minlength=CODES * CONTEXTS)
+        yield from _pieces(total)
+
+    return run
 
 
-def _learned(sent, part: int):
+def _learned(sent, part: int, top: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start: Model = sent.value
         model = Model(**{**vars(start), "outer": start.outer.copy(), "inner": start.inner.copy()})
         tokens = 0
-        for table, codes, sizes in _texts(batches):
+        for table, codes, sizes in _texts(batches, top):
             mine = _trained(table, sizes) & (np.arange(len(sizes)) % PARTS == part)
             if mine.any():
                 use = np.repeat(mine, sizes)
@@ -293,29 +381,48 @@ def _learned(sent, part: int):
 COUNTS = "of_block long, level int, kind int, shard int, n binary, t binary, own binary, once long, twice long"
 
 
-def _squeezed(values: np.ndarray) -> bytes:
-    """Numbers as their bytes by place, the lowest of all first, compressed."""
-    planes = np.ascontiguousarray(values.astype(np.uint64)).view(np.uint8).reshape(-1, 8).T
-    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
-
-
-def _loose(data: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, size * 8, "zstd", asbytes=True), np.uint8).reshape(8, size)
-    return np.ascontiguousarray(planes.T).view(np.uint64)[:, 0]
+@dataclass
+class Features:
+    """A block's tokens by number: words by their place in its list, then the end, then what stands before the first."""
+
+    one: np.ndarray          # numbers of the words before
+    two: np.ndarray          # and of those before them
+    contexts: tuple[np.ndarray, np.ndarray]   # for each number, its hash as the word before the last, and as the word before
+    keys: tuple[np.ndarray, np.ndarray, np.ndarray]   # for each kind, the hash of every token's context with the token; 56 bits
+
+
+def _features_of(words: pa.Array, at: np.ndarray, sizes: np.ndarray) -> Features:
+    """The context of a pair is the key of the pair itself, that is of kind 1 at the token before."""
+    hashes = np.r_[_hash_of(words), END_HASH, START_HASH]
+    end, start = len(words), len(words) + 1
+    own = _with_ends(sizes, at.astype(np.int64), end)
+    firsts = np.cumsum(sizes) - sizes
+    one = np.r_[start, own[:-1]]
+    one[firsts] = start
+    two = np.r_[start, one[:-1]]
+    two[firsts] = start
+    mixed = mix64(hashes)
+    before, after = mix64(mix64(hashes + np.uint64(1)) ^ np.uint64(1 << 40)), mix64(hashes ^ np.uint64(2 << 40))
+    tokens = mixed[own]
+    pairs = mix64(after[one] + tokens)
+    seen = np.r_[after[start], pairs[:-1]]
+    seen[firsts] = mix64(after[start:] + mixed[start:])
+    keys = mix64(before[two] + tokens), pairs, mix64(mix64(seen ^ np.uint64(3 << 40)) + tokens)
+    return Features(one, two, (before >> np.uint64(8), after >> np.uint64(8)), tuple(k >> np.uint64(8) for k in keys))
+
+
+def _before_it(inverse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each token the number of the pair that stands before it, -1 for the first of a document."""
+    out = np.r_[-1, inverse[:-1]]
+    out[np.cumsum(sizes) - sizes] = -1
+    return out
 
 
-def _hashes(words: pa.Table, at: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each kind of feature: the hash of every token's context, and of the context with the token; 56 bits of each."""
-    own = _with_ends(sizes, words.column("hash").to_numpy().view(np.uint64)[at], END_HASH)
-    starts = np.cumsum(sizes) - sizes
-    place = np.arange(len(own)) - np.repeat(starts, sizes)
-    one, two = np.full(len(own), START_HASH), np.full(len(own), START_HASH)
-    one[1:], two[2:] = own[:-1], own[:-2]
-    one[place < 1], two[place < 2] = START_HASH, START_HASH
-    seen = mix64(two + np.uint64(1))
-    for kind, context in enumerate((seen, one, seen + one)):
-        context = mix64(context ^ np.uint64((kind + 1) << 40))
-        yield context >> np.uint64(8), mix64(context + mix64(own)) >> np.uint64(8)
+def _firsts(inverse: np.ndarray, size: int) -> np.ndarray:
+    """Where each number of ``inverse`` is found first."""
+    out = np.zeros(size, np.int64)
+    out[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
+    return out
 
 
 def _cells(block: int, level: int, kind: int, keys: np.ndarray, n: np.ndarray, t: np.ndarray, bits: int) -> pa.RecordBatch:
@@ -333,18 +440,16 @@ def _cells(block: int, level: int, kind: int, keys: np.ndarray, n: np.ndarray, t
 ASKED = "block long, level int, kind int, shard int, size int, keys binary, n binary, t binary"
 
 
-def _asked(bits: int):
-    """Every block's distinct features, with how often its training texts have them."""
+def _asked(kind: int, bits: int):
+    """Every block's distinct features of a kind, with how often its training texts have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload, vocab in zip(*batch.columns, strict=True):
-                table, words, at, codes, sizes = _text(payload.as_py(), vocab.as_py())
+                table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
                 use = np.repeat(_trained(table, sizes), sizes)
-                for kind, (_, keys) in enumerate(_hashes(words, at, sizes)):
-                    keys, inverse = np.unique(keys, return_inverse=True)
-                    n = np.bincount(inverse, use, len(keys))
-                    yield _cells(block.as_py(), 0, kind, keys, n, np.zeros(len(keys)), bits)
+                keys, inverse = np.unique(_features_of(words, at, sizes).keys[kind], return_inverse=True)
+                yield _cells(block.as_py(), 0, kind, keys, np.bincount(inverse, use, len(keys)), np.zeros(len(keys)), bits)
 
     return run
 
@@ -359,7 +464,9 @@ def _totals(key: tuple, cells: pa.Table) -> pa.Table:
     n, t = (np.concatenate(read(c)) for c in ("n", "t"))
     trained = np.flatnonzero(n)
     owned = np.zeros(len(n), bool)
-    owned[trained[np.unique(inverse[trained], return_index=True)[1]]] = True
+    first = np.full(len(keys), -1)
+    first[inverse[trained[::-1]]] = trained[::-1]  # of several, the last one stays
+    owned[first[first >= 0]] = True
     n, t = (np.bincount(inverse, v, len(keys)) for v in (n, t))
     parts = [slice(e - s, e) for s, e in zip(sizes, ends, strict=True)]
     each = [pa.array([_squeezed(v[inverse[p]]) for p in parts], pa.binary()) for v in (n, t)]
@@ -382,20 +489,43 @@ def _sums_of(counts: pa.Table, level: int, kind: int, keys: np.ndarray, bits: in
     return tuple(np.concatenate([np.zeros(0), *v]).astype(np.float64) for v in (n, t, bit))
 
 
+NOTHING = pa.RecordBatch.from_arrays([pa.nulls(0, k) for k in (pa.int64(), *[pa.int32()] * 4, *[pa.binary()] * 3)], [c.split()[0] for c in ASKED.split(", ")])
+
+
+def _pairs(bits: int):
+    """Every block's features of a pair, with their training tokens, and the different words that it owns after each pair."""
+
+    def run(key: tuple, texts: pa.Table, counts: pa.Table) -> pa.Table:
+        out = [NOTHING]
+        for payload, vocab in zip(texts.column("payload"), texts.column("vocab"), strict=True):
+            table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
+            use, features = np.repeat(_trained(table, sizes), sizes), _features_of(words, at, sizes)
+            keys, inverse = np.unique(features.keys[2], return_inverse=True)
+            own, first = _sums_of(counts, 0, 2, keys, bits)[2], _firsts(inverse, len(keys))
+            keys, inverse = np.unique(features.keys[1], return_inverse=True)
+            after = _before_it(inverse, sizes)[first]
+            t = np.bincount(after[after >= 0], own[after >= 0], len(keys))
+            out.append(_cells(key[0].as_py(), 0, 1, keys, np.bincount(inverse, use, len(keys)), t, bits))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
 def _contexts(bits: int):
-    """Every block's distinct contexts, with their training tokens and the different words that it owns after them."""
+    """Every block's words as contexts, with their training tokens and the different words that it owns after them."""
 
     def run(key: tuple, texts: pa.Table, counts: pa.Table) -> pa.Table:
-        out = [pa.RecordBatch.from_arrays([pa.nulls(0, k) for k in (pa.int64(), *[pa.int32()] * 4, *[pa.binary()] * 3)], [c.split()[0] for c in ASKED.split(", ")])]
+        out = [NOTHING]
         for payload, vocab in zip(texts.column("payload"), texts.column("vocab"), strict=True):
-            table, words, at, codes, sizes = _text(payload.as_py(), vocab.as_py())
-            use = np.repeat(_trained(table, sizes), sizes)
-            for kind, (contexts, keys) in enumerate(_hashes(words, at, sizes)):
-                keys, first = np.unique(keys, return_index=True)
+            table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
+            use, features = np.repeat(_trained(table, sizes), sizes), _features_of(words, at, sizes)
+            for kind, before in enumerate((features.two, features.one)):
+                keys, inverse = np.unique(features.keys[kind], return_inverse=True)
                 own = _sums_of(counts, 0, kind, keys, bits)[2]
+                contexts = features.contexts[kind]
+                n, t = np.bincount(before, use, len(contexts)), np.bincount(before[_firsts(inverse, len(keys))], own, len(contexts))
                 keys, inverse = np.unique(contexts, return_inverse=True)
-                t = np.bincount(inverse[first], own, len(keys))
-                out.append(_cells(key[0].as_py(), 1, kind, keys, np.bincount(inverse, use, len(keys)), t, bits))
+                out.append(_cells(key[0].as_py(), 1, kind, keys, np.bincount(inverse, n, len(keys)), np.bincount(inverse, t, len(keys)), bits))
         return pa.Table.from_batches(out)
 
     return run
@@ -407,24 +537,46 @@ def interpolated(p: np.ndarray, n: np.ndarray, total: np.ndarray, different: np.
     return np.where(known, (np.maximum(n - off, 0) + off * different * p) / np.where(known, total, 1), p)
 
 
-def _scored(sent, offs: list[float], bits: int):
+def _word_counts(counts: pa.Table, words: pa.Array, bits: int) -> np.ndarray:
+    """How often all training texts have each of a block's words."""
+    import pyarrow.compute as pc
+
+    own = counts.filter(pc.equal(counts.column("level"), WORDS)).sort_by("shard")
+    order, parts = _by_hash(_hash_of(words), bits)
+    out = np.zeros(len(words), np.int64)
+    for v, (_, p) in zip(own.column("n"), parts, strict=True):
+        out[order[p]] = _loose(v.as_py(), p.stop - p.start)
+    return out
+
+
+def _scored(sent, top: list[bytes], offs: list[float], bits: int, word_bits: int):
     def run(key: tuple, texts: pa.Table, counts: pa.Table) -> pa.Table:
         model: Model = sent.value
         out = []
         for payload, vocab in zip(texts.column("payload"), texts.column("vocab"), strict=True):
-            table, words, at, codes, sizes = _text(payload.as_py(), vocab.as_py())
+            table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
+            c, codes, rows = _word_counts(counts, words, word_bits), _codes(words, at, sizes, top), np.repeat(np.arange(len(sizes)), sizes - 1)
+            n_known = np.bincount(rows, (c > 0)[at], len(sizes)).astype(np.int64)
+            all_logs = np.bincount(rows, np.log10(c + 0.1)[at], len(sizes))
             logs = probabilities(model, codes, *_context(codes, sizes))
-            count = _with_ends(sizes, words.column("count").to_numpy()[at], 0)
+            count = _with_ends(sizes, c[at], 0)
             logs += np.where(codes >= HEAD, np.log10(count + 0.1) - model.rest[model.classes[codes]], 0)
-            p = 10.0**logs
-            for kind, (contexts, keys) in enumerate(_hashes(words, at, sizes)):
-                keys, inverse = np.unique(keys, return_inverse=True)
-                n = _sums_of(counts, 0, kind, keys, bits)[0][inverse]
-                keys, inverse = np.unique(contexts, return_inverse=True)
+            p, features = 10.0**logs, _features_of(words, at, sizes)
+            first = len(words) + 1  # what stands before the first token
+            for kind, before in enumerate((features.two, features.one)):
+                keys, inverse = np.unique(features.keys[kind], return_inverse=True)
+                sums = _sums_of(counts, 0, kind, keys, bits)
+                keys, place = np.unique(features.contexts[kind], return_inverse=True)
                 total, different, _ = _sums_of(counts, 1, kind, keys, bits)
-                p = interpolated(p, n, total[inverse], different[inverse], offs[kind])
+                total, different = total[place], different[place]
+                p = interpolated(p, sums[0][inverse], total[before], different[before], offs[kind])
+            # A pair is followed by a token wherever it stands; nothing stands before the first token, as for the word before.
+            after = _before_it(inverse, sizes)
+            total, different = np.r_[sums[0], total[first]], np.r_[sums[1], different[first]]
+            keys, inverse = np.unique(features.keys[2], return_inverse=True)
+            p = interpolated(p, _sums_of(counts, 0, 2, keys, bits)[0][inverse], total[after], different[after], offs[2])
             score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), np.log10(np.maximum(p, 1e-300)), len(sizes))
-            columns = [table.column("doc_id"), table.column("counted"), pa.array(sizes), table.column("n_known"), table.column("all_logs"), pa.array(score)]
+            columns = [table.column("doc_id"), table.column("counted"), *map(pa.array, (sizes, n_known, all_logs, score))]
             out.append(pa.table(columns, ["doc_id", "counted", "n_tokens", "n_known", "all_logs", "score"]))
         return pa.concat_tables(out)
 
@@ -432,7 +584,11 @@ def _scored(sent, offs: list[float], bits: int):
 
 
 def _counted(asked: DataFrame, name: str) -> DataFrame:
-    return stage(asked.groupBy("kind", "shard").applyInArrow(_totals, COUNTS), name)
+    return session.stage(asked.groupBy("kind", "shard").applyInArrow(_totals, COUNTS), name, "uncompressed")
+
+
+def _bits(size: int, most: int) -> int:
+    return max(2, math.ceil(math.log2(max(1.0, size / most))))
 
 
 def score(docs: DataFrame, parts: int = 10, held: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -440,35 +596,33 @@ def score(docs: DataFrame, parts: int = 10, held: int = 0, doc_id: str = "doc_id
 
     Documents whose crc32(doc_id as text) has the remainder ``held`` of ``parts`` are not learned from.
     """
+    with shuffles_removed(docs.sparkSession):
+        return _score(docs, parts, held, doc_id, text)
+
+
+def _score(docs: DataFrame, parts: int, held: int, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (crc_part(F.col(doc_id), parts) != held).alias("counted"))
-    blocks = word_blocks(rows)
+    texts = listed_blocks(rows)
     n_ends = rows.filter("counted").count()
-    # Counts reach every word of a block with one shuffle; a word has one row a block.
-    word = Window.partitionBy("word")
-    words = words_of(blocks).withColumn("c", F.sum("n").over(word)).withColumn("first", F.row_number().over(word.orderBy("block")) == 1)
-    words = stage(words.drop("n"), "word-counts")
-    own = words.filter("first AND c > 0")
-    sums = own.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    total, distinct = sums["n"] + n_ends, sums["v"] + (n_ends > 0)
-    head = [(r["word"], i, r["c"]) for i, r in enumerate(own.orderBy(F.desc("c"), "word").limit(END).select("word", "c").collect())]
-    top = spark.createDataFrame([(w, i) for w, i, _ in head], "word string, head int")
-    ending = HEAD + F.pmod(F.crc32(F.right("word", F.lit(2)).cast("binary")), F.lit(ENDINGS)).cast("int")
-    coded = words.join(top, "word", "left").withColumn("code", F.coalesce("head", ending))
-    packed = (F.col("c") * PACK + F.col("code")).alias("c_code")  # one number a row less to move
-    packed = coded.select(F.col("block").alias("of_block"), "at", packed, F.xxhash64("word").alias("hash"))
-    ends = coded.filter("first AND c > 0 AND head IS NULL").groupBy("code").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
-    payloads = ship(blocks.filter("payload IS NOT NULL").select("block", "payload")).groupBy("block")
-    texts = stage(payloads.cogroup(packed.groupBy("of_block")).applyInArrow(_coded, "block long, payload binary, vocab binary"), "coded-blocks")
+    word_bits = _bits(texts.agg(F.sum("size")).first()[0] or 0, SHARD_WORDS)
+    words = texts.select("block", "vocab").mapInArrow(_asked_words(word_bits), ASKED_WORDS).groupBy("shard").applyInArrow(_word_totals, WORD_COUNTS)
+    words = stage(words, "word-counts")
+    ends = words.filter("v IS NOT NULL").groupBy("code").agg(F.sum("c").alias("n"), F.sum("v").alias("v")).collect()
+    total, distinct = sum(r["n"] for r in ends) + n_ends, sum(r["v"] for r in ends) + (n_ends > 0)
+    head = words.filter("word IS NOT NULL").orderBy(F.desc("c"), "word").limit(END).select("word", "code", "c").collect()
+    top = [bytes(r["word"]) for r in head]
     read = texts.select("payload", "vocab")
 
     counts, kinds = np.zeros(CODES), np.zeros(CODES)
-    for _, i, c in head:
-        counts[i] = c
     for r in ends:
         counts[r["code"]], kinds[r["code"]] = r["n"], r["v"]
+    for i, r in enumerate(head):
+        counts[i] = r["c"]
+        counts[r["code"]] -= r["c"]
+        kinds[r["code"]] -= 1
     counts[END] = n_ends
-    before = _summed(ship(read).mapInArrow(_before, "salt int, piece int, data binary"), CODES * CONTEXTS)
+    before = _summed(read.mapInArrow(_before(top), "salt int, piece int, data binary"), CODES * CONTEXTS)
     classes, places = _classes(before.reshape(CODES, CONTEXTS), counts)
     n_classes = 2 * CLASSES
     sums_c, kinds_c = (np.bincount(classes[:START], v[:START], n_classes) for v in (counts, kinds))
@@ -483,21 +637,29 @@ def score(docs: DataFrame, parts: int = 10, held: int = 0, doc_id: str = "doc_id
     size = model.outer.size + model.inner.size
     for part in range(PARTS):
         sent = spark.sparkContext.broadcast(model)
-        moved = _summed(read.mapInArrow(_learned(sent, part), "salt int, piece int, data binary"), size + 1)
+        moved = _summed(read.mapInArrow(_learned(sent, part, top), "salt int, piece int, data binary"), size + 1)
         if moved[-1]:
             step = (moved[:-1] / moved[-1]).astype(np.float32)
             model.outer = model.outer + step[: model.outer.size].reshape(model.outer.shape)
             model.inner = model.inner + step[model.outer.size :].reshape(model.inner.shape)
         sent.unpersist()
     sent = spark.sparkContext.broadcast(model)
-    bits = max(2, math.ceil(math.log2(max(1.0, total / SHARD_TOKENS))))
-    found = _counted(texts.mapInArrow(_asked(bits), ASKED), "feature-counts")
+    bits = _bits(total, SHARD_TOKENS)
+    asked, by_block = texts.select("block", "payload", "vocab"), texts.select("block", "payload", "vocab").groupBy("block")
+    # One kind after the other, so that the keys of one lie on disk at a time.
+    triples = _counted(asked.mapInArrow(_asked(2, bits), ASKED), "triple-counts")
+    pairs = _counted(by_block.cogroup(triples.groupBy("of_block")).applyInArrow(_pairs(bits), ASKED), "pair-counts")
+    skips = _counted(asked.mapInArrow(_asked(0, bits), ASKED), "skip-counts")
+    found = skips.unionByName(pairs)
+    after = _counted(by_block.cogroup(found.groupBy("of_block")).applyInArrow(_contexts(bits), ASKED), "context-counts")
+    found = found.unionByName(triples)
     few = {r["kind"]: (r["a"], r["b"]) for r in found.groupBy("kind").agg(F.sum("once").alias("a"), F.sum("twice").alias("b")).collect()}
     offs = [a / (a + 2 * b) if a and b else 0.75 for a, b in (few.get(kind, (0, 0)) for kind in range(KINDS))]
-    by_block = texts.groupBy("block")
-    after = _counted(by_block.cogroup(found.groupBy("of_block")).applyInArrow(_contexts(bits), ASKED), "context-counts")
-    every = found.unionByName(after).groupBy("of_block")
-    scored = by_block.cogroup(every).applyInArrow(_scored(sent, offs, bits), "doc_id long, counted boolean, n_tokens long, n_known long, all_logs double, score double")
+    answers = words.filter("of_block IS NOT NULL").select("of_block", F.lit(WORDS).alias("level"), "shard", "n")
+    every = found.unionByName(after).unionByName(answers, allowMissingColumns=True).groupBy("of_block")
+    scored = by_block.cogroup(every).applyInArrow(
+        _scored(sent, top, offs, bits, word_bits), "doc_id long, counted boolean, n_tokens long, n_known long, all_logs double, score double"
+    )
     has_end = 1 if n_ends else 0
     base = F.col("all_logs") + math.log10(n_ends + 0.1) - F.col("n_tokens") * math.log10(total + 0.1 * (distinct + 1))
     return scored.select(

@@ -9,7 +9,8 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import pytest
 
-from gustledger.llm import blocks, kneser, maxent
+from gustledger import session
+from gustledger.llm import blocks, common, kneser, maxent
 
 SCHEMA = "doc_id long, text string, n_tokens string"
 
@@ -125,6 +126,48 @@ def test_counted_features_add_up():
     assert (maxent.interpolated(p, np.zeros(4), np.zeros(4), np.zeros(4), 0.6) == p).all()
 
 
+def test_scores_stage_rows_by_block_and_leave_no_shuffles(spark):
+    """What lies on disk is packed by block: no row for each word of a block, and no shuffles of steps that are done."""
+    rng = random.Random(11)
+    df = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(30_000)}" for _ in range(400)), None) for i in range(100)], SCHEMA).repartition(2)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, files = len(session._staged), disk.getAllBlocks().mkString(" ").count("shuffle_")
+    scores = maxent.score(df)
+    assert disk.getAllBlocks().mkString(" ").count("shuffle_") <= files
+    staged = [spark.read.parquet(p).count() for p in session._staged[before:]]
+    assert sum(staged) < 10_000 < len({w for r in df.collect() for w in r["text"].split()})
+    assert scores.count() == 100
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+
+
+def test_word_counts_by_shard():
+    rng, bits = random.Random(12), 2
+    blocks_of = [{f"{rng.choice('aé€')}{rng.randrange(400)}": rng.randrange(3) for _ in range(300)} for _ in range(3)] + [{"": 0}]
+    pack = lambda words: blocks.pack(pa.table({"word": pa.array([w.encode() for w in words], pa.binary()), "n": pa.array(list(words.values()), pa.int64())}))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(blocks_of)), pa.int64()), pa.array([pack(w) for w in blocks_of])], ["block", "vocab"])
+    cells = pa.Table.from_batches(list(maxent._asked_words(bits)([batch])))
+    shards = [cells.filter(pa.compute.equal(cells.column("shard"), s)) for s in range(1 << bits)]
+    found = pa.concat_tables([maxent._word_totals((pa.scalar(i, pa.int32()),), s) for i, s in enumerate(shards) if s.num_rows])
+    want = Counter()
+    for words in blocks_of:
+        want.update(words)
+    for b, words in enumerate(blocks_of):
+        own = found.filter(pa.compute.equal(found.column("of_block"), b))
+        own = own.append_column("level", pa.array([maxent.WORDS] * own.num_rows, pa.int32()))
+        assert maxent._word_counts(own, pa.array([w.encode() for w in words], pa.binary()), bits).tolist() == [want[w] for w in words]
+    rows = found.to_pylist()
+    assert sum(r["v"] for r in rows if r["v"]) == sum(n > 0 for n in want.values())
+    assert sum(r["c"] for r in rows if r["v"]) == sum(want.values())
+    assert {r["word"].decode(): r["c"] for r in rows if r["word"] is not None}.items() <= want.items()
+    crc = lambda w: maxent.HEAD + zlib.crc32(w[-2:].encode()) % maxent.ENDINGS
+    assert all(r["code"] == crc(r["word"].decode()) for r in rows if r["word"] is not None)
+
+
+@pytest.mark.parametrize("values", [[], [0, 0], [0, 255, 3], [256, 1], [2**56 - 1, 0, 7], [2**64 - 1]])
+def test_squeezed_numbers_come_back(values):
+    assert maxent._loose(maxent._squeezed(np.array(values, np.uint64)), len(values)).tolist() == values
+
+
 def test_scores_of_an_empty_table_and_without_training(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert maxent.score(df).count() == 0
