@@ -42,18 +42,41 @@ def list_of(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(own), column.values.to_numpy()[own[0] : own[-1]]
 
 
+def _numbered(rows: list[pa.RecordBatch], lower: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many words every text has, the numbers of all, and the distinct words in the order of their numbers."""
+    import pyarrow.compute as pc
+
+    sizes, parts = [np.zeros(0, np.int64)], []
+    for r in rows:
+        texts = r.column(1)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+        ends, words = offsets(lists).astype(np.int64), lists.values  # nothing stands between white space and either end
+        full = pc.not_equal(pc.binary_length(words), 0)
+        kept = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
+        sizes.append(np.diff(kept[ends]))
+        first, last = int(ends[0]), int(ends[-1])
+        own = words.slice(first, last - first).filter(full.slice(first, last - first)).dictionary_encode()
+        parts.append(pa.DictionaryArray.from_arrays(own.indices, own.dictionary.cast(pa.binary())))
+    words = pa.chunked_array(parts, pa.dictionary(pa.int32(), pa.binary())).unify_dictionaries()
+    flat = np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in words.chunks)])
+    return np.concatenate(sizes), flat, words.chunk(words.num_chunks - 1).dictionary
+
+
 def _blocked(size: int, lower: bool, more: list[str], listed: bool = False):
     """Input columns: doc_id, text, counted and more. A payload has them, but the list of word numbers for the text."""
 
     def made(block: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: dict[bytes, int] = {}
-        number, parts = at.setdefault, []
-        for r in rows:  # one text's words at a time, so that only the distinct ones stay
-            for text in as_binary(r.column(1)):
-                words = text.as_py()
-                parts.append(np.array([number(w, len(at)) for w in (words.lower() if lower else words).split()], np.int32))
-        sizes = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate([np.zeros(0, np.int32), *parts])
+        if listed:
+            sizes, flat, at = _numbered(rows, lower)
+        else:
+            at: dict[bytes, int] = {}
+            number, parts = at.setdefault, []
+            for r in rows:  # one text's words at a time, so that only the distinct ones stay
+                for text in as_binary(r.column(1)):
+                    words = text.as_py()
+                    parts.append(np.array([number(w, len(at)) for w in (words.lower() if lower else words).split()], np.int32))
+            sizes = np.array([len(p) for p in parts], np.int64)
+            flat = np.concatenate([np.zeros(0, np.int32), *parts])
         counted = np.concatenate([r.column(2).to_numpy(zero_copy_only=False) for r in rows]).astype(bool)
         n = np.bincount(flat[np.repeat(counted, sizes)], minlength=len(at))
         words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat))
@@ -61,7 +84,7 @@ def _blocked(size: int, lower: bool, more: list[str], listed: bool = False):
         rest = {c: pa.chunked_array([r.column(3 + i) for r in rows]) for i, c in enumerate(more)}
         payload = pack(pa.table({"doc_id": ids, "counted": pa.array(counted), "words": words, **rest}))
         if listed:
-            vocab = pack(pa.table({"word": pa.array(list(at), pa.binary()), "n": pa.array(n.astype(np.int64))}))
+            vocab = pack(pa.table({"word": at, "n": pa.array(n.astype(np.int64))}))
             columns = [pa.array([v], k) for v, k in ((block, pa.int64()), (payload, pa.binary()), (vocab, pa.binary()), (len(at), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["block", "payload", "vocab", "size"])
             return

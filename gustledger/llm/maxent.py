@@ -26,6 +26,7 @@ is not divided between blocks. An empty table gives an empty result. Frequent wo
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -89,7 +90,10 @@ def _features(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(1, keepdims=True)
+    most = scores[:, 0].copy()
+    for column in scores.T[1:]:  # much faster than the maximum along short rows
+        np.maximum(most, column, out=most)
+    scores -= most[:, None]
     np.exp(scores, out=scores)
     scores /= scores.sum(1, keepdims=True)
     return scores
@@ -104,8 +108,12 @@ def _step(weights: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     sorted_rows = rows[order]
     starts = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-    sums = np.add.reduceat(slope.take(order, 0), starts, axis=0)
     counts = np.diff(np.r_[starts, len(rows)])
+    more = counts > 1  # a row of one token needs no sum
+    sums = np.empty((len(starts), slope.shape[1]), slope.dtype)
+    sums[~more] = slope.take(order[starts[~more]], 0)
+    if more.any():
+        sums[more] = np.add.reduceat(slope.take(order[np.repeat(more, counts)], 0), np.cumsum(counts[more]) - counts[more], axis=0)
     weights[sorted_rows[starts]] -= (RATE / np.sqrt(counts))[:, None].astype(np.float32) * sums
 
 
@@ -235,7 +243,7 @@ def _hash_of(words: pa.Array) -> np.ndarray:
     """64-bit hashes of words, the same in every worker."""
     import pandas as pd
 
-    return pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False).astype(np.uint64)
+    return pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False).astype(np.uint64)
 
 
 def _endings(words: pa.Array) -> np.ndarray:
@@ -331,11 +339,14 @@ def _codes(words: pa.Array, at: np.ndarray, sizes: np.ndarray, top: list[bytes])
     return _with_ends(sizes, np.where(head >= 0, head, _endings(words))[at], END)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], top: list[bytes]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
-    """Each block's table, its codes with the end tokens, and the tokens of each document."""
+def _texts(batches: Iterator[pa.RecordBatch], top: list[bytes], chosen=None) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Each block's table, its codes with the end tokens, and the tokens of each document; of those only that ``chosen`` picks."""
     for batch in batches:
         for payload, vocab in zip(batch.column(0), batch.column(1), strict=True):
             table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
+            if chosen:
+                mine = chosen(table, sizes)
+                at, sizes = at[np.repeat(mine, sizes - 1)], sizes[mine]
             yield table, _codes(words, at, sizes, top), sizes
 
 
@@ -362,13 +373,10 @@ def _learned(sent, part: int, top: list[bytes]):
         start: Model = sent.value
         model = Model(**{**vars(start), "outer": start.outer.copy(), "inner": start.inner.copy()})
         tokens = 0
-        for table, codes, sizes in _texts(batches, top):
-            mine = _trained(table, sizes) & (np.arange(len(sizes)) % PARTS == part)
-            if mine.any():
-                use = np.repeat(mine, sizes)
-                one, two = _context(codes, sizes)
-                probabilities(model, codes[use], one[use], two[use], learn=True)
-                tokens += int(use.sum())
+        for _, codes, sizes in _texts(batches, top, lambda table, sizes: _trained(table, sizes) & (np.arange(len(sizes)) % PARTS == part)):
+            if len(codes):
+                probabilities(model, codes, *_context(codes, sizes), learn=True)
+                tokens += len(codes)
         if tokens:
             moved = np.concatenate([(model.outer - start.outer).ravel(), (model.inner - start.inner).ravel()]) * tokens
             yield from _pieces(np.r_[moved, tokens])
@@ -381,34 +389,44 @@ def _learned(sent, part: int, top: list[bytes]):
 COUNTS = "of_block long, level int, kind int, shard int, n binary, t binary, own binary, once long, twice long"
 
 
-@dataclass
 class Features:
-    """A block's tokens by number: words by their place in its list, then the end, then what stands before the first."""
-
-    one: np.ndarray          # numbers of the words before
-    two: np.ndarray          # and of those before them
-    contexts: tuple[np.ndarray, np.ndarray]   # for each number, its hash as the word before the last, and as the word before
-    keys: tuple[np.ndarray, np.ndarray, np.ndarray]   # for each kind, the hash of every token's context with the token; 56 bits
-
-
-def _features_of(words: pa.Array, at: np.ndarray, sizes: np.ndarray) -> Features:
-    """The context of a pair is the key of the pair itself, that is of kind 1 at the token before."""
-    hashes = np.r_[_hash_of(words), END_HASH, START_HASH]
-    end, start = len(words), len(words) + 1
-    own = _with_ends(sizes, at.astype(np.int64), end)
-    firsts = np.cumsum(sizes) - sizes
-    one = np.r_[start, own[:-1]]
-    one[firsts] = start
-    two = np.r_[start, one[:-1]]
-    two[firsts] = start
-    mixed = mix64(hashes)
-    before, after = mix64(mix64(hashes + np.uint64(1)) ^ np.uint64(1 << 40)), mix64(hashes ^ np.uint64(2 << 40))
-    tokens = mixed[own]
-    pairs = mix64(after[one] + tokens)
-    seen = np.r_[after[start], pairs[:-1]]
-    seen[firsts] = mix64(after[start:] + mixed[start:])
-    keys = mix64(before[two] + tokens), pairs, mix64(mix64(seen ^ np.uint64(3 << 40)) + tokens)
-    return Features(one, two, (before >> np.uint64(8), after >> np.uint64(8)), tuple(k >> np.uint64(8) for k in keys))
+    """A block's tokens by number: words by their place in its list, then the end, then what stands before the first.
+
+    ``one`` and ``two`` are the numbers of the words before and of those before them.
+    """
+
+    def __init__(self, words: pa.Array, at: np.ndarray, sizes: np.ndarray) -> None:
+        end, start = len(words), len(words) + 1
+        own = _with_ends(sizes, at.astype(np.int64), end)
+        self.firsts = np.cumsum(sizes) - sizes
+        self.one = np.r_[start, own[:-1]]
+        self.one[self.firsts] = start
+        self.two = np.r_[start, self.one[:-1]]
+        self.two[self.firsts] = start
+        self.hashes = np.r_[_hash_of(words), END_HASH, START_HASH]
+        self.mixed = mix64(self.hashes)
+        self.tokens = self.mixed[own]
+
+    def _context(self, kind: int) -> np.ndarray:
+        return mix64(mix64(self.hashes + np.uint64(1)) ^ np.uint64(1 << 40)) if kind == 0 else mix64(self.hashes ^ np.uint64(2 << 40))
+
+    def contexts(self, kind: int) -> np.ndarray:
+        """For each number its hash as the word before the last, or as the word before; 56 bits."""
+        return self._context(kind) >> np.uint64(8)
+
+    @functools.cached_property
+    def _pairs(self) -> np.ndarray:
+        return mix64(self._context(1)[self.one] + self.tokens)
+
+    def keys(self, kind: int) -> np.ndarray:
+        """The hash of every token's context with the token; 56 bits. The context of a triple is the key of the pair before it."""
+        if kind == 0:
+            return mix64(self._context(0)[self.two] + self.tokens) >> np.uint64(8)
+        if kind == 1:
+            return self._pairs >> np.uint64(8)
+        seen = np.r_[END_HASH, self._pairs[:-1]]
+        seen[self.firsts] = mix64(self._context(1)[-1:] + self.mixed[-1:])
+        return mix64(mix64(seen ^ np.uint64(3 << 40)) + self.tokens) >> np.uint64(8)
 
 
 def _before_it(inverse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -418,11 +436,27 @@ def _before_it(inverse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _firsts(inverse: np.ndarray, size: int) -> np.ndarray:
-    """Where each number of ``inverse`` is found first."""
-    out = np.zeros(size, np.int64)
-    out[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
-    return out
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values start."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the number of each key in them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    starts = _starts(ordered)
+    numbers = np.empty(len(keys), np.int32)
+    numbers[order] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(keys)]))
+    return ordered[starts], numbers
+
+
+def _one_of_each(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and for each one a place where it is found."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    starts = _starts(ordered)
+    return ordered[starts], order[starts]
 
 
 def _cells(block: int, level: int, kind: int, keys: np.ndarray, n: np.ndarray, t: np.ndarray, bits: int) -> pa.RecordBatch:
@@ -448,8 +482,10 @@ def _asked(kind: int, bits: int):
             for block, payload, vocab in zip(*batch.columns, strict=True):
                 table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
                 use = np.repeat(_trained(table, sizes), sizes)
-                keys, inverse = np.unique(_features_of(words, at, sizes).keys[kind], return_inverse=True)
-                yield _cells(block.as_py(), 0, kind, keys, np.bincount(inverse, use, len(keys)), np.zeros(len(keys)), bits)
+                flagged = np.sort(Features(words, at, sizes).keys(kind) << np.uint64(1) | use.astype(np.uint64))
+                starts = _starts(flagged >> np.uint64(1))
+                n = np.add.reduceat((flagged & np.uint64(1)).astype(np.int64), starts)
+                yield _cells(block.as_py(), 0, kind, flagged[starts] >> np.uint64(1), n, np.zeros(len(starts)), bits)
 
     return run
 
@@ -460,33 +496,63 @@ def _totals(key: tuple, cells: pa.Table) -> pa.Table:
     sizes = cells.column("size").to_numpy()
     ends = np.cumsum(sizes)
     read = lambda c: [_loose(v.as_py(), n) for v, n in zip(cells.column(c), sizes, strict=True)]
-    keys, inverse = np.unique(np.concatenate([np.cumsum(v, dtype=np.uint64) for v in read("keys")]), return_inverse=True)
-    n, t = (np.concatenate(read(c)) for c in ("n", "t"))
-    trained = np.flatnonzero(n)
-    owned = np.zeros(len(n), bool)
-    first = np.full(len(keys), -1)
-    first[inverse[trained[::-1]]] = trained[::-1]  # of several, the last one stays
-    owned[first[first >= 0]] = True
-    n, t = (np.bincount(inverse, v, len(keys)) for v in (n, t))
-    parts = [slice(e - s, e) for s, e in zip(sizes, ends, strict=True)]
-    each = [pa.array([_squeezed(v[inverse[p]]) for p in parts], pa.binary()) for v in (n, t)]
+    keys = np.concatenate([np.cumsum(v, dtype=np.uint64) for v in read("keys")])
+    order = np.argsort(keys)
+    starts = _starts(keys[order])
+    runs = np.diff(np.r_[starts, len(keys)])
+    each, owned = [], np.zeros(len(keys), bool)
+    for column in ("n", "t"):
+        values = np.concatenate(read(column))
+        if not values.any():
+            each.append((np.zeros(len(starts), np.uint64), values))
+            continue
+        ordered = values[order]
+        if column == "n":
+            first = np.minimum.reduceat(np.where(ordered > 0, order, len(keys)), starts)
+            owned[first[first < len(keys)]] = True
+        sums = np.add.reduceat(ordered, starts)
+        values[order] = np.repeat(sums, runs)
+        each.append((sums, values))
+    n, parts = each[0][0], [slice(e - s, e) for s, e in zip(sizes, ends, strict=True)]
+    each = [pa.array([_squeezed(v[p]) for p in parts], pa.binary()) for _, v in each]
     own = pa.array([np.packbits(owned[p]).tobytes() for p in parts], pa.binary())
     some = [pa.array(np.r_[int((n == k).sum()), np.zeros(len(parts) - 1, np.int64)].astype(np.int64)) for k in (1, 2)]
     columns = [cells.column("block"), cells.column("level"), cells.column("kind"), cells.column("shard"), *each, own, *some]
     return pa.table(columns, COUNTS.replace(" long", "").replace(" int", "").replace(" binary", "").split(", "))
 
 
-def _sums_of(counts: pa.Table, level: int, kind: int, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """n, t and the ownership of a block's sorted keys."""
+def _cells_of(counts: pa.Table, level: int, kind: int, keys: np.ndarray, bits: int) -> tuple[pa.Table, np.ndarray]:
+    """The cells that came for a block's sorted keys, in their order, and how many keys each has."""
     import pyarrow.compute as pc
 
     own = counts.filter(pc.and_(pc.equal(counts.column("level"), level), pc.equal(counts.column("kind"), kind))).sort_by("shard")
     cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(56 - bits))
     sizes = np.diff(np.r_[0, cuts, len(keys)])
-    sizes = sizes[sizes > 0]
-    n, t = ([_loose(v.as_py(), s) for v, s in zip(own.column(c), sizes, strict=True)] for c in ("n", "t"))
-    bit = [np.unpackbits(np.frombuffer(v.as_py(), np.uint8), count=s) for v, s in zip(own.column("own"), sizes, strict=True)]
-    return tuple(np.concatenate([np.zeros(0), *v]).astype(np.float64) for v in (n, t, bit))
+    return own, sizes[sizes > 0]
+
+
+def _joined(cells: pa.Table, sizes: np.ndarray, column: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0), *(_loose(v.as_py(), s) for v, s in zip(cells.column(column), sizes, strict=True))]).astype(np.float64)
+
+
+def _bits_of(cells: pa.Table, sizes: np.ndarray) -> np.ndarray:
+    bit = [np.unpackbits(np.frombuffer(v.as_py(), np.uint8), count=s) for v, s in zip(cells.column("own"), sizes, strict=True)]
+    return np.concatenate([np.zeros(0), *bit]).astype(np.float64)
+
+
+def _owned(counts: pa.Table, kind: int, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Which of a block's sorted features it owns."""
+    return _bits_of(*_cells_of(counts, 0, kind, keys, bits))
+
+
+def _n_of(counts: pa.Table, kind: int, keys: np.ndarray, bits: int) -> np.ndarray:
+    return _joined(*_cells_of(counts, 0, kind, keys, bits), "n")
+
+
+def _sums_of(counts: pa.Table, level: int, kind: int, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n, t and the ownership of a block's sorted keys."""
+    cells, sizes = _cells_of(counts, level, kind, keys, bits)
+    return _joined(cells, sizes, "n"), _joined(cells, sizes, "t"), _bits_of(cells, sizes)
 
 
 NOTHING = pa.RecordBatch.from_arrays([pa.nulls(0, k) for k in (pa.int64(), *[pa.int32()] * 4, *[pa.binary()] * 3)], [c.split()[0] for c in ASKED.split(", ")])
@@ -499,10 +565,10 @@ def _pairs(bits: int):
         out = [NOTHING]
         for payload, vocab in zip(texts.column("payload"), texts.column("vocab"), strict=True):
             table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
-            use, features = np.repeat(_trained(table, sizes), sizes), _features_of(words, at, sizes)
-            keys, inverse = np.unique(features.keys[2], return_inverse=True)
-            own, first = _sums_of(counts, 0, 2, keys, bits)[2], _firsts(inverse, len(keys))
-            keys, inverse = np.unique(features.keys[1], return_inverse=True)
+            use, features = np.repeat(_trained(table, sizes), sizes), Features(words, at, sizes)
+            keys, first = _one_of_each(features.keys(2))
+            own = _owned(counts, 2, keys, bits)
+            keys, inverse = _numbered(features.keys(1))
             after = _before_it(inverse, sizes)[first]
             t = np.bincount(after[after >= 0], own[after >= 0], len(keys))
             out.append(_cells(key[0].as_py(), 0, 1, keys, np.bincount(inverse, use, len(keys)), t, bits))
@@ -518,12 +584,11 @@ def _contexts(bits: int):
         out = [NOTHING]
         for payload, vocab in zip(texts.column("payload"), texts.column("vocab"), strict=True):
             table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
-            use, features = np.repeat(_trained(table, sizes), sizes), _features_of(words, at, sizes)
+            use, features = np.repeat(_trained(table, sizes), sizes), Features(words, at, sizes)
             for kind, before in enumerate((features.two, features.one)):
-                keys, inverse = np.unique(features.keys[kind], return_inverse=True)
-                own = _sums_of(counts, 0, kind, keys, bits)[2]
-                contexts = features.contexts[kind]
-                n, t = np.bincount(before, use, len(contexts)), np.bincount(before[_firsts(inverse, len(keys))], own, len(contexts))
+                keys, first = _one_of_each(features.keys(kind))
+                own, contexts = _owned(counts, kind, keys, bits), features.contexts(kind)
+                n, t = np.bincount(before, use, len(contexts)), np.bincount(before[first], own, len(contexts))
                 keys, inverse = np.unique(contexts, return_inverse=True)
                 out.append(_cells(key[0].as_py(), 1, kind, keys, np.bincount(inverse, n, len(keys)), np.bincount(inverse, t, len(keys)), bits))
         return pa.Table.from_batches(out)
@@ -561,20 +626,20 @@ def _scored(sent, top: list[bytes], offs: list[float], bits: int, word_bits: int
             logs = probabilities(model, codes, *_context(codes, sizes))
             count = _with_ends(sizes, c[at], 0)
             logs += np.where(codes >= HEAD, np.log10(count + 0.1) - model.rest[model.classes[codes]], 0)
-            p, features = 10.0**logs, _features_of(words, at, sizes)
+            p, features = 10.0**logs, Features(words, at, sizes)
             first = len(words) + 1  # what stands before the first token
             for kind, before in enumerate((features.two, features.one)):
-                keys, inverse = np.unique(features.keys[kind], return_inverse=True)
+                keys, inverse = _numbered(features.keys(kind))
                 sums = _sums_of(counts, 0, kind, keys, bits)
-                keys, place = np.unique(features.contexts[kind], return_inverse=True)
+                keys, place = np.unique(features.contexts(kind), return_inverse=True)
                 total, different, _ = _sums_of(counts, 1, kind, keys, bits)
                 total, different = total[place], different[place]
                 p = interpolated(p, sums[0][inverse], total[before], different[before], offs[kind])
             # A pair is followed by a token wherever it stands; nothing stands before the first token, as for the word before.
             after = _before_it(inverse, sizes)
             total, different = np.r_[sums[0], total[first]], np.r_[sums[1], different[first]]
-            keys, inverse = np.unique(features.keys[2], return_inverse=True)
-            p = interpolated(p, _sums_of(counts, 0, 2, keys, bits)[0][inverse], total[after], different[after], offs[2])
+            keys, inverse = _numbered(features.keys(2))
+            p = interpolated(p, _n_of(counts, 2, keys, bits)[inverse], total[after], different[after], offs[2])
             score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), np.log10(np.maximum(p, 1e-300)), len(sizes))
             columns = [table.column("doc_id"), table.column("counted"), *map(pa.array, (sizes, n_known, all_logs, score))]
             out.append(pa.table(columns, ["doc_id", "counted", "n_tokens", "n_known", "all_logs", "score"]))
