@@ -474,18 +474,20 @@ def _cells(block: int, level: int, kind: int, keys: np.ndarray, n: np.ndarray, t
 ASKED = "block long, level int, kind int, shard int, size int, keys binary, n binary, t binary"
 
 
-def _asked(kind: int, bits: int):
-    """Every block's distinct features of a kind, with how often its training texts have them."""
+def _asked(kinds: tuple[int, ...], bits: int):
+    """Every block's distinct features of some kinds, with how often its training texts have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload, vocab in zip(*batch.columns, strict=True):
                 table, words, at, sizes = _text(payload.as_py(), vocab.as_py())
                 use = np.repeat(_trained(table, sizes), sizes)
-                flagged = np.sort(Features(words, at, sizes).keys(kind) << np.uint64(1) | use.astype(np.uint64))
-                starts = _starts(flagged >> np.uint64(1))
-                n = np.add.reduceat((flagged & np.uint64(1)).astype(np.int64), starts)
-                yield _cells(block.as_py(), 0, kind, flagged[starts] >> np.uint64(1), n, np.zeros(len(starts)), bits)
+                use, features = use.astype(np.uint64), Features(words, at, sizes)
+                for kind in kinds:
+                    flagged = np.sort(features.keys(kind) << np.uint64(1) | use)
+                    starts = _starts(flagged >> np.uint64(1))
+                    n = np.add.reduceat((flagged & np.uint64(1)).astype(np.int64), starts)
+                    yield _cells(block.as_py(), 0, kind, flagged[starts] >> np.uint64(1), n, np.zeros(len(starts)), bits)
 
     return run
 
@@ -545,8 +547,10 @@ def _owned(counts: pa.Table, kind: int, keys: np.ndarray, bits: int) -> np.ndarr
     return _bits_of(*_cells_of(counts, 0, kind, keys, bits))
 
 
-def _n_of(counts: pa.Table, kind: int, keys: np.ndarray, bits: int) -> np.ndarray:
-    return _joined(*_cells_of(counts, 0, kind, keys, bits), "n")
+def _columns_of(counts: pa.Table, level: int, kind: int, keys: np.ndarray, bits: int, *columns: str) -> list[np.ndarray]:
+    """Sums of a block's sorted keys, by their columns."""
+    cells, sizes = _cells_of(counts, level, kind, keys, bits)
+    return [_joined(cells, sizes, c) for c in columns]
 
 
 def _sums_of(counts: pa.Table, level: int, kind: int, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -624,23 +628,27 @@ def _scored(sent, top: list[bytes], offs: list[float], bits: int, word_bits: int
             n_known = np.bincount(rows, (c > 0)[at], len(sizes)).astype(np.int64)
             all_logs = np.bincount(rows, np.log10(c + 0.1)[at], len(sizes))
             logs = probabilities(model, codes, *_context(codes, sizes))
-            count = _with_ends(sizes, c[at], 0)
-            logs += np.where(codes >= HEAD, np.log10(count + 0.1) - model.rest[model.classes[codes]], 0)
-            p, features = 10.0**logs, Features(words, at, sizes)
+            logs += np.where(codes >= HEAD, np.log10(_with_ends(sizes, c[at], 0) + 0.1) - model.rest[model.classes[codes]], 0)
+            features = Features(words, at, sizes)
             first = len(words) + 1  # what stands before the first token
+            facts = []  # of each kind: counts, numbers of the tokens in them, totals and different words of contexts, their numbers
             for kind, before in enumerate((features.two, features.one)):
-                keys, inverse = _numbered(features.keys(kind))
-                sums = _sums_of(counts, 0, kind, keys, bits)
+                keys, numbers = _numbered(features.keys(kind))
+                n, t = _columns_of(counts, 0, kind, keys, bits, "n", "t")
                 keys, place = np.unique(features.contexts(kind), return_inverse=True)
-                total, different, _ = _sums_of(counts, 1, kind, keys, bits)
-                total, different = total[place], different[place]
-                p = interpolated(p, sums[0][inverse], total[before], different[before], offs[kind])
+                total, different = (v[place] for v in _columns_of(counts, 1, kind, keys, bits, "n", "t"))
+                facts.append((n, numbers, total, different, before))
             # A pair is followed by a token wherever it stands; nothing stands before the first token, as for the word before.
-            after = _before_it(inverse, sizes)
-            total, different = np.r_[sums[0], total[first]], np.r_[sums[1], different[first]]
-            keys, inverse = _numbered(features.keys(2))
-            p = interpolated(p, _n_of(counts, 2, keys, bits)[inverse], total[after], different[after], offs[2])
-            score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), np.log10(np.maximum(p, 1e-300)), len(sizes))
+            after = _before_it(numbers, sizes)
+            keys, numbers = _numbered(features.keys(2))
+            facts.append((*_columns_of(counts, 0, 2, keys, bits, "n"), numbers, np.r_[n, total[first]], np.r_[t, different[first]], after))
+            for start in range(0, len(logs), BATCH):
+                own = slice(start, start + BATCH)
+                p = 10.0 ** logs[own]
+                for (n, numbers, total, different, before), off in zip(facts, offs, strict=True):
+                    p = interpolated(p, n[numbers[own]], total[before[own]], different[before[own]], off)
+                logs[own] = np.log10(np.maximum(p, 1e-300))
+            score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), logs, len(sizes))
             columns = [table.column("doc_id"), table.column("counted"), *map(pa.array, (sizes, n_known, all_logs, score))]
             out.append(pa.table(columns, ["doc_id", "counted", "n_tokens", "n_known", "all_logs", "score"]))
         return pa.concat_tables(out)
@@ -710,14 +718,13 @@ def _score(docs: DataFrame, parts: int, held: int, doc_id: str, text: str) -> Da
         sent.unpersist()
     sent = spark.sparkContext.broadcast(model)
     bits = _bits(total, SHARD_TOKENS)
-    asked, by_block = texts.select("block", "payload", "vocab"), texts.select("block", "payload", "vocab").groupBy("block")
-    # One kind after the other, so that the keys of one lie on disk at a time.
-    triples = _counted(asked.mapInArrow(_asked(2, bits), ASKED), "triple-counts")
-    pairs = _counted(by_block.cogroup(triples.groupBy("of_block")).applyInArrow(_pairs(bits), ASKED), "pair-counts")
-    skips = _counted(asked.mapInArrow(_asked(0, bits), ASKED), "skip-counts")
-    found = skips.unionByName(pairs)
-    after = _counted(by_block.cogroup(found.groupBy("of_block")).applyInArrow(_contexts(bits), ASKED), "context-counts")
-    found = found.unionByName(triples)
+    blocks = texts.select("block", "payload", "vocab")
+    by_block = blocks.groupBy("block")
+    # Pairs come later than the other kinds, so that never all keys lie on disk at a time.
+    found = _counted(blocks.mapInArrow(_asked((2, 0), bits), ASKED), "feature-counts")
+    pairs = _counted(by_block.cogroup(found.filter("kind = 2").groupBy("of_block")).applyInArrow(_pairs(bits), ASKED), "pair-counts")
+    found = found.unionByName(pairs)
+    after = _counted(by_block.cogroup(found.filter("kind < 2").groupBy("of_block")).applyInArrow(_contexts(bits), ASKED), "context-counts")
     few = {r["kind"]: (r["a"], r["b"]) for r in found.groupBy("kind").agg(F.sum("once").alias("a"), F.sum("twice").alias("b")).collect()}
     offs = [a / (a + 2 * b) if a and b else 0.75 for a, b in (few.get(kind, (0, 0)) for kind in range(KINDS))]
     answers = words.filter("of_block IS NOT NULL").select("of_block", F.lit(WORDS).alias("level"), "shard", "n")
